@@ -15,6 +15,9 @@ import pyarrow as pa
 U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Breaks at ASCII marks too, for texts compared without their punctuation.
+MARKS = np.zeros(256, bool)
+MARKS[:128] = [not chr(i).isalnum() for i in range(128)]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -48,11 +51,11 @@ class Texts:
     Word arrays: ``hashes``, ``starts`` and ``ends`` (byte positions), and ``first`` (each text's first word; one more
     entry ends the last)."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, breaks: np.ndarray = _SPACE):
         self.data = _LOWER[data] if lower else data
         self.offsets = offsets
         n = len(data)
-        word = ~_SPACE[data]
+        word = ~breaks[data]
         begin, end = word.copy(), word.copy()
         if n:
             begin[1:] &= ~word[:-1]
@@ -141,5 +144,5 @@ def pieces(batch: pa.RecordBatch, text: str = "text", most: int = 2 << 20) -> It
         at = to
 
 
-def texts(batch: pa.RecordBatch, text: str = "text", lower: bool = False) -> Texts:
-    return Texts(*column(batch.column(batch.schema.get_field_index(text))), lower=lower)
+def texts(batch: pa.RecordBatch, text: str = "text", lower: bool = False, breaks: np.ndarray = _SPACE) -> Texts:
+    return Texts(*column(batch.column(batch.schema.get_field_index(text))), lower=lower, breaks=breaks)
