@@ -1,12 +1,12 @@
 """Language-model scores by prediction by partial matching, pretrained on the corpus's own training fold.
 
-The model is a trie of byte contexts up to four bytes.  In a context with T counted bytes of q kinds a seen byte has n / (T + q)
+The model is a trie of byte contexts up to five bytes.  In a context with T counted bytes of q kinds a seen byte has n / (T + q)
 and an escape q / (T + q) (method C); after an escape the next shorter context counts without the bytes that the
 longer one has seen (symbol exclusion); below the empty context all other bytes are equally likely.  A text is coded
 as its bytes, A-Z lower-cased, from a start mark to an end mark, so the scores are a distribution over texts.
 
-The trie is not broadcast: it grows with the corpus.  Each unit of documents sends its distinct five-byte sequences with
-their training counts to the bucket of the two bytes before the last; there all contexts of two to four bytes that end in these
+The trie is not broadcast: it grows with the corpus.  Each unit of documents sends its distinct six-byte sequences with
+their training counts to the bucket of the two bytes before the last; there all contexts of two to five bytes that end in these
 meet, so a bucket has whole sub-tries and answers with the probability of each sequence asked for.  Contexts of one byte
 and none are one table of 256 x 256 counts, a size that cannot grow, and are broadcast.  Word counts for the base score
 travel the same way.
@@ -27,7 +27,9 @@ from . import vectext as vt
 from .graphs import cut, n_buckets
 from .units import NO_ID, ROW, grouped, pack_units, packed, rows, unit_table, unpacked
 
-ORDER = 4
+ORDER = 5
+#: Larger units ask for fewer sequences in all.
+UNIT = 8 << 20
 START, END, ALPHABET = 0xFF, 0xFE, 256  # bytes that UTF-8 never has stand for a text's start and end
 
 
@@ -307,7 +309,7 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
         else:
             table[pair] = n
     pairs = spark.sparkContext.broadcast(table.reshape(256, 256))
-    units = cut(docs.mapInArrow(pack_units, ROW))
+    units = cut(docs.mapInArrow(pack_units(UNIT), ROW))
     asked = units.mapInArrow(_ask(buckets), ROW).repartition("bucket").sortWithinPartitions("bucket")
     answers = cut(asked.mapInArrow(_answer(buckets, pairs), ROW))
     known = answers.where("part = 7").agg(F.coalesce(F.sum("unit"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()

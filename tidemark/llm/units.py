@@ -52,29 +52,33 @@ def grouped(batches, column: str) -> Iterator[tuple[int, list[tuple]]]:
         yield at, held
 
 
-def pack_units(batches) -> Iterator[pa.RecordBatch]:
+def pack_units(most: int = UNIT):
     """Batches of (doc_id, text, ...) to units as part 0.  A unit's number is that of its task and its place in it."""
-    task, count = TaskContext.get().partitionId() << 32, 0
-    held, size = [], 0
 
-    def whole() -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as w:
-            w.write_table(table)
-        return rows([(task + count, -1, 0, len(table), packed(sink.getvalue().to_pybytes()))])
-
-    for batch in batches:
-        columns = {"doc_id": batch.column(0).cast(pa.int64()).fill_null(NO_ID), "text": batch.column(1).fill_null("").cast(pa.large_string())}
-        columns |= {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i > 1}
-        for part in vt.pieces(pa.record_batch(columns), most=UNIT // 4):
-            held.append(part)
-            size += len(vt.column(part.column(1))[0])
-            if size >= UNIT:
-                yield whole()
-                held, size, count = [], 0, count + 1
-    if held:
-        yield whole()
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        task, count = TaskContext.get().partitionId() << 32, 0
+        held, size = [], 0
+
+        def whole() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as w:
+                w.write_table(table)
+            return rows([(task + count, -1, 0, len(table), packed(sink.getvalue().to_pybytes()))])
+
+        for batch in batches:
+            columns = {"doc_id": batch.column(0).cast(pa.int64()).fill_null(NO_ID), "text": batch.column(1).fill_null("").cast(pa.large_string())}
+            columns |= {n: batch.column(i) for i, n in enumerate(batch.schema.names) if i > 1}
+            for part in vt.pieces(pa.record_batch(columns), most=UNIT // 4):
+                held.append(part)
+                size += len(vt.column(part.column(1))[0])
+                if size >= most:
+                    yield whole()
+                    held, size, count = [], 0, count + 1
+        if held:
+            yield whole()
+
+    return run
 
 
 def unit_table(blob: bytes) -> pa.Table:
