@@ -4,8 +4,9 @@ Folding: compatibility decomposition without marks, case folding, look-alike let
 for letters to Latin ones, ``l`` and ``1`` to ``i``, invisible characters dropped, everything between words to one space.
 
 Learning, from labelled rows of a training fold only (labels and texts; no other column): a bounded sample of SAMPLE
-rows, those with the smallest hashes of doc_id, of each distinct text one.  A word is in the lexicon if MIN_TEXTS toxic texts
-have it and its log-odds between toxic and clean texts are MIN_WEIGHT or more; these odds are its weight.  A pair of
+rows, those with the smallest hashes of doc_id, of each distinct text one.  Entries are words and beginnings of words (``stem*``).
+One is in the lexicon if its log-odds between toxic and clean texts are MIN_WEIGHT or more and so many toxic texts
+have it that no clean entry would be expected to be in as many by chance; these odds are its weight.  A pair of
 neighbouring words that holds a lexicon word and stands in clean texts at least as much as in toxic ones is an exception phrase: the
 lexicon word does not count in it.  Two numbers per text, the sum of weights by length and its logarithm, go
 through a logistic function fitted on the sample.
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .graphs import cut
 
-SAMPLE, MIN_TEXTS, MIN_WEIGHT, MIN_CLEAN = 20_000, 8, 2.5, 5
+SAMPLE, MIN_TEXTS, MIN_WEIGHT, MIN_CLEAN = 20_000, 4, 2.5, 5
+STEMS = (4, 5, 6)
 
 # Look-alike letters of other scripts, and digits and signs that stand for letters.
 LOOKALIKES = {
@@ -68,10 +70,13 @@ def fold(text: str | None) -> str:
 
 
 def lexicon_automaton(weights: dict[str, float], exceptions: set[str]) -> ahocorasick.Automaton:
-    """Whole words and phrases, with the spaces around them, so that no hit is inside a longer word."""
+    """Whole words, stems and phrases, with the spaces around them, so that no hit begins inside a word."""
     found = ahocorasick.Automaton()
     for word, weight in weights.items():
-        found.add_word(f" {word} ", (len(word), weight))
+        if word.endswith("*"):
+            found.add_word(f" {word[:-1]}", (len(word) - 2, weight))
+        else:
+            found.add_word(f" {word} ", (len(word), weight))
     for phrase in exceptions:
         found.add_word(f" {phrase} ", (len(phrase), None))
     if len(found):
@@ -80,21 +85,31 @@ def lexicon_automaton(weights: dict[str, float], exceptions: set[str]) -> ahocor
 
 
 def features(folded: str, found: ahocorasick.Automaton) -> tuple[float, float]:
-    """Sum of the weights of hits outside exception phrases: by length, and its logarithm."""
-    hits, quiet = [], []
+    """Sum of the weights of hits outside exception phrases, of each word its largest: by length, and its logarithm."""
+    hits: dict[int, float] = {}
+    quiet = []
     if len(found):
         for end, (size, weight) in found.iter(f" {folded} "):
-            (quiet if weight is None else hits).append((end - size, end, weight))
-    total = sum(w for a, b, w in hits if not any(x <= a and b <= y for x, y, _ in quiet))
+            if weight is None:
+                quiet.append((end - size, end))
+            else:
+                hits[end - size] = max(weight, hits.get(end - size, 0.0))
+    total = sum(w for at, w in hits.items() if not any(a <= at < b for a, b in quiet))
     return total / (folded.count(" ") + 20.0), math.log1p(total)
 
 
+def entries(folded: str) -> set[str]:
+    """The words of a text and their beginnings."""
+    words = set(folded.split())
+    return words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) > n}
+
+
 def _words_of(batches):
     """(word, toxic texts, clean texts) of a task's part of the sample."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-            counts[toxic].update(set(fold(text).split()))
+            counts[toxic].update(entries(fold(text)))
     words = list(counts[1])  # a word in no toxic text cannot be in the lexicon; clean counts of the others follow
     rest = [w for w in counts[0] if w not in counts[1]]
     yield pa.record_batch(
@@ -112,7 +127,7 @@ def _pairs_of(weights: dict[str, float]):
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 words = fold(text).split()
-                at = [i for i, w in enumerate(words) if w in weights]
+                at = [i for i, w in enumerate(words) if any(x in weights for x in entries(w))]
                 counts[toxic].update({f"{words[i]} {words[i + 1]}" for j in at for i in (j - 1, j) if 0 <= i < len(words) - 1})
         pairs = list(counts[0] | counts[1])
         yield pa.record_batch(
@@ -164,8 +179,17 @@ def learn(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE) -> tu
         return {}, set(), [-1e3, 0.0, 0.0]
     words = chosen.mapInArrow(_words_of, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    words = words.withColumn("odds", odds).where((F.col("bad") >= MIN_TEXTS) & (F.col("odds") >= MIN_WEIGHT))
-    weights = {r.word: r.odds for r in words.collect()}
+    words = cut(words.where(F.col("bad") >= MIN_TEXTS).withColumn("odds", odds))
+    # Of this many entries, one of a clean kind is in so many toxic texts and in no clean one with odds of a tenth at most.
+    least = max(MIN_TEXTS, math.ceil(math.log(10 * max(1, words.count())) / -math.log(bad / (bad + good))))
+    found = {r.word: (r.bad, r.odds) for r in words.where((F.col("bad") >= least) & (F.col("odds") >= MIN_WEIGHT)).collect()}
+    # A stem that one longer entry accounts for says no more than that entry, and could hit other words.
+    longer: dict[str, int] = {}
+    for word, (n, _) in found.items():
+        for size in STEMS:
+            if len(word.rstrip("*")) > size:
+                longer[f"{word[:size]}*"] = max(n, longer.get(f"{word[:size]}*", 0))
+    weights = {word: odds for word, (n, odds) in sorted(found.items()) if longer.get(word, 0) < n}
     pairs = chosen.mapInArrow(_pairs_of(weights), "pair string, bad long, good long").groupBy("pair")
     pairs = pairs.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     exceptions = {r.pair for r in pairs.where((F.col("good") >= MIN_CLEAN) & (odds <= 0)).select("pair").collect()}
