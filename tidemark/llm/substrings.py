@@ -152,6 +152,7 @@ class Unit:
             have *= 2
         low = np.minimum(low[:m], low[width - have : width - have + m]) if m else low[:0]
         self.inside = vt.inside(t.first, window, m)
+        low = vt.mix(low ^ vt.U(0x2545F4914F6CDD1D))  # minima are small numbers: spread them over the buckets
         self.anchor = low
         self.doc = t.text_of_words()[:m]
         at = np.flatnonzero(self.inside)
@@ -279,19 +280,23 @@ def _grouped(batches, column: str) -> Iterator[tuple[int, list[tuple]]]:
         yield at, held
 
 
-def _repeated(batches):
+def _repeated(crowd: int):
     """Of a bucket's anchors from all units: for each unit one mark per anchor; 0 once, 1 repeated, 2 in a crowd."""
-    for bucket, rows in _grouped(batches, "bucket"):
-        lows, runs = [], []
-        for _, _, _, blob in rows:
-            raw = zstandard.decompress(blob)
-            lows.append(np.frombuffer(raw, np.uint32, len(raw) // 5))
-            runs.append(np.frombuffer(raw, np.uint8, len(raw) // 5, len(raw) // 5 * 4))
-        value, which = np.unique(np.concatenate(lows), return_inverse=True)
-        total = np.bincount(which, np.concatenate(runs), len(value))
-        mark = np.where(total > CROWD, 2, total > 1).astype(np.uint8)[which]
-        cuts = np.cumsum([0, *map(len, lows)])
-        yield _rows([(row[0], bucket, 1, _packed(mark[a:b])) for row, a, b in zip(rows, cuts[:-1], cuts[1:], strict=True)])
+
+    def run(batches):
+        for bucket, rows in _grouped(batches, "bucket"):
+            lows, runs = [], []
+            for _, _, _, blob in rows:
+                raw = zstandard.decompress(blob)
+                lows.append(np.frombuffer(raw, np.uint32, len(raw) // 5))
+                runs.append(np.frombuffer(raw, np.uint8, len(raw) // 5, len(raw) // 5 * 4))
+            value, which = np.unique(np.concatenate(lows), return_inverse=True)
+            total = np.bincount(which, np.concatenate(runs), len(value))
+            mark = np.where(total > crowd, 2, total > 1).astype(np.uint8)[which]
+            cuts = np.cumsum([0, *map(len, lows)])
+            yield _rows([(row[0], bucket, 1, _packed(mark[a:b])) for row, a, b in zip(rows, cuts[:-1], cuts[1:], strict=True)])
+
+    return run
 
 
 def _marks(u: Unit, buckets: int, rows: list[tuple]) -> np.ndarray:
@@ -392,12 +397,12 @@ def _decided(window: int, buckets: int, finish):
     return run
 
 
-def _removed(docs: DataFrame, window: int, finish, schema: str) -> DataFrame:
+def _removed(docs: DataFrame, window: int, finish, schema: str, crowd: int = CROWD) -> DataFrame:
     spark = docs.sparkSession
     buckets = n_buckets(spark)
     units = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_units, ROW))
     by_bucket = units.mapInArrow(_anchors(window, buckets), ROW).repartition("bucket").sortWithinPartitions("bucket")
-    marks = cut(by_bucket.mapInArrow(_repeated, ROW))
+    marks = cut(by_bucket.mapInArrow(_repeated(crowd), ROW))
     of_unit = units.union(marks).repartition("unit").sortWithinPartitions("unit")
     segments = of_unit.mapInArrow(_segments(window, buckets), ROW).repartition("bucket").sortWithinPartitions("bucket")
     owners = segments.mapInArrow(_matched(window), ROW)
@@ -414,9 +419,9 @@ def _digest(u: Unit, keep: np.ndarray):
     yield pa.record_batch({"doc_id": ids, "n_words": pa.array(u.t.n_words, pa.int64()), "n_removed": pa.array(u.t.n_words - kept, pa.int64()), "kept_sha256": pa.array(sums, pa.string())})
 
 
-def substring_digest(docs: DataFrame, window: int = 13) -> DataFrame:
+def substring_digest(docs: DataFrame, window: int = 13, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): one row per row of ``docs``."""
-    return _removed(docs, window, _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _removed(docs, window, _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string", crowd)
 
 
 def _texts(u: Unit, keep: np.ndarray):
