@@ -67,3 +67,18 @@ def test_hash_bucket(spark):
 def test_value_types(spark):
     given = ["null", "true", "1", "1.5", '"x"', "{}", "[1]", "broken{"]
     assert values(spark, given, lambda c: documents.value_type(documents.parsed(c))) == ["null", "bool", "int", "float", "str", "object", "array", None]
+
+
+def test_labels(spark):
+    assert values(spark, ["Guide (PDF, 1.5 MB)", "Form (opens in new window)", "Plain"], text.link_label) == ["Guide", "Form", "Plain"]
+    assert values(spark, ["Sr Engr (Eng Div)", "engr"], lambda c: text.expand(c, {"Sr": "Senior", "Engr": "Engineer", "Eng Div": "Engineering Division"})) == ["Senior Engineer (Engineering Division)", "engr"]
+    assert values(spark, ["Notes (English) pdf", "Notes"], lambda c: text.base_name(c, ("(English)", "pdf"))) == ["Notes", "Notes"]
+
+
+def test_dates_near_links(spark):
+    html = "<table><tr><td>May 2020</td><td><a href=/x_2020.pdf>X</a></td></tr><tr><td>June 2021</td><td><a href=/y.pdf>Y</a></td></tr></table>"
+    near = lambda h, t: values(spark, [html], lambda c: dates.date_near(c, F.lit(h), F.lit(t), 30))[0]
+    row = lambda h: values(spark, [html], lambda c: dates.date_in_row(c, F.lit(h)))[0]
+    assert near("/y.pdf", "issued in July 2019") == "2019-07-01" and near("/y.pdf", "") == "2021-06-01" and near("/none", "") is None
+    assert row("/x_2020.pdf") == "2020-05-01" and row("/y.pdf") == "2021-06-01" and row("/none") is None
+    assert values(spark, ["2020-05-01"], lambda c: dates.preferred_by_precision(c, F.lit("2020-05-17"))) == ["2020-05-17"]

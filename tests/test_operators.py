@@ -132,3 +132,24 @@ def test_operators_take_empty_tables(spark, days):
     assert snapshots.added(e, e).count() == 0 and snapshots.common_base([e, e]).count() == 0
     assert reduce(DataFrame.unionByName, snapshots.rebase([e, e])[1:2]).count() == 0
     assert quality.exclusive_p95(e, "v").first()[0] is None
+
+
+def test_archive_months(spark, tmp_path, days):
+    from tidemark.operators import rotate
+
+    root = str(tmp_path / "archive")
+    done = [rotate.archive(spark, root, f"2024-03-{d:02}", df, refresh_day=15) for d, df in ((1, days[0]), (2, days[1]), (2, days[1]), (16, days[2]))]
+    assert done == ["base", "delta", "skipped", "rebased"]
+    for d, df in ((1, days[0]), (2, days[1]), (16, days[2])):
+        assert rows(rotate.as_of(spark, root, f"2024-03-{d:02}").select("source", "url", "v")) == rows(df)
+    assert rotate.days(spark, root, ["2024-03"]) == ["2024-03-16", "2024-03-02", "2024-03-01"]
+    with pytest.raises(ValueError):
+        rotate.as_of(spark, root, "2024-03-09")
+
+
+def test_json_walk(spark):
+    from tidemark.operators.walk import JsonWalk
+
+    df = spark.createDataFrame([('{"a": [{"cat_id": 1}, {"b": {"cat_id": "x"}}], "cat_id": 2}',), ("broken{",), (None,)], "j string")
+    found = df.lateralJoin(JsonWalk(F.col("j").outer())).where("key = 'cat_id'")
+    assert rows(found.select("path", "value")) == [("$", "2"), ("$.a[0]", "1"), ("$.a[1].b", '"x"')]

@@ -84,6 +84,30 @@ def tagged(kind: Column, value: Column) -> Column:
     return F.concat(kind, F.lit(":"), F.trim(value))
 
 
+def expand(text: Column, abbreviations: dict[str, str]) -> Column:
+    """Abbreviations that stand alone and begin with a capital, the longest first, in one fold over the table."""
+    import re
+
+    for short in sorted(abbreviations, key=lambda s: (-len(s), s)):
+        if short[:1].isupper():
+            long_ = abbreviations[short].replace("\\", "\\\\").replace("$", "\\$")
+            text = F.regexp_replace(text, rf"(?<![A-Za-z0-9]){re.escape(short)}(?![A-Za-z0-9])", long_)
+    return text
+
+
+def base_name(text: Column, tokens: tuple[str, ...]) -> Column:
+    """What stands before the first of some tokens (language labels, say)."""
+    import re
+
+    return F.trim(F.regexp_extract(text, "(?i)^(.*?)(?:" + "|".join(map(re.escape, tokens)) + "|$)", 1))
+
+
+def link_label(text: Column) -> Column:
+    """A link's text without window notices and file sizes."""
+    t = F.regexp_replace(text, r"(?i)\(?\s*(?:opens? in|this link will open in) (?:a )?new window\s*\)?", " ")
+    return clean_text(F.regexp_replace(t, r"(?i)\(?\s*(?:pdf)?[\s,:-]*\d+(?:\.\d+)?\s*[km]b\s*\)?|\(\s*pdf\s*\)", " "))
+
+
 def first_non_blank(*options: Column) -> Column:
     return F.coalesce(*[F.when(F.trim(o) != "", o) for o in options])
 
