@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graphs import components, cut
+from .graphs import components, cut, grouped_by
 
 K, FLOOR, WINDOW, ORDERS, ROUNDS = 16, 0.7, 256, 12, 6
 AUDIT, TARGET, AUDITS, PART, BLOCK = 256, 0.995, 4, 128, 512
@@ -148,23 +148,10 @@ def _edges(batches):
         )
 
 
-def _grouped(batches, keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
-    at, held = None, []
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
-            if row[:keys] != at and held:
-                yield at, held
-                held = []
-            at = row[:keys]
-            held.append(row[keys:])
-    if held:
-        yield at, held
-
-
 def _met(batches):
     """Members of a pivot's part: each one's best among the others."""
     out = []
-    for _, rows in _grouped(batches, 2):
+    for _, rows in grouped_by(batches, 2):
         if len(rows) > 1:
             out += _best(np.array([r[0] for r in rows], np.int64), _unit([r[1] for r in rows]))
         if len(out) > 5000:
@@ -178,7 +165,7 @@ def _counted(threshold: float):
     """Of a pair of blocks of one component: how many copies each node of either is linked with in the other."""
 
     def run(batches):
-        for (_, a, b), rows in _grouped(batches, 3):
+        for (_, a, b), rows in grouped_by(batches, 3):
             side = {k: [r for r in rows if r[0] == k] for k in {a, b}}
             x = {k: _unit([r[3] for r in v]) for k, v in side.items() if v}
             if a not in x or b not in x:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,20 @@ def n_buckets(spark: SparkSession, at_least: int = 16) -> int:
     return max(at_least, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def grouped_by(batches, keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Consecutive rows with equal first columns, without these; partitions are sorted by them."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+            if row[:keys] != at and held:
+                yield at, held
+                held = []
+            at = row[:keys]
+            held.append(row[keys:])
+    if held:
+        yield at, held
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first())
 

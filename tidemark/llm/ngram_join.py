@@ -12,8 +12,10 @@ in a few crowded groups: a set with empty ones in no more than ``spare`` parts l
 parts is then not among them; only sets with more send them.
 
 Signatures go to buckets as packed arrays; only groups of two or more different sets leave a bucket.  In a group each set
-is checked against the smallest one (a star, not all pairs).  What is then connected needs no more checks; the rest of a
-group is checked across its components, so components are exact.  Equal sets are one node throughout, so copies cost
+is checked against the smallest one (a star, not all pairs).  What is then connected needs no more checks.  The rest of a
+group is compared across its components by odd sketches, in blocks of bounded size: a sketch holds the parity of the number of features of
+each of its bits, so two sets differ in at least as many features as their sketches in bits, and a pair over its
+limit goes without ever being a row.  What is left is checked exactly, so components are exact.  Equal sets are one node throughout, so copies cost
 nothing beyond their first pass.
 
 Cases: null and empty texts have no set and link with nothing; texts of fewer than n words have one shingle, the whole
@@ -32,10 +34,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectext as vt
-from .graphs import components, cut, n_buckets
+from .graphs import components, cut, grouped_by, n_buckets
 
 BAND = 1.35
 FLUSH = 400_000
+#: Members of a group that are compared at once.
+BLOCK = 1024
+#: Ids of candidates (16 bytes each) are broadcast to the scan up to this many; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 @lru_cache(maxsize=None)
@@ -119,7 +125,7 @@ def _signature_pass(n: int, num: int, den: int, buckets: int):
         bucket = (sig >> vt.U(32)).astype(np.int64) * buckets >> 32
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        sig, node = sig[order], node[order]
+        sig, node = sig[order].astype(np.uint32), node[order]
         full = [b for b in range(buckets) if at[b + 1] > at[b]]
         yield pa.record_batch(
             {
@@ -149,10 +155,13 @@ def _signature_pass(n: int, num: int, den: int, buckets: int):
 
 
 def _groups_of_bucket(batches):
-    """Rows sorted by bucket to (sig, node) of the signatures that two or more nodes have."""
+    """Rows sorted by bucket to (sig, node) of the signatures that two or more nodes have.
+
+    Within a bucket the lower 32 bits stand for a signature: a chance meeting costs one check."""
 
     def found(sigs: list, nodes: list) -> pa.RecordBatch:
-        sig, node = np.frombuffer(b"".join(sigs), np.uint64), np.frombuffer(b"".join(nodes), np.int64)
+        sig = np.frombuffer(b"".join(sigs), np.uint32).astype(np.int64) | np.int64(at) << 32
+        node = np.frombuffer(b"".join(nodes), np.int64)
         order = np.argsort(sig, kind="stable")
         sig, node = sig[order], node[order]
         same = sig[1:] == sig[:-1]
@@ -164,7 +173,7 @@ def _groups_of_bucket(batches):
         sig, node = sig[new], node[new]
         same = sig[1:] == sig[:-1]
         often = (np.concatenate([[False], same]) | np.concatenate([same, [False]]))[: len(sig)]
-        return pa.record_batch({"sig": pa.array(sig[often].view(np.int64)), "node": pa.array(node[often])})
+        return pa.record_batch({"sig": pa.array(sig[often]), "node": pa.array(node[often])})
 
     at, sigs, nodes = None, [], []
     for batch in batches:
@@ -179,24 +188,119 @@ def _groups_of_bucket(batches):
         yield found(sigs, nodes)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Odd sketch of a set: of so many bits that its limit of differences does not fill it."""
+    bits = 1024 << max(0, int(len(s) - 1).bit_length() - 10)
+    place = (vt.mix(s ^ vt.U(0x632BE59BD9B4E019)) & vt.U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of equal length: a longer one is folded onto itself, which leaves a sketch of fewer bits."""
+    size, out = min(map(len, sketches)), []
+    for x in sketches:
+        x = np.frombuffer(x, np.uint64)
+        while len(x) * 8 > size:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        out.append(x)
+    return np.stack(out)
+
+
 def _set_blobs(n: int):
+    """(text, node) to (node, size, features, sketch); features: the upper 48 bits of each hash, by which two sets are compared."""
+
     def run(batches):
         for batch in batches:
             for part in vt.pieces(batch):
-                sets = [s for s in shingle_sets(vt.texts(part, lower=True), n) if len(s)]
+                wanted = part.column(1).to_pylist()
+                sets = [(s, w) for s, w in zip(shingle_sets(vt.texts(part, lower=True), n), wanted, strict=True) if len(s) and node_of(s) == w]
                 yield pa.record_batch(
-                    {"node": pa.array([node_of(s) for s in sets], pa.int64()), "features": pa.array([s.tobytes() for s in sets], pa.binary())}
+                    {
+                        "node": pa.array([w for _, w in sets], pa.int64()),
+                        "size": pa.array([len(s) for s, _ in sets], pa.int64()),
+                        "features": pa.array([s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for s, _ in sets], pa.binary()),
+                        "sketch": pa.array([sketch(s) for s, _ in sets], pa.binary()),
+                    }
                 )
 
     return run
 
 
+def _plausible(num: int, den: int):
+    """Members of a pair of blocks of one group to the pairs across components whose sizes and sketches allow a link."""
+
+    def pairs(a: list[tuple], b: list[tuple], same: bool) -> tuple[np.ndarray, np.ndarray]:
+        both = folded([r[4] for r in a] + ([] if same else [r[4] for r in b]))
+        x, y = both[: len(a)], both if same else both[len(a) :]
+        b = a if same else b
+        node, root, size = (np.array([r[i] for r in b], np.int64) for i in (1, 2, 3))
+        us, vs = [], []
+        for i, r in enumerate(a):
+            least, most = np.minimum(r[3], size), np.maximum(r[3], size)
+            fit = (root != r[2]) & (least * den >= most * num)
+            at = np.flatnonzero(fit[: i if same else None])
+            if len(at):
+                differ = np.bitwise_count(x[i] ^ y[at]).sum(1)
+                at = at[differ * (den + num) <= (den - num) * (r[3] + size[at])]
+                us.append(np.minimum(r[1], node[at]))
+                vs.append(np.maximum(r[1], node[at]))
+        return np.concatenate([*us, np.zeros(0, np.int64)]), np.concatenate([*vs, np.zeros(0, np.int64)])
+
+    def run(batches):
+        us, vs, held = [], [], 0
+
+        def found() -> pa.RecordBatch:
+            both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
+            return pa.record_batch({"u": pa.array(both[:, 0]), "v": pa.array(both[:, 1])})
+
+        for (_, _, a, b), rows in grouped_by(batches, 4):
+            left, right = ([r for r in rows if r[0] == k] for k in (a, b))
+            if left and right:
+                u, v = pairs(left, right, a == b)
+                us.append(u)
+                vs.append(v)
+                held += len(u)
+            if held > 1_000_000:
+                yield found()
+                us, vs, held = [], [], 0
+        if held:
+            yield found()
+
+    return run
+
+
+def _star(num: int, den: int):
+    """Members of groups, sorted, to the pairs of a group's first member and another whose sizes and sketches allow a link."""
+
+    def run(batches):
+        at, first = None, None
+        for batch in batches:
+            us, vs = [], []
+            for sig, node, size, mark in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if sig != at:
+                    at, first = sig, (node, size, mark)
+                elif min(size, first[1]) * den >= max(size, first[1]) * num:
+                    x = folded([mark, first[2]])
+                    if int(np.bitwise_count(x[0] ^ x[1]).sum()) * (den + num) <= (den - num) * (size + first[1]):
+                        us.append(first[0])
+                        vs.append(node)
+            yield pa.record_batch({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    return run
+
+
+def _features(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 6, 8), np.uint8)
+    wide[:, 2:] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
+
+
 def _verified(num: int, den: int):
     def run(batches):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("fu").to_pylist(), batch.column("fv").to_pylist(), strict=True):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                a, b = _features(a), _features(b)
                 both = np.sort(np.concatenate([a, b]))
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(den * common >= num * (len(a) + len(b) - common))
@@ -217,26 +321,33 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     packed = docs.mapInArrow(_signature_pass(n, num, den, buckets), "bucket int, sigs binary, nodes binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     groups = cut(packed.mapInArrow(_groups_of_bucket, "sig long, node long"))
-    sizes = nodes.join(groups.select("node").distinct(), "node")
-    picked = docs.join(sizes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    blobs = picked.mapInArrow(_set_blobs(n), "node long, features binary")
-    blobs = cut(blobs.join(sizes.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    sizes = sizes.select("node", "size")
+    sizes = cut(nodes.join(groups.select("node").distinct(), "node"))
+    wanted = sizes.select(F.col("rep").alias("doc_id"), "node")
+    if sizes.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    blobs = cut(docs.join(wanted, "doc_id").select("text", "node").mapInArrow(_set_blobs(n), "node long, size long, features binary, sketch binary"))
+    sizes, features, sketches = blobs.select("node", "size"), blobs.select("node", "features"), blobs.select("node", "size", "sketch")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = F.least("su", "sv") * den >= F.greatest("su", "sv") * num
-        pairs = pairs.join(sizes.toDF("u", "su"), "u").join(sizes.toDF("v", "sv"), "v").where(near).select("u", "v")
-        full = pairs.join(blobs.toDF("u", "fu"), "u").join(blobs.toDF("v", "fv"), "v").select("u", "v", "fu", "fv")
+        full = pairs.join(features.toDF("v", "fv"), "v").join(features.toDF("u", "fu"), "u").select("u", "v", "fu", "fv")
         return cut(full.mapInArrow(_verified(num, den), "u long, v long"))
 
-    centre = groups.groupBy("sig").agg(F.min("node").alias("u"))
-    star = cut(groups.join(centre, "sig").where("node <> u").select("u", F.col("node").alias("v")).distinct())
+    members = groups.join(sketches, "node").select("sig", "node", "size", "sketch")
+    members = members.repartition("sig").sortWithinPartitions("sig", "node")
+    star = cut(members.mapInArrow(_star(num, den), "u long, v long").distinct())
     links = verified(star)
     roots = components(links)
     placed = groups.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("sig")
-    left = cut(placed.join(open_, "sig", "left_semi"))
-    more = left.toDF("sig", "u", "ru").join(left.toDF("sig", "v", "rv"), "sig").where("u < v and ru <> rv").select("u", "v").distinct()
+    open_ = placed.groupBy("sig").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.min("node").alias("first"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
+    )
+    left = placed.join(open_.where("x <> y").select("sig", "first", "blocks"), "sig").join(sketches, "node")
+    left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = left.select("first", "sig", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node", "root", "size", "sketch")
+    # Groups that begin with one set hold much the same pairs: together, each pair leaves them once.
+    left = left.repartition("first", "a", "b").sortWithinPartitions("first", "sig", "a", "b")
+    more = left.mapInArrow(_plausible(num, den), "u long, v long").distinct()
     more = verified(more.join(star, ["u", "v"], "left_anti"))
     if not more.isEmpty():
         links = links.union(more)
