@@ -3,7 +3,9 @@
 Text is normalised to lower-case ASCII words (A-Z, a-z, 0-9; all else parts words).  A unit is a line, or with number 0 the
 whole of a text of several lines.  Its set is its distinct pairs of neighbouring words; of a single word, that word.
 With c common pairs of a and b, Dice is 2c / (a + b); at a threshold t only templates with t / (2 - t) * a <= b <= (2 - t) / t * a can
-reach it.  Units outside the bounds of all templates go before their pairs are made: a unit has fewer words than
+reach it, and c is t / (2 - t) * a at least.  So of a template's pairs all but a few must stand in a unit, and one of any larger choice
+does: of such a choice, that of the pairs with the longest words, a unit must hold one of these words.  Lines without any go
+first, before anything is made of them.  Units outside the bounds of all templates go before their pairs are made: a unit has fewer words than
 pairs + 2, and no more different words than different pairs + 1.  The rest meet the templates by their pairs, in a broadcast join with a
 table whose size is that of the template list (checked), never with all templates.
 
@@ -13,6 +15,7 @@ of one document are reported once; a null doc_id is reported as null; an empty t
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,6 +65,22 @@ def word_pairs(words: Column) -> Column:
     return F.when(F.size(words) < 2, words).otherwise(F.array_distinct(both))
 
 
+def _whole(lines: Column) -> Column:
+    """All words of a text of several lines; of one line nothing, since the line stands for itself."""
+    return F.when(F.size(lines) > 1, F.array_remove(F.flatten(lines), "")).otherwise(F.array(F.lit("")))
+
+
+def telling_words(sets: list[list[str]], threshold: float) -> list[str]:
+    """Words of which every unit that reaches the threshold with some template holds one."""
+    found = set()
+    for pairs in sets:
+        least = math.ceil(threshold / (2 - threshold) * len(pairs) - 1e-9)
+        longest = {p: max(p.split(), key=lambda w: (len(w), w)) for p in pairs}
+        chosen = sorted(pairs, key=lambda p: (-len(longest[p]), p))[: len(pairs) - least + 1]
+        found |= {longest[p] for p in chosen}
+    return sorted(found)
+
+
 def scan_licences(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line, licence, dice): the best template of each unit that reaches the threshold; line 0 is the whole text."""
     spark = docs.sparkSession
@@ -73,11 +92,11 @@ def scan_licences(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
     least, most = min(low * len(p) for _, _, p in sets), max(high * len(p) for _, _, p in sets)
     text = F.regexp_replace(ascii_lower(F.col("text")), "[^a-z0-9\n]+", " ")
-    lines = F.split(text, "\n")
-    units = F.when(F.size(lines) > 1, F.concat(F.array(F.replace(text, F.lit("\n"), F.lit(" "))), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
-    units = F.transform(units, lambda u: F.filter(F.split(u, " "), lambda w: w != ""))
-    u = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(units).alias("line", "words"))
-    u = u.where((F.size("words") >= least) & (F.size("words") > 0)).where(F.size(F.array_distinct("words")) <= most + 1)
+    lines = F.transform(F.split(text, "\n"), lambda x: F.split(F.trim(x), " "))
+    u = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lines.alias("lines"))
+    u = u.select("doc_id", F.posexplode(F.concat(F.array(_whole(F.col("lines"))), F.col("lines"))).alias("line", "words"))
+    telling = F.lit(telling_words([p for _, _, p in sets], threshold))
+    u = u.where(F.arrays_overlap("words", telling) & (F.size("words") >= least)).where(F.size(F.array_distinct("words")) <= most + 1)
     u = u.select("doc_id", "line", F.xxhash64("words").alias("unit"), word_pairs(F.col("words")).alias("pairs"))
     u = u.withColumn("ours", F.size("pairs")).where(F.col("ours").between(least, most))
     p = u.select("doc_id", "line", "unit", "ours", F.explode("pairs").alias("pair"))
