@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Arrow batches of few rows for what runs inside: for tables whose rows are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def n_buckets(spark: SparkSession, at_least: int = 16) -> int:
     """How many buckets hashed values are dealt to: four for each shuffle partition."""
     return max(at_least, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectext as vt
-from .graphs import components, cut, grouped_by, n_buckets
+from .graphs import components, cut, grouped_by, n_buckets, small_batches
 
 BAND = 1.35
 FLUSH = 400_000
@@ -325,12 +325,16 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     wanted = sizes.select(F.col("rep").alias("doc_id"), "node")
     if sizes.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    blobs = cut(docs.join(wanted, "doc_id").select("text", "node").mapInArrow(_set_blobs(n), "node long, size long, features binary, sketch binary"))
+    with small_batches(spark):
+        blobs = cut(docs.join(wanted, "doc_id").select("text", "node").mapInArrow(_set_blobs(n), "node long, size long, features binary, sketch binary"))
     sizes, features, sketches = blobs.select("node", "size"), blobs.select("node", "features"), blobs.select("node", "size", "sketch")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        full = pairs.join(features.toDF("v", "fv"), "v").join(features.toDF("u", "fu"), "u").select("u", "v", "fu", "fv")
-        return cut(full.mapInArrow(_verified(num, den), "u long, v long"))
+        need = cut(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct())
+        own = features.join(F.broadcast(need) if need.count() <= BROADCAST_ROWS else need, "node", "left_semi")
+        full = pairs.join(own.toDF("v", "fv"), "v").join(own.toDF("u", "fu"), "u").select("u", "v", "fu", "fv")
+        with small_batches(spark):
+            return cut(full.mapInArrow(_verified(num, den), "u long, v long"))
 
     members = groups.join(sketches, "node").select("sig", "node", "size", "sketch")
     members = members.repartition("sig").sortWithinPartitions("sig", "node")
@@ -348,7 +352,7 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     # Groups that begin with one set hold much the same pairs: together, each pair leaves them once.
     left = left.repartition("first", "a", "b").sortWithinPartitions("first", "sig", "a", "b")
     more = left.mapInArrow(_plausible(num, den), "u long, v long").distinct()
-    more = verified(more.join(star, ["u", "v"], "left_anti"))
+    more = verified(cut(more.join(star, ["u", "v"], "left_anti")))
     if not more.isEmpty():
         links = links.union(more)
         roots = components(links)
