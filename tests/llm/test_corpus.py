@@ -233,6 +233,15 @@ def test_decontamination_cases(spark):
     assert decontaminate.contaminated(docs(spark, []), b).count() == 0 and decontaminate.contaminated(docs(spark, rows), b.limit(0)).count() == 0
 
 
+def test_documents_shorter_than_the_item(spark):
+    words = [f"w{i}" for i in range(20)]
+    b = spark.createDataFrame([(1, " ".join(words)), (2, "a b c d e")], "item_id long, text string")
+    rows = [(1, " ".join(words[:-1])), (2, " ".join(words[2:])), (3, " ".join(words[:15])), (4, "a b c d"), (5, " ".join(words[:17]))]
+    got = {(r.doc_id, r.item_id): (r.start, r.n_words, round(r.similarity, 6)) for r in decontaminate.contaminated(docs(spark, rows), b).collect()}
+    assert got == {(1, 1): (0, 19, 0.9375), (2, 1): (0, 18, 0.875), (5, 1): (0, 17, 0.8125)}
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), b).collect()) == [3, 4]
+
+
 def test_blocks_find_all_within_the_radius():
     import numpy as np
 

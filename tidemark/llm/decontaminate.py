@@ -1,6 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact weighted-shingle check.
 
-Words are case-folded runs without white space and ASCII marks.  An item of n words is compared with windows of n words.
+Words are case-folded runs without white space and ASCII marks.  An item of n words is compared with windows of n words,
+and a document of fewer words as a whole with every longer item that it shares a shingle with.
 Both have a fingerprint of 256 bits over their five-word shingles (an item of fewer words has one shingle).  The fingerprints
 of all items are cut into 16 blocks of 16 bits, each an index of its own: two fingerprints within RADIUS = 63 bits
 differ by three bits at most in some block, so looking up all 697 values within three bits of each of a window's blocks finds
@@ -128,7 +129,10 @@ class Items:
             grams = vt.ngrams(words, k)
             known = self.place(grams[places])
             sizes = {int(self.size[o]) for p in set(known.tolist()) for o in self.owners[self.owner_at[p] : self.owner_at[p + 1]]}
-            for n in sorted(s for s in sizes if min(s, SHINGLE) == k and s <= len(words)):
+            of_shingle = {s for s in sizes if min(s, SHINGLE) == k}
+            # For items longer than the document there is one window, the document itself.
+            for n in sorted({min(s, len(words)) for s in of_shingle}):
+                fit = {s for s in of_shingle if min(s, len(words)) == n}
                 length = n - k + 1
                 near = (places[:, None] - np.arange(length)).ravel()
                 starts = np.unique(near[(near >= 0) & (near <= len(words) - n)])
@@ -140,7 +144,7 @@ class Items:
                     sums = np.concatenate([np.zeros((1, BITS)), np.cumsum(self.weights(part)[:, None] * _signs(part), 0)])
                     bits = sums[chunk - low + length] - sums[chunk - low] > 1e-9
                     for w, i in self.within(bits):
-                        if self.size[i] == n:
+                        if int(self.size[i]) in fit:
                             at = int(chunk[w])
                             s = self.similarity(grams[at : at + length], i)
                             if s >= self.threshold - 1e-12 and (-s, at) < (-best.get(i, (0.0, 0))[0], best.get(i, (0.0, 0))[1]):
@@ -165,7 +169,7 @@ def _search(items):
                 rows = []
                 for d, own in hits.items():
                     found = index.found(t.hashes[t.first[d] : t.first[d + 1]], own)
-                    rows += [(d, int(index.ids[i]), at, int(index.size[i]), s) for i, (s, at) in sorted(found.items())]
+                    rows += [(d, int(index.ids[i]), at, min(int(index.size[i]), int(t.n_words[d])), s) for i, (s, at) in sorted(found.items())]
                 if rows:
                     d, item, at, n, s = zip(*rows, strict=True)
                     yield pa.record_batch(
