@@ -242,6 +242,23 @@ def test_documents_shorter_than_the_item(spark):
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), b).collect()) == [3, 4]
 
 
+def test_weights_do_not_depend_on_blocks(spark, monkeypatch):
+    rng = random.Random(11)
+    common = [f"c{i}" for i in range(20)]
+    texts = [" ".join(common + [f"u{k}x{i}" for i in range(12)]) for k in range(6)]
+    edited = [t.split() for t in texts]
+    for w in edited:
+        w[rng.randrange(3, 9)] = "odd"
+    # The last document holds wording that only items of other blocks have.
+    rows = [(k, " ".join(w)) for k, w in enumerate(edited)] + [(9, " ".join(texts[0].split()[:-1] + ["u5x0"] + texts[1].split()))]
+    b = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    found = lambda: {(r.doc_id, r.item_id): (r.start, round(r.similarity, 9)) for r in decontaminate.contaminated(docs(spark, rows), b, 0.5).collect()}
+    want = found()
+    for words in (1, 70, 130):
+        monkeypatch.setattr(decontaminate, "BLOCK", words)
+        assert found() == want and want
+
+
 def test_blocks_find_all_within_the_radius():
     import numpy as np
 

@@ -11,8 +11,9 @@ log(1 + items / items that have it), of at least 0.8.
 
 Only windows that hold a shingle of some item of that size are fingerprinted; others have similarity 0 with all items.
 
-Items go to the executors in blocks of at most BLOCK words, so what is broadcast is bounded whatever the benchmark's size; more
-blocks mean more passes over the documents.
+Items go to the executors in blocks of at most BLOCK words; more blocks mean more passes over the documents.  Weights are those of
+the whole benchmark in every block: beside its items a block gets the counts of all shingles that two or more items of any block
+have (12 bytes each, the one part that grows with the benchmark); all others weigh what a shingle of one item does.
 
 Cases: null and empty texts match nothing; items without words are left out; items with equal words are reported each;
 repeated documents are reported each; a null id is reported as null; empty tables give an empty result.
@@ -54,20 +55,52 @@ def _folded(texts: pa.Array) -> pa.RecordBatch:
     return pa.record_batch({"text": pc.replace_substring(pc.utf8_lower(texts), "\u00df", "ss")})
 
 
+def _shingles(words: np.ndarray) -> np.ndarray:
+    return vt.ngrams(words, min(SHINGLE, len(words))) if len(words) else words
+
+
+def _listed(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Items' numbers of words, their shingles, and the distinct (shingle, place of item)."""
+    t = vt.texts(_folded(pa.array(texts, pa.string())), breaks=vt.MARKS)
+    lists = [_shingles(t.hashes[a:b]) for a, b in zip(t.first[:-1], t.first[1:], strict=True)]
+    of = np.repeat(np.arange(len(texts)), [len(x) for x in lists])
+    every = np.concatenate([*lists, np.zeros(0, np.uint64)])
+    pairs = np.unique(np.stack([every, of.astype(np.uint64)], 1), axis=0) if len(every) else np.zeros((0, 2), np.uint64)
+    return t.n_words, lists, pairs
+
+
+class Weights:
+    """log(1 + items / items that have it) of each shingle, over all blocks of items."""
+
+    def __init__(self, blocks: list[list[str]]):
+        known, count, items = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        for texts in blocks:
+            more, n = np.unique(_listed(texts)[2][:, 0], return_counts=True)
+            known, of = np.unique(np.concatenate([known, more]), return_inverse=True)
+            count = np.bincount(of, np.concatenate([count, n]), len(known)).astype(np.int64)
+            items += len(texts)
+        self.items, self.shared, self.count = items, known[count > 1], count[count > 1].astype(np.int32)
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(self.shared >> vt.U(44)).astype(np.int64)] = True
+
+    def __call__(self, shingles: np.ndarray) -> np.ndarray:
+        have = np.ones(len(shingles), np.int64)
+        some = np.flatnonzero(self.seen[(shingles >> vt.U(44)).astype(np.int64)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.shared, shingles[some]), len(self.shared) - 1)
+            have[some] = np.where(self.shared[at] == shingles[some], self.count[at], 1)
+        return np.log1p(self.items / have)
+
+
 class Items:
-    """The items of one block: shingle weights, and the multi-index of fingerprints."""
+    """The items of one block, the weights of all blocks, and the multi-index of fingerprints."""
 
-    def __init__(self, ids: list[int], texts: list[str], threshold: float):
+    def __init__(self, ids: list[int], texts: list[str], threshold: float, weights: Weights | None = None):
         self.threshold = threshold
-        t = vt.texts(_folded(pa.array(texts, pa.string())), breaks=vt.MARKS)
+        self.weights = weights or Weights([texts])
         self.ids = np.array(ids, np.int64)
-        self.size = t.n_words
-        self.lists = [self.shingles(t.hashes[a:b]) for a, b in zip(t.first[:-1], t.first[1:], strict=True)]
-        of = np.repeat(np.arange(len(ids)), [len(x) for x in self.lists])
-        every = np.concatenate([*self.lists, np.zeros(0, np.uint64)])
-        pairs = np.unique(np.stack([every, of.astype(np.uint64)], 1), axis=0) if len(every) else np.zeros((0, 2), np.uint64)
+        self.size, self.lists, pairs = _listed(texts)
         self.known, count = np.unique(pairs[:, 0], return_counts=True)
-        self.weight, self.unknown = np.log1p(len(ids) / count), float(np.log1p(len(ids)))
         self.owners = pairs[np.argsort(pairs[:, 0], kind="stable"), 1].astype(np.int64)
         self.owner_at = np.concatenate([[0], np.cumsum(count)])
         self.seen = np.zeros(1 << 20, bool)
@@ -81,10 +114,6 @@ class Items:
             order = full[np.argsort(blocks[full, b], kind="stable")]
             self.index.append((order, np.searchsorted(blocks[order, b], np.arange((1 << 16) + 1))))
 
-    @staticmethod
-    def shingles(words: np.ndarray) -> np.ndarray:
-        return vt.ngrams(words, min(SHINGLE, len(words))) if len(words) else words
-
     def place(self, shingles: np.ndarray) -> np.ndarray:
         """Place of each shingle among the known ones, -1 for others."""
         out = np.full(len(shingles), -1, np.int64)
@@ -94,10 +123,6 @@ class Items:
             out[some] = np.where(self.known[at] == shingles[some], at, -1)
         return out
 
-    def weights(self, shingles: np.ndarray) -> np.ndarray:
-        at = self.place(shingles)
-        return np.where(at >= 0, self.weight[at] if len(self.weight) else 0.0, self.unknown)
-
     def within(self, bits: np.ndarray) -> Iterator[tuple[int, int]]:
         """(window, item) with fingerprints within the radius."""
         blocks, pairs = _blocks(bits), []
@@ -200,7 +225,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8)
             ids, texts, words = [], [], 0
     if ids:
         found.append((ids, texts))
-    parts = [docs.mapInArrow(_search(spark.sparkContext.broadcast(Items(i, x, threshold))), SCHEMA) for i, x in found]
+    weights = Weights([x for _, x in found])
+    parts = [docs.mapInArrow(_search(spark.sparkContext.broadcast(Items(i, x, threshold, weights))), SCHEMA) for i, x in found]
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], SCHEMA)
 
 
