@@ -108,6 +108,25 @@ def test_join_by_brute_force(spark, seed, n, num, den):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in sets if low[i] == i) and kept.columns == docs(spark, []).columns
 
 
+def test_join_of_null_and_repeated_ids(spark):
+    text = lambda k, odd=None: " ".join("odd" if i == odd else f"{k}w{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("a", 0)), (None, text("a", 59)), (None, "lone text without any copy"), (3, text("b")), (None, text("b", 0))]
+    # Only the null id's set links 10 with 11; 20 stands for two texts, one of which belongs to 5; 30 repeats a near copy of itself.
+    c = [f"c{i}" for i in range(80)]
+    rows += [(10, " ".join(c)), (None, " ".join(["x"] * 7 + c[7:])), (11, " ".join(["x"] * 7 + c[7:73] + ["y"] * 7))]
+    rows += [(5, text("d")), (20, text("d", 0)), (20, text("e")), (30, text("f")), (30, text("f", 0)), (None, None), (None, None), (None, ""), (40, ""), (40, text("g"))]
+    placed, _ = ngram_join.similar_documents(docs(spark, rows), 4, 85, 100)
+    got = {}
+    for r in placed.collect():
+        got.setdefault(r.component_id, []).append(r.doc_id)
+    assert {k: sorted(v, key=str) for k, v in got.items()} == {None: [None] * 7, 3: [3, None], 5: [20, 5], 10: [10, 11, None], 20: [20], 30: [30, 30], 40: [40, 40]}
+    kept = [(r.doc_id, r.text) for r in ngram_join.drop_similar(docs(spark, rows), 4, 85, 100).collect()]
+    ids = sorted((i for i, _ in kept if i is not None))
+    assert ids == [3, 5, 10, 20, 30, 40, 40] and (20, text("e")) in kept
+    nulls = [t for i, t in kept if i is None]
+    assert len(nulls) == 4 and {None, "", "lone text without any copy"} < set(nulls) and any((t or "").endswith(" aw58 aw59") or (t or "").startswith("aw0 aw1") for t in nulls)
+
+
 def test_chain_of_links_is_one_component(spark):
     w = [f"w{i}" for i in range(60)]
     rows = [(k, " ".join([f"n{j}" for j in range(3 * k)] + w[3 * k :])) for k in range(15)]

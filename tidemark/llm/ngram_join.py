@@ -19,8 +19,8 @@ limit goes without ever being a row.  What is left is checked exactly, so compon
 nothing beyond their first pass.
 
 Cases: null and empty texts have no set and link with nothing; texts of fewer than n words have one shingle, the whole
-sequence; equal ids with equal texts are copies; a null id is reported with its group's smallest id; an empty table gives
-an empty result; extra columns are ignored.
+sequence; equal ids with equal texts are copies; a null id is reported with its group's smallest id, null if the group has none;
+an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +30,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import vectext as vt
 from .graphs import components, cut, grouped_by, n_buckets, small_batches
@@ -118,6 +119,23 @@ def _sets_pass(n: int):
     return run
 
 
+def _with_node(n: int):
+    """Rows with their set's node added."""
+
+    def run(batches):
+        for batch in batches:
+            for part in vt.pieces(batch):
+                nodes = [node_of(s) if len(s) else None for s in shingle_sets(vt.texts(part, lower=True), n)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*part.schema.names, "_nj_node"])
+
+    return run
+
+
+def _noded(docs: DataFrame, n: int) -> DataFrame:
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema] + [StructField("_nj_node", LongType())])
+    return docs.mapInArrow(_with_node(n), schema)
+
+
 def _signature_pass(n: int, num: int, den: int, buckets: int):
     def packed(held: list) -> Iterator[pa.RecordBatch]:
         sig = np.concatenate([x[0] for x in held])
@@ -311,8 +329,8 @@ def _verified(num: int, den: int):
 
 
 def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """Documents and links for similarity num/den on n-word shingles: (doc_id, n_shingles, node, component_id), one row per row
-    of ``docs``, and (u, v): the verified links between nodes.  The links hold a spanning forest of every component."""
+    """Documents and links for similarity num/den on n-word shingles: (doc_id, n_shingles, node, root, component_id), one row per row
+    of ``docs``, with the smallest node of its component, and (u, v): the verified links between nodes.  The links hold a spanning forest of every component."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     of = cut(docs.mapInArrow(_sets_pass(n), "doc_id long, n_shingles long, node long"))
@@ -322,11 +340,16 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     groups = cut(packed.mapInArrow(_groups_of_bucket, "sig long, node long"))
     sizes = cut(nodes.join(groups.select("node").distinct(), "node"))
-    wanted = sizes.select(F.col("rep").alias("doc_id"), "node")
+    wanted = sizes.where("rep is not null").select(F.col("rep").alias("doc_id"), "node")
     if sizes.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
+    texts, unnamed = docs.join(wanted, "doc_id").select("text", "node"), sizes.where("rep is null").select("node")
+    if not unnamed.isEmpty():
+        # Sets that no id leads to: one text of each, by its node.
+        own = _noded(docs.where("doc_id is null").select("text"), n).withColumnRenamed("_nj_node", "node")
+        texts = texts.union(own.join(unnamed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")).select("text", "node"))
     with small_batches(spark):
-        blobs = cut(docs.join(wanted, "doc_id").select("text", "node").mapInArrow(_set_blobs(n), "node long, size long, features binary, sketch binary"))
+        blobs = cut(texts.mapInArrow(_set_blobs(n), "node long, size long, features binary, sketch binary"))
     sizes, features, sketches = blobs.select("node", "size"), blobs.select("node", "features"), blobs.select("node", "size", "sketch")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -357,20 +380,36 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
         links = links.union(more)
         roots = components(links)
     low = nodes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("low"))
-    lows = nodes.join(roots, "node", "left").join(low, "root", "left").select("node", F.coalesce("low", "rep").alias("low"))
+    lows = nodes.join(roots, "node", "left").join(low, "root", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("low", "rep").alias("low"))
     placed = of.join(lows, "node", "left")
-    return placed.select("doc_id", "n_shingles", "node", F.coalesce("low", "doc_id").alias("component_id")), links
+    return placed.select("doc_id", "n_shingles", "node", "root", F.coalesce("low", "doc_id").alias("component_id")), links
 
 
 def drop_similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of one document of each group of similar ones, that with the smallest id; repeated rows of it stay once."""
-    from pyspark.sql import Window
-
+    """One row of each group of similar documents, that with the smallest id (null ids come last); of rows without a set, equal
+    texts of one id stay once."""
     placed, _ = similar_documents(docs, n, num, den)
-    stay = placed.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("_nj_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_nj_id")), "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    return kept.withColumn("_nj_row", F.row_number().over(same)).where("_nj_row = 1").drop("_nj_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("x")
+    stay = placed.where("node is not null").groupBy("root").agg(first).select(F.col("x.doc_id").alias("_nj_id"), F.col("x.node").alias("_nj_at"))
+    # An id with one set leads to it; rows of other ids, and of none, are found by their own node.
+    kinds = placed.where("doc_id is not null").groupBy(F.col("doc_id").alias("_nj_id")).agg(
+        F.min("node").alias("_nj_node"), ((F.min("node") < F.max("node")) | (F.count("node") > 0) & (F.count("node") < F.count(F.lit(1)))).alias("mixed")
+    )
+    kinds = cut(kinds.withColumn("mixed", F.coalesce("mixed", F.lit(False))))
+    id_ = F.col("doc_id").cast("long")
+    plain = kinds.where("not mixed").join(stay.where("_nj_id is not null").select("_nj_id", "_nj_at"), "_nj_id", "left")
+    plain = plain.where("_nj_node is null or _nj_node = _nj_at").select("_nj_id", "_nj_node")
+    kept = docs.join(plain, id_ == F.col("_nj_id")).drop("_nj_id")
+    mixed = kinds.where("mixed").select("_nj_id")
+    odd = [docs.where(id_.isNull())] if not placed.where("doc_id is null").isEmpty() else []
+    odd += [docs.join(mixed, id_ == F.col("_nj_id"), "left_semi")] if not mixed.isEmpty() else []
+    for rows in odd:
+        rows = _noded(rows, n)
+        found = (F.col("_nj_node") == F.col("_nj_at")) & id_.eqNullSafe(F.col("_nj_id"))
+        kept = kept.union(rows.join(stay, found, "left_semi")).union(rows.where("_nj_node is null"))
+    text = F.xxhash64("text")
+    same = Window.partitionBy("doc_id", "_nj_node", F.when(F.col("_nj_node").isNull(), text)).orderBy(text)
+    return kept.withColumn("_nj_row", F.row_number().over(same)).where("_nj_row = 1").drop("_nj_row", "_nj_node")
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
