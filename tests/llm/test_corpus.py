@@ -343,6 +343,36 @@ def test_embeddings_by_brute_force(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_links_between_tight_clusters(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+
+    def near(a, cos):
+        b = rng.normal(size=16)
+        b -= (a @ b) * a
+        return cos * a + math.sqrt(1 - cos * cos) * b / np.linalg.norm(b)
+
+    x = []
+    # Two clusters, three in a chain of which one is larger than a window, and one alone.
+    for sizes in ((40, 40), (30, 400, 30), (50,)):
+        c = rng.normal(size=16)
+        c /= np.linalg.norm(c)
+        for n in sizes:
+            x += [c + rng.normal(scale=1e-4, size=16) for _ in range(n)]
+            c = near(c, 0.96)
+    x = np.array(x)[rng.permutation(len(x))]
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    links = u @ u.T >= 0.95
+    np.fill_diagonal(links, False)
+    low = np.arange(len(x))
+    for _ in range(10):
+        low = np.minimum(low, np.where(links, low[None, :], len(x)).min(1))
+    got = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect()}
+    assert [got[i].n_links for i in range(len(x))] == links.sum(1).tolist() and [got[i].component_id for i in range(len(x))] == low.tolist()
+    assert sum(r.kept for r in got.values()) == len(set(low.tolist())) == 3
+
+
 def test_pipeline_by_its_parts(spark):
     import corpus_pipeline
 

@@ -7,9 +7,11 @@ those that list it and those that it lists meet and are compared; a pivot that v
 Rounds end when no list improves.  Lists hold the K best above FLOOR: two vectors linked to a third at 0.95 are 0.8 alike at least, so
 less alike ones lead nowhere.
 
-A list whose K entries are all links is saturated and is enlarged to its whole component, in pairs of blocks of bounded
-size that are counted, not listed.  An audit compares a fixed number of vectors with all others by brute force; while recall of
-their links is below TARGET, more orders are added.
+A list whose K entries are all links is saturated: links that lead out of a tight cluster may have been cut from it.  So saturated
+nodes are sorted in new random orders, where runs of one component are thinned to THIN, and compared across components within windows;
+what links is one component, and rounds go on until none are joined.  A saturated list is then enlarged to its whole component, in pairs
+of blocks of bounded size that are counted, not listed.  An audit compares a fixed number of vectors with all others by brute force; while recall of
+their links is below TARGET, more orders are added; a recall that stays below it is a warning.
 
 Similarity is the cosine in double precision.  Cases: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing; vectors of different lengths do not link; repeated rows are copies of each other; a null vec_id is reported as null and never names a
@@ -18,6 +20,8 @@ component; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import warnings
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,7 @@ from .graphs import components, cut, grouped_by
 
 K, FLOOR, WINDOW, ORDERS, ROUNDS = 16, 0.7, 256, 12, 6
 AUDIT, TARGET, AUDITS, PART, BLOCK = 256, 0.995, 4, 128, 512
+THIN = 32
 GRAPH = "u long, ids binary, sims binary"
 
 
@@ -114,6 +119,68 @@ def _windows(batches):
         yield compared(held)
 
 
+def _thinned(rows) -> Iterator[tuple]:
+    """Rows (order, root, ...) without the middle of long runs of one root."""
+    at, n, tail = None, 0, deque(maxlen=THIN // 2)
+    for row in rows:
+        if row[:2] != at:
+            yield from tail
+            at, n = row[:2], 0
+            tail.clear()
+        n += 1
+        if n <= THIN // 2:
+            yield row
+        else:
+            tail.append(row)
+    yield from tail
+
+
+def _across(threshold: float):
+    """Sorted (o, root, node, vec) to a link for each two components that have one within a window."""
+
+    def compared(rows: list) -> pa.RecordBatch:
+        node, root = (np.array([r[i] for r in rows], np.int64) for i in (2, 1))
+        x = _unit([r[3] for r in rows])
+        i, j = np.nonzero(np.triu(x @ x.T >= threshold, 1) & (root[:, None] != root))
+        both = np.sort(np.stack([root[i], root[j]], 1), 1)
+        first = np.unique(both, axis=0, return_index=True)[1]
+        return pa.record_batch({"u": pa.array(node[i[first]], pa.int64()), "v": pa.array(node[j[first]], pa.int64())})
+
+    def run(batches):
+        held: list[tuple] = []
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("o", "root", "node", "vec")), strict=True))
+        for row in _thinned(rows):
+            if held and held[-1][0] != row[0]:
+                yield compared(held)
+                held = []
+            held.append(row)
+            if len(held) == WINDOW:
+                yield compared(held)
+                held = held[WINDOW // 2 :]
+        if held:
+            yield compared(held)
+
+    return run
+
+
+def _joined(links: DataFrame, full: DataFrame, nodes: DataFrame, threshold: float, first: int) -> DataFrame:
+    """Components of the links and of those across components of saturated nodes; orders are numbered from ``first``."""
+    roots, own = components(links), cut(nodes.join(full, nodes["node"] == full["u"], "left_semi"))
+    size = own.count()
+    while True:
+        kinds = roots.join(own.select("node"), "node", "left_semi").select("root").distinct().count()
+        if kinds < 2:
+            return roots
+        bits = max(1, int(np.ceil(np.log2(min(size, kinds * THIN) / WINDOW))) + 1)
+        dealt = own.mapInArrow(_orders(first, ORDERS, bits), "o long, code long, along double, node long, vec binary").join(roots, "node")
+        dealt = dealt.repartitionByRange("o", "code", "along").sortWithinPartitions("o", "code", "along", "node")
+        found = cut(dealt.mapInArrow(_across(threshold), "u long, v long").distinct())
+        if found.isEmpty():
+            return roots
+        links, first = links.union(found), first + ORDERS
+        roots = components(links)
+
+
 def _merged(batches):
     """(u, lists) to each node's K best of all its lists."""
     for batch in batches:
@@ -223,8 +290,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, log=None) -> Da
         graph = _merge(found if graph is None else found.union(graph))
         graph = _descended(graph, nodes)
         edges = cut(graph.mapInArrow(_edges, "u long, v long, s double, n long").where(F.col("s") >= threshold))
-        full = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("u")
-        roots = components(edges.select("u", "v"))
+        full = cut(edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= K).select("u"))
+        # Orders of its own for each audit: the graph's are numbered from 0.
+        roots = _joined(edges.select("u", "v"), full, nodes, threshold, (audit + 1) * 10_000)
         crowded = cut(roots.join(full, roots["node"] == full["u"], "left_semi").select("root").distinct())
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
         hit = truth.join(both, ["u", "v"], "left_semi")
@@ -236,6 +304,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, log=None) -> Da
         audit += 1
         if recall >= TARGET or audit >= AUDITS:
             break
+    if recall < TARGET:
+        warnings.warn(f"recall of links is {recall:.4f}, below {TARGET}", stacklevel=2)
     copies = names.select(F.col("node").alias("v"), "copies")
     plain = both.join(copies, "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("near"))
     member = roots.join(crowded, "root", "left_semi")
