@@ -25,3 +25,10 @@ def test_all_registered():
 def test_filters_and_columns_reach_the_scan(spark):
     plan = tables.anti_seen(spark, DATA)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(l_quantity,40.0)" in plan and "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+
+
+def test_type_outliers_judges_all_events(spark, tmp_path):
+    rows = [(k, "view", '{"k": 1}') for k in range(3000, 3020)] + [(4001, "view", '{"k": true}'), (4003, "view", '{"k": 1.5}')]
+    spark.createDataFrame(rows, "event_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = tables.type_outliers(spark, str(tmp_path)).collect()
+    assert sorted((r.n, r.dominant) for r in got) == [(1, "int"), (1, "int")] and len({r.kind for r in got} - {"int", "str"}) == 2

@@ -173,7 +173,8 @@ def type_histogram(spark, d):
 
 
 def type_outliers(spark, d):
-    e = _meta(spark, d).where("event_id % 500 = 7 and event_id < 2000 or event_id % 3 = 0 and event_id % 50 <> 3 and event_id % 500 <> 7")
+    # A type in four rows at most, however many events there are; all are judged.
+    e = table(spark, d, "events").withColumn("meta", F.expr("CASE WHEN event_id % 500 = 7 AND event_id < 2000 THEN '{\"k\": \"x\"}' ELSE props END"))
     e = e.withColumn("kind", documents.value_type(F.variant_get(documents.parsed(F.col("meta")), "$.k", "variant")))
     return quality.type_outliers(e, ["event_type"], "kind", "event_id")
 
