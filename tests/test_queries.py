@@ -32,3 +32,13 @@ def test_type_outliers_judges_all_events(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
     got = tables.type_outliers(spark, str(tmp_path)).collect()
     assert sorted((r.n, r.dominant) for r in got) == [(1, "int"), (1, "int")] and len({r.kind for r in got} - {"int", "str"}) == 2
+
+
+def test_bfs_follows_all_lines(spark, tmp_path):
+    lines = [(1, 7, 1), (2, 8, 1), (50, 8, 2), (3, 9, 2), (51, 9, 3), (4, 10, 3), (100, 12, 5)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want, at = {7: 0}, {7}
+    for depth in range(1, 4):
+        at = {y for _, p, s in lines for x, y in ((p, -s), (-s, p)) if x in at} - set(want)
+        want |= dict.fromkeys(at, depth)
+    assert {r.node: r.depth for r in tables.bfs_parts(spark, str(tmp_path)).collect()} == want == {7: 0, -1: 1, 8: 2, -2: 3}

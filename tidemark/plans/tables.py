@@ -264,7 +264,7 @@ def source_groups(spark, d):
 
 
 def bfs_parts(spark, d):
-    l = table(spark, d, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_partkey").alias("p"), (-F.col("l_suppkey")).alias("s"))
+    l = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p"), (-F.col("l_suppkey")).alias("s"))
     edges = l.select(F.col("p").alias("src"), F.col("s").alias("dst")).union(l.select(F.col("s").alias("src"), F.col("p").alias("dst"))).distinct()
     seed = l.agg(F.min("p").alias("node"))
     return traverse.bfs(edges, seed, 3).select("node", F.col("depth").cast("long").alias("depth"))
