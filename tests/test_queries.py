@@ -42,3 +42,9 @@ def test_bfs_follows_all_lines(spark, tmp_path):
         at = {y for _, p, s in lines for x, y in ((p, -s), (-s, p)) if x in at} - set(want)
         want |= dict.fromkeys(at, depth)
     assert {r.node: r.depth for r in tables.bfs_parts(spark, str(tmp_path)).collect()} == want == {7: 0, -1: 1, 8: 2, -2: 3}
+
+
+def test_phone_is_of_the_whole_text(spark, tmp_path):
+    rows = [(1, "call " + "x" * 300 + " +852 2345 6789"), (2, "12 " + "y" * 300 + " 34"), (3, "none")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.phone for r in links.doc_lang_flags(spark, str(tmp_path)).collect()} == {1: "23456789", 2: "1234", 3: ""}

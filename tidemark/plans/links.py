@@ -84,7 +84,7 @@ def comment_free_length(spark, d):
 
 def doc_lang_flags(spark, d):
     t = F.col("text")
-    return table(spark, d, "documents").select("doc_id", text.is_chinese_only(t).alias("chinese_only"), text.link_language(t).alias("script"), F.coalesce(text.phone(F.substring(t, 1, 200)), F.lit("")).alias("phone"))
+    return table(spark, d, "documents").select("doc_id", text.is_chinese_only(t).alias("chinese_only"), text.link_language(t).alias("script"), F.coalesce(text.phone(t), F.lit("")).alias("phone"))
 
 
 def url_locale(spark, d):
