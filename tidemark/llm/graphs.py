@@ -34,9 +34,11 @@ def small_batches(spark: SparkSession, rows: int = 500):
         spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
 
 
-def n_buckets(spark: SparkSession, at_least: int = 16) -> int:
-    """How many buckets hashed values are dealt to: four for each shuffle partition."""
-    return max(at_least, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def n_buckets(spark: SparkSession, values: int = 0, each: int = 250_000) -> int:
+    """How many buckets hashed values are dealt to: four for each shuffle partition, and one for each ``each`` values.
+
+    A unit sends a row to each bucket at most and one per value at most, so rows stay in proportion to the values."""
+    return max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), values // each)
 
 
 def grouped_by(batches, keys: int) -> Iterator[tuple[tuple, list[tuple]]]:

@@ -11,16 +11,25 @@ sets.  So each (part, subset) gives a signature, and linked sets share one.  Sig
 in a few crowded groups: a set with empty ones in no more than ``spare`` parts leaves them out, since one of the spare + 1
 parts is then not among them; only sets with more send them.
 
-Signatures go to buckets as packed arrays; only groups of two or more different sets leave a bucket.  In a group each set
-is checked against the smallest one (a star, not all pairs).  What is then connected needs no more checks.  The rest of a
-group is compared across its components by odd sketches, in blocks of bounded size: a sketch holds the parity of the number of features of
-each of its bits, so two sets differ in at least as many features as their sketches in bits, and a pair over its
-limit goes without ever being a row.  What is left is checked exactly, so components are exact.  Equal sets are one node throughout, so copies cost
-nothing beyond their first pass.
+Signatures go to buckets as packed arrays.  Of a signature's group only (smallest node, other node) leaves a bucket, each
+pair once: a node's *family* is all nodes that follow it in some group, so nodes that share a signature share a family, and a
+cluster that shares hundreds of signatures costs no more rows than one that shares a few.  Families are compared twice.  The
+first time each node is only in the family of its smallest node, which connects most of what is linked.  The second time all
+families stand that still have members of different components, and only pairs across components count.
+
+A comparison has two steps.  Odd sketches are compared in blocks of bounded size: a sketch holds the parity of the number of
+features of each of its bits, so two sets differ in at least as many features as their sketches in bits.  Members without
+a plausible partner go; the rest, in parts joined by plausible pairs, get their sets, and a task checks pairs of a part
+exactly until they are connected, so m members give m - 1 links at most, whatever their number of pairs.  Two sets count as equal by the
+upper 48 bits of each shingle's hash.  Equal sets are one node throughout, so copies cost nothing beyond their first pass.
+A family of m members whose sketches do not tell them apart costs m * m / BLOCK rows in the first step.
+
+Texts are never shuffled for the sets: the scan computes those whose document may be asked for, by a bitmap of fixed size.
 
 Cases: null and empty texts have no set and link with nothing; texts of fewer than n words have one shingle, the whole
 sequence; equal ids with equal texts are copies; a null id is reported with its group's smallest id, null if the group has none;
-an empty table gives an empty result; extra columns are ignored.
+an empty table gives an empty result; extra columns are ignored, whatever their names; a text of any length is one set in one
+task, and its signatures grow with its words.
 """
 
 from __future__ import annotations
@@ -39,10 +48,10 @@ from .graphs import components, cut, grouped_by, n_buckets, small_batches
 
 BAND = 1.35
 FLUSH = 400_000
-#: Members of a group that are compared at once.
+#: Members of a family that are compared at once.
 BLOCK = 1024
-#: Ids of candidates (16 bytes each) are broadcast to the scan up to this many; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: The scan's bitmap of documents whose sets are asked for has 2 ** BITS bits (8 MB).
+BITS = 26
 
 
 @lru_cache(maxsize=None)
@@ -77,19 +86,21 @@ def node_of(s: np.ndarray) -> int:
     return int(vt.mix(np.array([vt.mix(s).sum(dtype=np.uint64) + vt.U(len(s))], np.uint64)).view(np.int64)[0])
 
 
-def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
-    """All PartEnum signatures of a sorted set of hashes."""
-    size = len(s)
+@lru_cache(maxsize=1 << 16)
+def _own_levels(size: int, num: int, den: int) -> tuple[tuple[int, int, int, int, int], ...]:
+    """(level, k, spare, n1, n2) of the levels at which a set of this size takes part."""
     ends, plans = levels(1 << (2 * size + 8).bit_length(), num, den)
     band = int(np.searchsorted(ends, size))
+    return tuple((x, *plans[x]) for x in (band, band + 1) if plans[x][0] and (x == band or size * den // num > ends[band]))
+
+
+def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """All PartEnum signatures of a sorted set of hashes."""
     out = []
-    scrambled = np.zeros(size + 1, np.uint64)
+    scrambled = np.zeros(len(s) + 1, np.uint64)
     np.cumsum(vt.mix(s ^ vt.U(0x5851F42D4C957F2D)), out=scrambled[1:])
     top = (s >> vt.U(32)).astype(np.int64)
-    for level in (band, band + 1):
-        k, spare, n1, n2 = plans[level]
-        if level > band and size * den // num <= ends[band] or not k:
-            continue
+    for level, _, spare, n1, n2 in _own_levels(len(s), num, den):
         edges = -(-(np.arange(n1 * n2 + 1, dtype=np.int64) << 32) // (n1 * n2))
         cuts = np.searchsorted(top, edges)
         sums = (scrambled[cuts[1:]] - scrambled[cuts[:-1]]).reshape(n1, n2)
@@ -103,7 +114,28 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _sets_pass(n: int):
+def sketch(s: np.ndarray) -> bytes:
+    """Odd sketch of a set: of at least as many bits as it has features, 128 at least."""
+    bits = 128 << max(0, int(len(s) - 1).bit_length() - 7)
+    place = (vt.mix((s >> vt.U(16)) ^ vt.U(0x632BE59BD9B4E019)) & vt.U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of equal length: a longer one is folded onto itself, which leaves a sketch of fewer bits."""
+    size = min(map(len, sketches))
+    if all(len(x) == size for x in sketches):
+        return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    out = []
+    for x in sketches:
+        x = np.frombuffer(x, np.uint64)
+        while len(x) * 8 > size:
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        out.append(x)
+    return np.stack(out)
+
+
+def _sets_pass(n: int, num: int, den: int):
     def run(batches):
         for batch in batches:
             for part in vt.pieces(batch):
@@ -112,7 +144,9 @@ def _sets_pass(n: int):
                     {
                         "doc_id": part.column(0).cast(pa.int64()),
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                        "n_signatures": pa.array([sum(x[3] * x[4] for x in _own_levels(len(s), num, den)) if len(s) else 0 for s in sets], pa.int64()),
                         "node": pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                        "sketch": pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                     }
                 )
 
@@ -172,14 +206,13 @@ def _signature_pass(n: int, num: int, den: int, buckets: int):
     return run
 
 
-def _groups_of_bucket(batches):
-    """Rows sorted by bucket to (sig, node) of the signatures that two or more nodes have.
+def _candidates_of_bucket(batches):
+    """Rows sorted by bucket to (u, v): the smallest node of each signature's group with each other node, once a bucket.
 
-    Within a bucket the lower 32 bits stand for a signature: a chance meeting costs one check."""
+    Within a bucket the lower 32 bits stand for a signature: a chance meeting costs one comparison."""
 
     def found(sigs: list, nodes: list) -> pa.RecordBatch:
-        sig = np.frombuffer(b"".join(sigs), np.uint32).astype(np.int64) | np.int64(at) << 32
-        node = np.frombuffer(b"".join(nodes), np.int64)
+        sig, node = np.frombuffer(b"".join(sigs), np.uint32), np.frombuffer(b"".join(nodes), np.int64)
         order = np.argsort(sig, kind="stable")
         sig, node = sig[order], node[order]
         same = sig[1:] == sig[:-1]
@@ -187,229 +220,209 @@ def _groups_of_bucket(batches):
         sig, node = sig[often], node[often]
         order = np.lexsort((node, sig))
         sig, node = sig[order], node[order]
-        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])[: len(sig)]
-        sig, node = sig[new], node[new]
-        same = sig[1:] == sig[:-1]
-        often = (np.concatenate([[False], same]) | np.concatenate([same, [False]]))[: len(sig)]
-        return pa.record_batch({"sig": pa.array(sig[often]), "node": pa.array(node[often])})
-
-    at, sigs, nodes = None, [], []
-    for batch in batches:
-        for bucket, s, d in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if bucket != at and sigs:
-                yield found(sigs, nodes)
-                sigs, nodes = [], []
-            at = bucket
-            sigs.append(s)
-            nodes.append(d)
-    if sigs:
-        yield found(sigs, nodes)
+        new = np.ones(len(sig), bool)
+        new[1:] = sig[1:] != sig[:-1]
+        u = node[np.flatnonzero(new)][np.cumsum(new) - 1]
+        u, v = u[u != node], node[u != node]
+        order = np.lexsort((v, u))
+        u, v = u[order], v[order]
+        new = np.ones(len(u), bool)
+        new[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+        return pa.record_batch({"u": pa.array(u[new]), "v": pa.array(v[new])})
 
+    for _, rows in grouped_by(batches, 1):
+        yield found([r[0] for r in rows], [r[1] for r in rows])
 
-def sketch(s: np.ndarray) -> bytes:
-    """Odd sketch of a set: of so many bits that its limit of differences does not fill it."""
-    bits = 1024 << max(0, int(len(s) - 1).bit_length() - 10)
-    place = (vt.mix(s ^ vt.U(0x632BE59BD9B4E019)) & vt.U(bits - 1)).astype(np.int64)
-    return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
+class _Parts:
+    """Labels of things that are joined by and by."""
 
-def folded(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as rows of equal length: a longer one is folded onto itself, which leaves a sketch of fewer bits."""
-    size, out = min(map(len, sketches)), []
-    for x in sketches:
-        x = np.frombuffer(x, np.uint64)
-        while len(x) * 8 > size:
-            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-        out.append(x)
-    return np.stack(out)
+    def __init__(self, labels: list[int]):
+        self.labels = np.unique(np.array(labels, np.int64), return_inverse=True)[1]
 
+    def join(self, i: int, j: int) -> None:
+        self.labels[self.labels == self.labels[j]] = self.labels[i]
 
-def _set_blobs(n: int):
-    """(text, node) to (node, size, features, sketch); features: the upper 48 bits of each hash, by which two sets are compared."""
 
-    def run(batches):
-        for batch in batches:
-            for part in vt.pieces(batch):
-                wanted = part.column(1).to_pylist()
-                sets = [(s, w) for s, w in zip(shingle_sets(vt.texts(part, lower=True), n), wanted, strict=True) if len(s) and node_of(s) == w]
-                yield pa.record_batch(
-                    {
-                        "node": pa.array([w for _, w in sets], pa.int64()),
-                        "size": pa.array([len(s) for s, _ in sets], pa.int64()),
-                        "features": pa.array([s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for s, _ in sets], pa.binary()),
-                        "sketch": pa.array([sketch(s) for s, _ in sets], pa.binary()),
-                    }
-                )
+def _fitting(i: int, at: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Those of ``at`` whose sizes and sketches allow a link with i."""
+    least, most = np.minimum(sizes[i], sizes[at]), np.maximum(sizes[i], sizes[at])
+    at = at[least * den >= most * num]
+    return at[np.bitwise_count(sketches[i] ^ sketches[at]).sum(1, dtype=np.int64) * (den + num) <= (den - num) * (sizes[i] + sizes[at])] if len(at) else at
 
-    return run
+
+FAMILY = "family long, a int, b int, part int, side int, node long, key long, root long"
 
 
 def _plausible(num: int, den: int):
-    """Members of a pair of blocks of one group to the pairs across components whose sizes and sketches allow a link."""
-
-    def pairs(a: list[tuple], b: list[tuple], same: bool) -> tuple[np.ndarray, np.ndarray]:
-        both = folded([r[4] for r in a] + ([] if same else [r[4] for r in b]))
-        x, y = both[: len(a)], both if same else both[len(a) :]
-        b = a if same else b
-        node, root, size = (np.array([r[i] for r in b], np.int64) for i in (1, 2, 3))
-        us, vs = [], []
-        for i, r in enumerate(a):
-            least, most = np.minimum(r[3], size), np.maximum(r[3], size)
-            fit = (root != r[2]) & (least * den >= most * num)
-            at = np.flatnonzero(fit[: i if same else None])
-            if len(at):
-                differ = np.bitwise_count(x[i] ^ y[at]).sum(1)
-                at = at[differ * (den + num) <= (den - num) * (r[3] + size[at])]
-                us.append(np.minimum(r[1], node[at]))
-                vs.append(np.maximum(r[1], node[at]))
-        return np.concatenate([*us, np.zeros(0, np.int64)]), np.concatenate([*vs, np.zeros(0, np.int64)])
+    """Members of pairs of blocks of one family to those with a plausible partner of another component, and the part that plausible pairs join them to."""
 
     def run(batches):
-        us, vs, held = [], [], 0
-
-        def found() -> pa.RecordBatch:
-            both = np.unique(np.stack([np.concatenate(us), np.concatenate(vs)], 1), axis=0)
-            return pa.record_batch({"u": pa.array(both[:, 0]), "v": pa.array(both[:, 1])})
-
-        for (_, _, a, b), rows in grouped_by(batches, 4):
-            left, right = ([r for r in rows if r[0] == k] for k in (a, b))
-            if left and right:
-                u, v = pairs(left, right, a == b)
-                us.append(u)
-                vs.append(v)
-                held += len(u)
-            if held > 1_000_000:
-                yield found()
-                us, vs, held = [], [], 0
-        if held:
-            yield found()
+        out, held = [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            names = ["family", "a", "b", "part", "side", "node", "key", "root"]
+            columns = zip(*out, strict=True) if out else [()] * 8
+            return pa.record_batch([pa.array(c, pa.int32() if k in ("a", "b", "part", "side") else pa.int64()) for k, c in zip(names, columns, strict=True)], names)
+
+        for (family, a, b), rows in grouped_by(batches, 3):
+            # block, node, key, root, size, sketch
+            if len(rows) < 2 or a != b and len({r[0] for r in rows}) < 2:
+                continue
+            side, root, size = (np.array([r[i] for r in rows], np.int64) for i in (0, 3, 4))
+            marks, parts = folded([r[5] for r in rows]), _Parts(list(range(len(rows))))
+            partnered = np.zeros(len(rows), bool)
+            for i in range(1, len(rows)):
+                at = np.flatnonzero((root[:i] != root[i]) & (parts.labels[:i] != parts.labels[i]) & ((side[:i] != side[i]) if a != b else True))
+                for j in _fitting(i, at, marks, size, num, den).tolist():
+                    partnered[[i, j]] = True
+                    if parts.labels[i] != parts.labels[j]:
+                        parts.join(i, j)
+            for i in np.flatnonzero(partnered).tolist():
+                r = rows[i]
+                out.append((family, a, b, int(parts.labels[i]), r[0], r[1], r[2], r[3]))
+            if len(out) > 100_000:
+                yield batch_of()
+                out = []
+        if out:
+            yield batch_of()
 
     return run
 
 
-def _star(num: int, den: int):
-    """Members of groups, sorted, to the pairs of a group's first member and another whose sizes and sketches allow a link."""
+def _features(blob: bytes) -> np.ndarray:
+    wide = np.zeros((len(blob) // 6, 8), np.uint8)
+    wide[:, 2:] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
+
+
+def _sets_of_marked(n: int, bitmap):
+    """(key, text) to (key, node, features) of the rows whose key is in the bitmap; features: the upper 48 bits of each hash."""
 
     def run(batches):
-        at, first = None, None
+        bits = bitmap.value
         for batch in batches:
-            us, vs = [], []
-            for sig, node, size, mark in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if sig != at:
-                    at, first = sig, (node, size, mark)
-                elif min(size, first[1]) * den >= max(size, first[1]) * num:
-                    x = folded([mark, first[2]])
-                    if int(np.bitwise_count(x[0] ^ x[1]).sum()) * (den + num) <= (den - num) * (size + first[1]):
-                        us.append(first[0])
-                        vs.append(node)
-            yield pa.record_batch({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+            key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> vt.U(64 - BITS)
+            batch = batch.filter(pa.array((bits[(key >> vt.U(6)).astype(np.int64)] >> (key & vt.U(63)) & vt.U(1)).astype(bool)))
+            for part in vt.pieces(batch):
+                sets = [(k, s) for k, s in zip(part.column(0).to_pylist(), shingle_sets(vt.texts(part, lower=True), n), strict=True) if len(s)]
+                yield pa.record_batch(
+                    {
+                        "key": pa.array([k for k, _ in sets], pa.int64()),
+                        "node": pa.array([node_of(s) for _, s in sets], pa.int64()),
+                        "features": pa.array([s.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for _, s in sets], pa.binary()),
+                    }
+                )
 
     return run
 
 
-def _features(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 6, 8), np.uint8)
-    wide[:, 2:] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
+def _bitmap(wanted: DataFrame):
+    """The top BITS bits of the keys as a broadcast bitmap; 2 ** (BITS - 6) words reach the driver at most."""
+    place = F.shiftrightunsigned("key", 64 - BITS)
+    words = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITS}) & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << (BITS - 6), np.uint64)
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return wanted.sparkSession.sparkContext.broadcast(bits)
 
 
 def _verified(num: int, den: int):
+    """Members of parts with their sets to exact links (u, v) between components (x, y), as many as connect them."""
+
     def run(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("fu").to_pylist(), batch.column("fv").to_pylist(), strict=True):
-                a, b = _features(a), _features(b)
-                both = np.sort(np.concatenate([a, b]))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(den * common >= num * (len(a) + len(b) - common))
-            keep = pa.array(keep, pa.bool_())
-            yield batch.select(["u", "v"]).filter(keep)
+        for (_, a, b, _), rows in grouped_by(batches, 4):
+            # side, node, root, features
+            rows = list({r[1]: r for r in rows}.values())
+            if len(rows) < 2:
+                continue
+            sets, side = [_features(r[3]) for r in rows], np.array([r[0] for r in rows])
+            size, marks = np.array([len(s) for s in sets], np.int64), folded([sketch(s) for s in sets])
+            parts, out = _Parts([r[2] for r in rows]), []
+            for i in range(1, len(rows)):
+                at = np.flatnonzero((parts.labels[:i] != parts.labels[i]) & ((side[:i] != side[i]) if a != b else True))
+                for j in _fitting(i, at, marks, size, num, den).tolist():
+                    if parts.labels[i] != parts.labels[j]:
+                        both = np.sort(np.concatenate([sets[i], sets[j]]))
+                        common = int((both[1:] == both[:-1]).sum())
+                        if den * common >= num * (len(both) - common):
+                            parts.join(i, j)
+                            out.append((rows[i][1], rows[j][1], rows[i][2], rows[j][2]))
+            if out:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v", "x", "y"])
 
     return run
 
 
+def _linked(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Exact links between components (root) within families (family, node, root): (u, v) between nodes, (x, y) between their roots."""
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
+    open_ = cut(families.groupBy("family").agg(blocks.alias("blocks"), F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("family", "blocks"))
+    rows = families.join(open_, "family").join(nodes.select("node", "key", "size", "sketch"), "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("family", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node", "key", "root", "size", "sketch")
+    members = cut(rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node").mapInArrow(_plausible(num, den), FAMILY))
+    bitmap = _bitmap(members.select("key").distinct())
+    sets = docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(_sets_of_marked(n, bitmap), "key long, node long, features binary")
+    full = members.join(sets.groupBy("node", "key").agg(F.first("features").alias("features")), ["node", "key"])
+    full = full.select("family", "a", "b", "part", "side", "node", "root", "features").repartition("family", "a", "b", "part")
+    with small_batches(docs.sparkSession):
+        return cut(full.sortWithinPartitions("family", "a", "b", "part", "node").mapInArrow(_verified(num, den), "u long, v long, x long, y long"))
+
+
 def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Documents and links for similarity num/den on n-word shingles: (doc_id, n_shingles, node, root, component_id), one row per row
     of ``docs``, with the smallest node of its component, and (u, v): the verified links between nodes.  The links hold a spanning forest of every component."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    of = cut(docs.mapInArrow(_sets_pass(n), "doc_id long, n_shingles long, node long"))
-    nodes = of.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"))
-    buckets = n_buckets(spark)
+    of = cut(docs.mapInArrow(_sets_pass(n, num, den), "doc_id long, n_shingles long, n_signatures long, node long, sketch binary"))
+    nodes = of.where("node is not null").groupBy("node")
+    nodes = cut(nodes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")).withColumn("key", F.xxhash64("rep")))
+    buckets = n_buckets(docs.sparkSession, of.agg(F.sum("n_signatures")).first()[0] or 0)
     packed = docs.mapInArrow(_signature_pass(n, num, den, buckets), "bucket int, sigs binary, nodes binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
-    groups = cut(packed.mapInArrow(_groups_of_bucket, "sig long, node long"))
-    sizes = cut(nodes.join(groups.select("node").distinct(), "node"))
-    wanted = sizes.where("rep is not null").select(F.col("rep").alias("doc_id"), "node")
-    if sizes.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts, unnamed = docs.join(wanted, "doc_id").select("text", "node"), sizes.where("rep is null").select("node")
-    if not unnamed.isEmpty():
-        # Sets that no id leads to: one text of each, by its node.
-        own = _noded(docs.where("doc_id is null").select("text"), n).withColumnRenamed("_nj_node", "node")
-        texts = texts.union(own.join(unnamed, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")).select("text", "node"))
-    with small_batches(spark):
-        blobs = cut(texts.mapInArrow(_set_blobs(n), "node long, size long, features binary, sketch binary"))
-    sizes, features, sketches = blobs.select("node", "size"), blobs.select("node", "features"), blobs.select("node", "size", "sketch")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        need = cut(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct())
-        own = features.join(F.broadcast(need) if need.count() <= BROADCAST_ROWS else need, "node", "left_semi")
-        full = pairs.join(own.toDF("v", "fv"), "v").join(own.toDF("u", "fu"), "u").select("u", "v", "fu", "fv")
-        with small_batches(spark):
-            return cut(full.mapInArrow(_verified(num, den), "u long, v long"))
-
-    members = groups.join(sketches, "node").select("sig", "node", "size", "sketch")
-    members = members.repartition("sig").sortWithinPartitions("sig", "node")
-    star = cut(members.mapInArrow(_star(num, den), "u long, v long").distinct())
-    links = verified(star)
-    roots = components(links)
-    placed = groups.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-    open_ = placed.groupBy("sig").agg(
-        F.min("root").alias("x"), F.max("root").alias("y"), F.min("node").alias("first"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")
-    )
-    left = placed.join(open_.where("x <> y").select("sig", "first", "blocks"), "sig").join(sketches, "node")
-    left = left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = left.select("first", "sig", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node", "root", "size", "sketch")
-    # Groups that begin with one set hold much the same pairs: together, each pair leaves them once.
-    left = left.repartition("first", "a", "b").sortWithinPartitions("first", "sig", "a", "b")
-    more = left.mapInArrow(_plausible(num, den), "u long, v long").distinct()
-    more = verified(cut(more.join(star, ["u", "v"], "left_anti")))
+    star = cut(packed.mapInArrow(_candidates_of_bucket, "u long, v long").distinct())
+
+    least = star.groupBy("v").agg(F.min("u").alias("u"))
+    families = least.select(F.col("u").alias("family"), F.col("v").alias("node")).union(least.select("u", "u").distinct())
+    links = _linked(families.withColumn("root", F.col("node")), nodes, docs, n, num, den)
+    roots = cut(components(links))
+
+    families = star.select(F.col("u").alias("family"), F.col("v").alias("node")).union(star.select("u", "u").distinct())
+    families = families.join(roots, "node", "left").select("family", "node", F.coalesce("root", "node").alias("root"))
+    more = _linked(families, nodes, docs, n, num, den)
     if not more.isEmpty():
-        links = links.union(more)
-        roots = components(links)
-    low = nodes.join(roots, "node").groupBy("root").agg(F.min("rep").alias("low"))
-    lows = nodes.join(roots, "node", "left").join(low, "root", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("low", "rep").alias("low"))
-    placed = of.join(lows, "node", "left")
-    return placed.select("doc_id", "n_shingles", "node", "root", F.coalesce("low", "doc_id").alias("component_id")), links
+        links, above = links.union(more), components(more.select(F.col("x").alias("u"), F.col("y").alias("v")))
+        roots = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("low"))
+        roots = roots.join(above.toDF("low", "root"), "low", "left").select("node", F.coalesce("root", "low").alias("root"))
+    placed = nodes.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
+    low = cut(nodes.select("node", "rep").join(roots, "node").groupBy("root").agg(F.min("rep").alias("low")))
+    lows = placed.join(low, "root", "left").select("node", "root", F.coalesce("low", "rep").alias("low"))
+    placed = of.select("doc_id", "n_shingles", "node").join(lows, "node", "left")
+    return placed.select("doc_id", "n_shingles", "node", "root", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id")), links.select("u", "v")
 
 
 def drop_similar(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row of each group of similar documents, that with the smallest id (null ids come last); of rows without a set, equal
     texts of one id stay once."""
     placed, _ = similar_documents(docs, n, num, den)
+    placed = cut(placed.select("doc_id", "node", "root"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("x")
     stay = placed.where("node is not null").groupBy("root").agg(first).select(F.col("x.doc_id").alias("_nj_id"), F.col("x.node").alias("_nj_at"))
-    # An id with one set leads to it; rows of other ids, and of none, are found by their own node.
-    kinds = placed.where("doc_id is not null").groupBy(F.col("doc_id").alias("_nj_id")).agg(
-        F.min("node").alias("_nj_node"), ((F.min("node") < F.max("node")) | (F.count("node") > 0) & (F.count("node") < F.count(F.lit(1)))).alias("mixed")
-    )
-    kinds = cut(kinds.withColumn("mixed", F.coalesce("mixed", F.lit(False))))
+    # An id with one row leads to it; rows of other ids, and of none, are found by their own node.
+    kinds = placed.where("doc_id is not null").groupBy(F.col("doc_id").alias("_nj_id")).agg(F.min("node").alias("_nj_node"), F.count(F.lit(1)).alias("rows"))
     id_ = F.col("doc_id").cast("long")
-    plain = kinds.where("not mixed").join(stay.where("_nj_id is not null").select("_nj_id", "_nj_at"), "_nj_id", "left")
-    plain = plain.where("_nj_node is null or _nj_node = _nj_at").select("_nj_id", "_nj_node")
-    kept = docs.join(plain, id_ == F.col("_nj_id")).drop("_nj_id")
-    mixed = kinds.where("mixed").select("_nj_id")
+    single = kinds.where("rows = 1").join(stay.where("_nj_id is not null"), "_nj_id", "left").where("_nj_node is null or _nj_node = _nj_at")
+    kept = docs.join(single.select("_nj_id"), id_ == F.col("_nj_id"), "left_semi")
+    again = cut(kinds.where("rows > 1").select("_nj_id"))
     odd = [docs.where(id_.isNull())] if not placed.where("doc_id is null").isEmpty() else []
-    odd += [docs.join(mixed, id_ == F.col("_nj_id"), "left_semi")] if not mixed.isEmpty() else []
+    odd += [docs.join(again, id_ == F.col("_nj_id"), "left_semi")] if not again.isEmpty() else []
     for rows in odd:
         rows = _noded(rows, n)
         found = (F.col("_nj_node") == F.col("_nj_at")) & id_.eqNullSafe(F.col("_nj_id"))
-        kept = kept.union(rows.join(stay, found, "left_semi")).union(rows.where("_nj_node is null"))
-    text = F.xxhash64("text")
-    same = Window.partitionBy("doc_id", "_nj_node", F.when(F.col("_nj_node").isNull(), text)).orderBy(text)
-    return kept.withColumn("_nj_row", F.row_number().over(same)).where("_nj_row = 1").drop("_nj_row", "_nj_node")
+        rows = rows.join(stay, found, "left_semi").union(rows.where("_nj_node is null"))
+        text = F.xxhash64("text")
+        same = Window.partitionBy("doc_id", "_nj_node", F.when(F.col("_nj_node").isNull(), text)).orderBy(text)
+        kept = kept.union(rows.withColumn("_nj_row", F.row_number().over(same)).where("_nj_row = 1").drop("_nj_row", "_nj_node"))
+    return kept
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
