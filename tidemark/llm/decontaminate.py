@@ -207,7 +207,7 @@ def _search(items):
                         }
                     )
 
-    return run
+    return vt.lean(run)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:

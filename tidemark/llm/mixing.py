@@ -12,7 +12,7 @@ words taken come near the target with a few documents too.
 
 The running sum is not one window per source, which a hot source would put into one task.  Documents are dealt by
 (source, band, first hex digits of the hash); a window numbers the documents within such a cell, and a window over the
-table of cell counts gives the cell's start.  Cells grow with the input only by 1/16**digits of a band.
+table of cell counts gives the cell's start.  The counts are taken in a pass of their own and written.  Cells grow with the input only by 1/16**digits of a band.
 
 Cases: null text has size 0; null sources are one source, last in order; a source without words has target 0 and is not
 emitted; an empty table gives an empty result; equal ids are ordered by a hash of the text, and wholly equal rows are
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .graphs import cut
 from .words import n_words
 
 WEIGHTS = (5, 2, 1)
@@ -60,16 +61,18 @@ def mix_sources(
     size = n_words(F.col("text"))
     d = docs.drop(*OUTPUT)
     kept = d.columns
+    # All that is made of the text is made before the shuffle: a caller that does not ask for the text does not move it.
     d = d.withColumns(
         {
             "size": size,
             "_mx_band": F.floor(F.sqrt(size.cast("double"))),
             "_mx_hash": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))),
+            "_mx_tie": F.xxhash64("text"),
         }
     ).withColumn("_mx_sub", F.substring("_mx_hash", 1, digits))
     cell = ["source", "_mx_band", "_mx_sub"]
+    cells = cut(d.groupBy(*cell).agg(F.count(F.lit(1)).alias("_mx_n"), F.sum("size").alias("_mx_words")))
     d = d.repartition(*cell)
-    cells = d.groupBy(*cell).agg(F.count(F.lit(1)).alias("_mx_n"), F.sum("size").alias("_mx_words"))
     targets = source_targets(cells.groupBy("source").agg(F.sum("_mx_words").alias("words")), weights, ratio, cap)
     along = Window.partitionBy("source").orderBy("_mx_band", "_mx_sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     start = cells.withColumn("_mx_start", F.sum("_mx_n").over(along) - F.col("_mx_n")).drop("_mx_n", "_mx_words")
@@ -78,7 +81,7 @@ def mix_sources(
     start = start.join(targets, F.col("_s").eqNullSafe(F.col("_t")))
     start = start.select(F.col("_s"), F.col("_mx_band").alias("_b"), F.col("_mx_sub").alias("_u"), "_mx_start", "source_size", "target")
     tie = [c for c in ("doc_id",) if c in kept]
-    inside = Window.partitionBy(*cell).orderBy("_mx_hash", *tie, F.xxhash64("text"))
+    inside = Window.partitionBy(*cell).orderBy("_mx_hash", *tie, "_mx_tie")
     d = d.withColumn("_mx_rank", F.row_number().over(inside))
     joined = d.join(start, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_mx_band") == F.col("_b")) & (F.col("_mx_sub") == F.col("_u")))
     factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -150,7 +150,7 @@ def _sets_pass(n: int, num: int, den: int):
                     }
                 )
 
-    return run
+    return vt.lean(run)
 
 
 def _with_node(n: int):
@@ -162,7 +162,7 @@ def _with_node(n: int):
                 nodes = [node_of(s) if len(s) else None for s in shingle_sets(vt.texts(part, lower=True), n)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*part.schema.names, "_nj_node"])
 
-    return run
+    return vt.lean(run)
 
 
 def _noded(docs: DataFrame, n: int) -> DataFrame:
@@ -203,7 +203,7 @@ def _signature_pass(n: int, num: int, den: int, buckets: int):
         if held:
             yield from packed(held)
 
-    return run
+    return vt.lean(run)
 
 
 def _candidates_of_bucket(batches):
@@ -287,7 +287,7 @@ def _plausible(num: int, den: int):
         if out:
             yield batch_of()
 
-    return run
+    return vt.lean(run)
 
 
 def _features(blob: bytes) -> np.ndarray:
@@ -314,7 +314,7 @@ def _sets_of_marked(n: int, bitmap):
                     }
                 )
 
-    return run
+    return vt.lean(run)
 
 
 def _bitmap(wanted: DataFrame):
@@ -350,7 +350,7 @@ def _verified(num: int, den: int):
             if out:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v", "x", "y"])
 
-    return run
+    return vt.lean(run)
 
 
 def _linked(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -379,7 +379,7 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     buckets = n_buckets(docs.sparkSession, of.agg(F.sum("n_signatures")).first()[0] or 0)
     packed = docs.mapInArrow(_signature_pass(n, num, den, buckets), "bucket int, sigs binary, nodes binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
-    star = cut(packed.mapInArrow(_candidates_of_bucket, "u long, v long").distinct())
+    star = cut(packed.mapInArrow(vt.lean(_candidates_of_bucket), "u long, v long").distinct())
 
     least = star.groupBy("v").agg(F.min("u").alias("u"))
     families = least.select(F.col("u").alias("family"), F.col("v").alias("node")).union(least.select("u", "u").distinct())

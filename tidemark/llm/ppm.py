@@ -190,7 +190,7 @@ def _ask(buckets: int):
                         ]
                     )
 
-    return run
+    return vt.lean(run)
 
 
 def _answer(buckets: int, pairs):
@@ -213,7 +213,7 @@ def _answer(buckets: int, pairs):
             answer = answer[np.searchsorted(distinct, every)]
             yield rows([(row[0], bucket, 2, row[3], packed(answer[a:b])) for row, a, b in zip(held, cuts[:-1], cuts[1:], strict=True)])
 
-    return run
+    return vt.lean(run)
 
 
 class _Lookup:
@@ -276,7 +276,7 @@ def _score(buckets: int, tokens: int, distinct: int, train_texts: int):
                         }
                     )
 
-    return run
+    return vt.lean(run)
 
 
 def _pairs(batches):

@@ -261,7 +261,7 @@ def _anchors(window: int, buckets: int):
                 ]
                 yield _rows(rows)
 
-    return run
+    return vt.lean(run)
 
 
 def _grouped(batches, column: str) -> Iterator[tuple[int, list[tuple]]]:
@@ -296,7 +296,7 @@ def _repeated(crowd: int):
             cuts = np.cumsum([0, *map(len, lows)])
             yield _rows([(row[0], bucket, 1, _packed(mark[a:b])) for row, a, b in zip(rows, cuts[:-1], cuts[1:], strict=True)])
 
-    return run
+    return vt.lean(run)
 
 
 def _marks(u: Unit, buckets: int, rows: list[tuple]) -> np.ndarray:
@@ -323,11 +323,11 @@ def _segments(window: int, buckets: int):
             if out:
                 yield _rows(out)
 
-    return run
+    return vt.lean(run)
 
 
 #: Words that one automaton takes in before the next is begun; segments of one key always share one.
-SHARD = 150_000
+SHARD = 60_000
 
 
 def _matched(window: int):
@@ -371,7 +371,7 @@ def _matched(window: int):
                 at = to
             yield _rows([(row[0], bucket, 2, _packed(np.concatenate([answers[i] for i in mine]))) for row, mine in zip(rows, lists, strict=True)])
 
-    return run
+    return vt.lean(run)
 
 
 def _decided(window: int, buckets: int, finish):
@@ -394,13 +394,13 @@ def _decided(window: int, buckets: int, finish):
                 gone += np.bincount(hit, minlength=len(gone)) - np.bincount(hit + window, minlength=len(gone))
             yield from finish(u, np.cumsum(gone[:-1]) == 0)
 
-    return run
+    return vt.lean(run)
 
 
 def _removed(docs: DataFrame, window: int, finish, schema: str, crowd: int = CROWD) -> DataFrame:
     spark = docs.sparkSession
     buckets = n_buckets(spark)
-    units = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_units, ROW))
+    units = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(vt.lean(_units), ROW))
     by_bucket = units.mapInArrow(_anchors(window, buckets), ROW).repartition("bucket").sortWithinPartitions("bucket")
     marks = cut(by_bucket.mapInArrow(_repeated(crowd), ROW))
     of_unit = units.union(marks).repartition("unit").sortWithinPartitions("unit")

@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graphs import cut
+from . import vectext as vt
+from .graphs import cut, smallest_hashes
 
 SAMPLE, MIN_TEXTS, MIN_WEIGHT, MIN_CLEAN = 20_000, 4, 2.5, 5
 STEMS = (4, 5, 6)
@@ -138,7 +139,7 @@ def _pairs_of(weights: dict[str, float]):
             }
         )
 
-    return run
+    return vt.lean(run)
 
 
 def _features_of(weights: dict[str, float], exceptions: set[str]):
@@ -150,7 +151,7 @@ def _features_of(weights: dict[str, float], exceptions: set[str]):
                 {"a": pa.array([v[0] for v in x], pa.float64()), "b": pa.array([v[1] for v in x], pa.float64()), "toxic": batch.column("toxic").cast(pa.int32())}
             )
 
-    return run
+    return vt.lean(run)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
@@ -170,7 +171,7 @@ def learn(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE) -> tu
     """Lexicon weights, exception phrases and the logistic function's coefficients; all are bounded by the sample."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     rows = rows.where(F.col("toxic").isin(0, 1) & train).distinct()
-    picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
+    picked = smallest_hashes(rows, ["doc_id"], ["doc_id", "toxic"], sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     chosen = texts.join(F.broadcast(picked), "doc_id").where("text is not null")  # `sample` rows of two numbers
     chosen = cut(chosen.groupBy(F.xxhash64("text").alias("h"), "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
@@ -193,8 +194,8 @@ def learn(docs: DataFrame, labels: DataFrame, train, sample: int = SAMPLE) -> tu
     pairs = chosen.mapInArrow(_pairs_of(weights), "pair string, bad long, good long").groupBy("pair")
     pairs = pairs.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     exceptions = {r.pair for r in pairs.where((F.col("good") >= MIN_CLEAN) & (odds <= 0)).select("pair").collect()}
-    x = chosen.mapInArrow(_features_of(weights, exceptions), "a double, b double, toxic int").orderBy("a", "b", "toxic").collect()
-    x = np.array([tuple(r) for r in x], float)
+    x = chosen.mapInArrow(_features_of(weights, exceptions), "a double, b double, toxic int").collect()
+    x = np.array(sorted(tuple(r) for r in x), float)  # in one order, for equal sums
     return weights, exceptions, fit_logistic(x[:, :2], x[:, 2]).tolist()
 
 
@@ -212,7 +213,7 @@ def score_toxicity(docs: DataFrame, model: tuple[dict[str, float], set[str], lis
                 sums.append(math.expm1(b))
             yield pa.record_batch({"doc_id": batch.column(0), "score": pa.array(scores, pa.float64()), "weight": pa.array(sums, pa.float64())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, weight double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(vt.lean(run), "doc_id long, score double, weight double")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, train=None) -> DataFrame:
@@ -230,7 +231,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, train=None) -> DataFrame:
                 keep.append(b0 + b1 * a + b2 * b < 0)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(vt.lean(run), docs.schema)
 
 
 def fold_of(doc_id, folds: int = 5):

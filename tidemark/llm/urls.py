@@ -19,7 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graphs import cut
+from .graphs import cut, smallest_hashes
 from .words import ascii_lower
 
 #: Production rules: (verdict, host and path).
@@ -88,7 +88,7 @@ def judge_urls(pages: DataFrame, rules=RULES, sample: int = SAMPLE, trees: int =
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     d = d.withColumns({"rule": rule, "_uf_rule": verdict})
     known = d.where(F.col("_uf_rule").isNotNull()).select("url", "host", "path", (F.col("_uf_rule") == "block").cast("double").alias("label"))
-    known = cut(known.orderBy(F.xxhash64("url"), "url").limit(sample))
+    known = cut(smallest_hashes(known, ["url"], ["url"], sample))
     total, blocked = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < blocked < total:
         only = "block" if total and blocked else "allow"

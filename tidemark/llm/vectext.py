@@ -7,7 +7,9 @@ hashed without a Python loop.  Hashes depend on nothing but the bytes; two diffe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,25 @@ _LOWER[0x41:0x5B] += 32
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 _P = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[int, np.ndarray] = {}
+#: Bytes or words whose running sums are taken at once; a longer word is taken alone.
+CHUNK = 1 << 17
+
+
+def lean(run: Callable) -> Callable:
+    """A pass over batches that gives its freed memory back to the system at its end: workers stay for the next tasks."""
+
+    @wraps(run)
+    def passed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # no such call in this C library
+                pass
+
+    return passed
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -65,9 +86,17 @@ class Texts:
             end[cut - 1] = word[cut - 1]
         self.starts = np.flatnonzero(begin)
         self.ends = np.flatnonzero(end) + 1
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * _powers(_P, n), out=sums[1:])
-        self.hashes = mix((sums[self.ends] - sums[self.starts]) * _powers(pow(_P, -1, 2**64), n + 1)[self.starts])
+        self.hashes = np.empty(len(self.starts), np.uint64)
+        at = 0
+        while at < len(self.starts):  # runs of whole words, so that running sums stay short
+            low = self.starts[at]
+            to = max(at + 1, int(np.searchsorted(self.ends, low + CHUNK, "right")))
+            size = self.ends[to - 1] - low
+            sums = np.zeros(size + 1, np.uint64)
+            np.cumsum(_BYTE[self.data[low : low + size]] * _powers(_P, size), out=sums[1:])
+            a, b = self.starts[at:to] - low, self.ends[at:to] - low
+            self.hashes[at:to] = mix((sums[b] - sums[a]) * _powers(pow(_P, -1, 2**64), size + 1)[a])
+            at = to
         self.first = np.searchsorted(self.starts, offsets)
 
     def __len__(self) -> int:
@@ -101,10 +130,13 @@ def ngrams(hashes: np.ndarray, k: int) -> np.ndarray:
     m = len(hashes) - k + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    base = 0xD1342543DE82EF95
-    np.cumsum(hashes * _powers(base, len(hashes)), out=sums[1:])
-    return mix((sums[k:] - sums[:-k]) * _powers(pow(base, -1, 2**64), m))
+    base, out = 0xD1342543DE82EF95, np.empty(m, np.uint64)
+    for at in range(0, m, CHUNK):
+        some = hashes[at : at + CHUNK + k - 1]
+        sums = np.zeros(len(some) + 1, np.uint64)
+        np.cumsum(some * _powers(base, len(some)), out=sums[1:])
+        out[at : at + CHUNK] = mix((sums[k:] - sums[:-k]) * _powers(pow(base, -1, 2**64), len(some) - k + 1))
+    return out
 
 
 def inside(first: np.ndarray, k: int, m: int) -> np.ndarray:
