@@ -387,3 +387,15 @@ def test_pipeline_by_its_parts(spark):
     assert all(len(kept[i]) == len(w) for i, w in words.items())
     bad = decontaminate.contaminated(out, spark.read.parquet(f"{DATA}/benchmark.parquet"))
     assert bad.count() == 0 and [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity"
+
+
+def test_families_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng = random.Random(8)
+    shared = [[f"p{k}w{i}" for i in range(40)] for k in range(3)]
+    rows = [(i, " ".join(rng.choice(shared) + [f"d{i // 3}x{j}" for j in range(rng.choice((12, 30)))] + ([f"y{i}"] if i % 2 else []))) for i in range(70)]
+    rows += [(100 + i, t) for i, t in varied(9)]
+    for n, num, den in ((4, 85, 100), (5, 80, 100), (2, 60, 100)):
+        sets, low = grouped(rows, n, num, den)
+        placed, _ = ngram_join.similar_documents(docs(spark, rows), n, num, den)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in placed.collect()} == {i: (len(s), low[i]) for i, s in sets.items()}

@@ -13,16 +13,19 @@ parts is then not among them; only sets with more send them.
 
 Signatures go to buckets as packed arrays.  Of a signature's group only (smallest node, other node) leaves a bucket, each
 pair once: a node's *family* is all nodes that follow it in some group, so nodes that share a signature share a family, and a
-cluster that shares hundreds of signatures costs no more rows than one that shares a few.  Families are compared twice.  The
-first time each node is only in the family of its smallest node, which connects most of what is linked.  The second time all
-families stand that still have members of different components, and only pairs across components count.
+cluster that shares hundreds of signatures costs no more rows than one that shares a few.  First each
+node is compared in one of its families, in parts of bounded size with the family's first node in each; some turns of this, each with another
+family whose first node is not yet connected, join most of what is linked.  Then all families stand that still have members of different
+components, and only pairs across components count.  Families of a cluster are much the same: each is covered by the smallest
+family that holds its first node, and only pairs with a member that is not in this one count.
 
 A comparison has two steps.  Odd sketches are compared in blocks of bounded size: a sketch holds the parity of the number of
 features of each of its bits, so two sets differ in at least as many features as their sketches in bits.  Members without
 a plausible partner go; the rest, in parts joined by plausible pairs, get their sets, and a task checks pairs of a part
 exactly until they are connected, so m members give m - 1 links at most, whatever their number of pairs.  Two sets count as equal by the
 upper 48 bits of each shingle's hash.  Equal sets are one node throughout, so copies cost nothing beyond their first pass.
-A family of m members whose sketches do not tell them apart costs m * m / BLOCK rows in the first step.
+A family of m members that stays open costs m * m / BLOCK rows in the first step and as many comparisons of sketches as it has pairs: texts that
+share a passage but are not similar can be such a family.
 
 Texts are never shuffled for the sets: the scan computes those whose document may be asked for, by a bitmap of fixed size.
 
@@ -35,7 +38,7 @@ task, and its signatures grow with its words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +52,9 @@ from .graphs import components, cut, grouped_by, n_buckets, small_batches
 BAND = 1.35
 FLUSH = 400_000
 #: Members of a family that are compared at once.
-BLOCK = 1024
+BLOCK = 4096
+#: Times that each node is compared in one family of its own before all families are.
+TURNS = 2
 #: The scan's bitmap of documents whose sets are asked for has 2 ** BITS bits (8 MB).
 BITS = 26
 
@@ -115,8 +120,8 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Odd sketch of a set: of at least as many bits as it has features, 128 at least."""
-    bits = 128 << max(0, int(len(s) - 1).bit_length() - 7)
+    """Odd sketch of a set: of at least twice as many bits as it has features, 128 at least."""
+    bits = 128 << max(0, int(len(s) - 1).bit_length() - 6)
     place = (vt.mix((s >> vt.U(16)) ^ vt.U(0x632BE59BD9B4E019)) & vt.U(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(place, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -171,6 +176,8 @@ def _noded(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _signature_pass(n: int, num: int, den: int, buckets: int):
+    """(key, text) to packed signatures by bucket."""
+
     def packed(held: list) -> Iterator[pa.RecordBatch]:
         sig = np.concatenate([x[0] for x in held])
         node = np.repeat(np.array([x[1] for x in held], np.int64), [len(x[0]) for x in held])
@@ -178,7 +185,7 @@ def _signature_pass(n: int, num: int, den: int, buckets: int):
         order = np.argsort(bucket, kind="stable")
         at = np.searchsorted(bucket[order], np.arange(buckets + 1))
         sig, node = sig[order].astype(np.uint32), node[order]
-        full = [b for b in range(buckets) if at[b + 1] > at[b]]
+        full = np.flatnonzero(np.diff(at)).tolist()
         yield pa.record_batch(
             {
                 "bucket": pa.array(full, pa.int32()),
@@ -206,6 +213,13 @@ def _signature_pass(n: int, num: int, den: int, buckets: int):
     return vt.lean(run)
 
 
+def _marked(batch: pa.RecordBatch, bitmap) -> pa.RecordBatch:
+    """Rows whose key, the first column, is in the bitmap."""
+    bits = bitmap.value
+    key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> vt.U(64 - BITS)
+    return batch.filter(pa.array((bits[(key >> vt.U(6)).astype(np.int64)] >> (key & vt.U(63)) & vt.U(1)).astype(bool)))
+
+
 def _candidates_of_bucket(batches):
     """Rows sorted by bucket to (u, v): the smallest node of each signature's group with each other node, once a bucket.
 
@@ -251,39 +265,46 @@ def _fitting(i: int, at: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, nu
     return at[np.bitwise_count(sketches[i] ^ sketches[at]).sum(1, dtype=np.int64) * (den + num) <= (den - num) * (sizes[i] + sizes[at])] if len(at) else at
 
 
-FAMILY = "family long, a int, b int, part int, side int, node long, key long, root long"
+PART = "part long, sides int, side int, fresh int, node long, key long, root long"
 
 
 def _plausible(num: int, den: int):
     """Members of pairs of blocks of one family to those with a plausible partner of another component, and the part that plausible pairs join them to."""
 
     def run(batches):
-        out, held = [], 0
+        out, known = [], set()
 
         def batch_of() -> pa.RecordBatch:
-            names = ["family", "a", "b", "part", "side", "node", "key", "root"]
-            columns = zip(*out, strict=True) if out else [()] * 8
-            return pa.record_batch([pa.array(c, pa.int32() if k in ("a", "b", "part", "side") else pa.int64()) for k, c in zip(names, columns, strict=True)], names)
+            names = ["part", "sides", "side", "fresh", "node", "key", "root"]
+            return pa.record_batch([pa.array(c, pa.int32() if k in ("sides", "side", "fresh") else pa.int64()) for k, c in zip(names, zip(*out, strict=True), strict=True)], names)
 
-        for (family, a, b), rows in grouped_by(batches, 3):
-            # block, node, key, root, size, sketch
+        for (_, a, b), rows in grouped_by(batches, 3):
+            # block, fresh, node, key, root, size, sketch
             if len(rows) < 2 or a != b and len({r[0] for r in rows}) < 2:
                 continue
-            side, root, size = (np.array([r[i] for r in rows], np.int64) for i in (0, 3, 4))
-            marks, parts = folded([r[5] for r in rows]), _Parts(list(range(len(rows))))
+            side, fresh, node, root, size = (np.array([r[i] for r in rows], np.int64) for i in (0, 1, 2, 4, 5))
+            marks, parts = folded([r[6] for r in rows]), _Parts(list(range(len(rows))))
             partnered = np.zeros(len(rows), bool)
             for i in range(1, len(rows)):
-                at = np.flatnonzero((root[:i] != root[i]) & (parts.labels[:i] != parts.labels[i]) & ((side[:i] != side[i]) if a != b else True))
-                for j in _fitting(i, at, marks, size, num, den).tolist():
-                    partnered[[i, j]] = True
-                    if parts.labels[i] != parts.labels[j]:
-                        parts.join(i, j)
-            for i in np.flatnonzero(partnered).tolist():
-                r = rows[i]
-                out.append((family, a, b, int(parts.labels[i]), r[0], r[1], r[2], r[3]))
+                at = np.flatnonzero((root[:i] != root[i]) & (fresh[:i] | fresh[i] > 0) & ((side[:i] != side[i]) if a != b else True))
+                at = _fitting(i, at, marks, size, num, den)
+                if len(at):
+                    partnered[i] = True
+                    partnered[at] = True
+                    for label in np.unique(parts.labels[at]).tolist():
+                        parts.labels[parts.labels == label] = parts.labels[i]
+            at = np.flatnonzero(partnered)
+            # Families that overlap have the same parts again and again: a part's name is its members.
+            name = vt.mix(node.view(np.uint64) + (2 * side * (a != b) + fresh).astype(np.uint64) * vt.U(0x9E3779B97F4A7C15))
+            for label in np.unique(parts.labels[at]).tolist():
+                own = at[parts.labels[at] == label]
+                part = int(vt.mix(np.array([name[own].sum(dtype=np.uint64)], np.uint64)).view(np.int64)[0])
+                if part not in known:
+                    known.add(part)
+                    out += [(part, int(a != b), int(side[i]), *rows[i][1:5]) for i in own.tolist()]
             if len(out) > 100_000:
                 yield batch_of()
-                out = []
+                out, known = [], set()
         if out:
             yield batch_of()
 
@@ -300,11 +321,8 @@ def _sets_of_marked(n: int, bitmap):
     """(key, text) to (key, node, features) of the rows whose key is in the bitmap; features: the upper 48 bits of each hash."""
 
     def run(batches):
-        bits = bitmap.value
         for batch in batches:
-            key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> vt.U(64 - BITS)
-            batch = batch.filter(pa.array((bits[(key >> vt.U(6)).astype(np.int64)] >> (key & vt.U(63)) & vt.U(1)).astype(bool)))
-            for part in vt.pieces(batch):
+            for part in vt.pieces(_marked(batch, bitmap)):
                 sets = [(k, s) for k, s in zip(part.column(0).to_pylist(), shingle_sets(vt.texts(part, lower=True), n), strict=True) if len(s)]
                 yield pa.record_batch(
                     {
@@ -330,72 +348,97 @@ def _verified(num: int, den: int):
     """Members of parts with their sets to exact links (u, v) between components (x, y), as many as connect them."""
 
     def run(batches):
-        for (_, a, b, _), rows in grouped_by(batches, 4):
-            # side, node, root, features
-            rows = list({r[1]: r for r in rows}.values())
+        for (_, sides), rows in grouped_by(batches, 2):
+            # side, fresh, node, root, features
+            rows = list({r[2]: r for r in rows}.values())
             if len(rows) < 2:
                 continue
-            sets, side = [_features(r[3]) for r in rows], np.array([r[0] for r in rows])
+            sets, side, fresh = [_features(r[4]) for r in rows], np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
             size, marks = np.array([len(s) for s in sets], np.int64), folded([sketch(s) for s in sets])
-            parts, out = _Parts([r[2] for r in rows]), []
+            parts, out = _Parts([r[3] for r in rows]), []
             for i in range(1, len(rows)):
-                at = np.flatnonzero((parts.labels[:i] != parts.labels[i]) & ((side[:i] != side[i]) if a != b else True))
+                at = np.flatnonzero((parts.labels[:i] != parts.labels[i]) & (fresh[:i] | fresh[i] > 0) & ((side[:i] != side[i]) if sides else True))
                 for j in _fitting(i, at, marks, size, num, den).tolist():
                     if parts.labels[i] != parts.labels[j]:
                         both = np.sort(np.concatenate([sets[i], sets[j]]))
                         common = int((both[1:] == both[:-1]).sum())
                         if den * common >= num * (len(both) - common):
                             parts.join(i, j)
-                            out.append((rows[i][1], rows[j][1], rows[i][2], rows[j][2]))
+                            out.append((rows[i][2], rows[j][2], rows[i][3], rows[j][3]))
             if out:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["u", "v", "x", "y"])
 
     return vt.lean(run)
 
 
-def _linked(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """Exact links between components (root) within families (family, node, root): (u, v) between nodes, (x, y) between their roots."""
+def _linked(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int, stars: bool) -> DataFrame:
+    """Exact links between components (root) within families (family, node, fresh, root): (u, v) between nodes, (x, y) between their roots.
+    Pairs without a fresh member are left to another family.  With ``stars`` a family's parts are compared with its first node and within themselves, else with each other too."""
     blocks = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
-    open_ = cut(families.groupBy("family").agg(blocks.alias("blocks"), F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("family", "blocks"))
+    open_ = cut(families.groupBy("family").agg(blocks.alias("blocks"), F.min("root").alias("x"), F.max("root").alias("y"), F.max("fresh").alias("z")).where("x < y and z > 0").select("family", "blocks"))
     rows = families.join(open_, "family").join(nodes.select("node", "key", "size", "sketch"), "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("family", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "node", "key", "root", "size", "sketch")
-    members = cut(rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node").mapInArrow(_plausible(num, den), FAMILY))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    rows = rows.withColumn("other", F.explode(F.when(F.col("family") == F.col("node"), every).otherwise(F.array("block")) if stars else every))
+    rows = rows.withColumn("block", F.col("other")) if stars else rows
+    rows = rows.select("family", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "fresh", "node", "key", "root", "size", "sketch")
+    members = cut(rows.repartition("family", "a", "b").sortWithinPartitions("family", "a", "b", "node").mapInArrow(_plausible(num, den), PART).distinct())
     bitmap = _bitmap(members.select("key").distinct())
-    sets = docs.select(F.xxhash64("doc_id").alias("key"), "text").mapInArrow(_sets_of_marked(n, bitmap), "key long, node long, features binary")
+    sets = docs.mapInArrow(_sets_of_marked(n, bitmap), "key long, node long, features binary")
     full = members.join(sets.groupBy("node", "key").agg(F.first("features").alias("features")), ["node", "key"])
-    full = full.select("family", "a", "b", "part", "side", "node", "root", "features").repartition("family", "a", "b", "part")
+    full = full.select("part", "sides", "side", "fresh", "node", "root", "features").repartition("part")
     with small_batches(docs.sparkSession):
-        return cut(full.sortWithinPartitions("family", "a", "b", "part", "node").mapInArrow(_verified(num, den), "u long, v long, x long, y long"))
+        return cut(full.sortWithinPartitions("part", "sides", "node").mapInArrow(_verified(num, den), "u long, v long, x long, y long"))
 
 
 def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Documents and links for similarity num/den on n-word shingles: (doc_id, n_shingles, node, root, component_id), one row per row
     of ``docs``, with the smallest node of its component, and (u, v): the verified links between nodes.  The links hold a spanning forest of every component."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    spark, docs = docs.sparkSession, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     of = cut(docs.mapInArrow(_sets_pass(n, num, den), "doc_id long, n_shingles long, n_signatures long, node long, sketch binary"))
     nodes = of.where("node is not null").groupBy("node")
     nodes = cut(nodes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch")).withColumn("key", F.xxhash64("rep")))
-    buckets = n_buckets(docs.sparkSession, of.agg(F.sum("n_signatures")).first()[0] or 0)
+    docs = docs.select(F.xxhash64("doc_id").alias("key"), "text")
+
+    links, roots = [], nodes.select("node", F.col("node").alias("root"))
+
+    def compare(families: DataFrame, stars: bool) -> None:
+        """Adds the links within families (family, node, fresh) and what they join."""
+        nonlocal roots
+        found = _linked(families.join(roots, "node"), nodes, docs, n, num, den, stars)
+        if not found.isEmpty():
+            links.append(found.select("u", "v"))
+            above = components(found.select(F.col("x").alias("u"), F.col("y").alias("v"))).toDF("root", "to")
+            roots = cut(roots.join(above, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+
+    def open_pairs(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(roots.toDF("u", "x"), "u").join(roots.toDF("v", "y"), "v")
+        return both.where("x <> y").select("u", "v")
+
+    def one_family_each(pairs: DataFrame, turn: int) -> DataFrame:
+        least = pairs.groupBy("v").agg(F.min_by("u", F.struct(F.xxhash64(F.lit(turn), "u"), "u")).alias("u"))
+        return members_of(least).withColumn("fresh", F.lit(1))
+
+    def members_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("u").alias("family"), F.col("v").alias("node")).union(pairs.select("u", "u").distinct())
+
+    buckets = n_buckets(spark, of.agg(F.sum("n_signatures")).first()[0] or 0)
     packed = docs.mapInArrow(_signature_pass(n, num, den, buckets), "bucket int, sigs binary, nodes binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     star = cut(packed.mapInArrow(vt.lean(_candidates_of_bucket), "u long, v long").distinct())
-
-    least = star.groupBy("v").agg(F.min("u").alias("u"))
-    families = least.select(F.col("u").alias("family"), F.col("v").alias("node")).union(least.select("u", "u").distinct())
-    links = _linked(families.withColumn("root", F.col("node")), nodes, docs, n, num, den)
-    roots = cut(components(links))
-
-    families = star.select(F.col("u").alias("family"), F.col("v").alias("node")).union(star.select("u", "u").distinct())
-    families = families.join(roots, "node", "left").select("family", "node", F.coalesce("root", "node").alias("root"))
-    more = _linked(families, nodes, docs, n, num, den)
-    if not more.isEmpty():
-        links, above = links.union(more), components(more.select(F.col("x").alias("u"), F.col("y").alias("v")))
-        roots = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("low"))
-        roots = roots.join(above.toDF("low", "root"), "low", "left").select("node", F.coalesce("root", "low").alias("root"))
-    placed = nodes.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
-    low = cut(nodes.select("node", "rep").join(roots, "node").groupBy("root").agg(F.min("rep").alias("low")))
-    lows = placed.join(low, "root", "left").select("node", "root", F.coalesce("low", "rep").alias("low"))
+    left = star
+    for turn in range(TURNS):
+        compare(one_family_each(left, turn), True)
+        left = cut(open_pairs(left))
+    last = star.join(left.select("u").distinct(), "u", "left_semi")
+    cover = star.groupBy(F.col("v").alias("family")).agg(F.min("u").alias("cover"))
+    covered = star.select(F.col("u").alias("cover"), F.col("v").alias("node"), F.lit(0).alias("fresh"))
+    rows = members_of(last).join(cover, "family", "left").join(covered, ["cover", "node"], "left")
+    compare(rows.select("family", "node", F.coalesce("fresh", F.lit(1)).alias("fresh")), False)
+    links = reduce(DataFrame.union, links) if links else star.limit(0)
+    placed = nodes.select("node", "rep").join(roots, "node")
+    low = cut(placed.groupBy("root").agg(F.min("rep").alias("low")))
+    lows = placed.join(low, "root").select("node", "root", "low")
     placed = of.select("doc_id", "n_shingles", "node").join(lows, "node", "left")
     return placed.select("doc_id", "n_shingles", "node", "root", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("low")).alias("component_id")), links.select("u", "v")
 
