@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def clean_text(text: Column) -> Column:
     """Trimmed, runs of white space as one space; null as ''."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))

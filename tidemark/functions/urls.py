@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import clean_text
+from .text import clean_text, let
 
 PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 SCHEME, AUTHORITY, PATH, QUERY, FRAGMENT = 1, 2, 3, 4, 5
@@ -21,19 +21,27 @@ def is_absolute(url: Column) -> Column:
     return F.coalesce(F.trim(url).rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+"), F.lit(False))
 
 
+def split_url(url: Column) -> Column:
+    """(scheme, authority, path, query, fragment) as an array from one match; '' where a part is absent.  A line break ends a url."""
+    clean = F.regexp_extract(F.translate(url, "\x01", ""), r"^[^\r\n\u0085\u2028\u2029]*", 0)
+    return F.split(F.regexp_replace(clean, PARTS, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
+
+
 def canonical_url(url: Column, allowed_host: str | None = None, encode_spaces: bool = False) -> Column:
     """Scheme and host in lower case, no fragment, no slashes at the path's end; null if not absolute or of a rejected scheme."""
     s = F.trim(url)
     if encode_spaces:
         s = F.replace(s, F.lit(" "), F.lit("%20"))
-    scheme, host, path = F.lower(part(s, SCHEME)), F.lower(part(s, AUTHORITY)), part(s, PATH)
-    path = F.when(path == "", F.lit("/")).when(path == "/", path).otherwise(F.regexp_replace(path, "/+$", ""))
-    query = part(s, QUERY)
-    whole = F.concat(scheme, F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
-    good = (scheme != "") & (host != "") & ~scheme.isin(*REJECTED)
-    if allowed_host is not None:
-        good &= host == allowed_host.lower()
-    return F.when(good, whole)
+
+    def of(p: Column) -> Column:
+        scheme, host, path, query = F.lower(p[0]), F.lower(p[1]), p[2], p[3]
+        path = F.when(path.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(path, "/+$", ""))
+        good = (scheme != "") & (host != "") & ~scheme.isin(*REJECTED)
+        if allowed_host is not None:
+            good &= host == allowed_host.lower()
+        return F.when(good, F.concat(scheme, F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
+
+    return let(split_url(s), of)
 
 
 def remove_dots(path: Column) -> Column:
@@ -50,23 +58,25 @@ def remove_dots(path: Column) -> Column:
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """Reference resolution of RFC 3986, 5.2, with the fragment kept."""
-    h = F.trim(href)
-    scheme, root = part(base, SCHEME), F.concat(part(base, SCHEME), F.lit("://"), part(base, AUTHORITY))
-    folder = F.concat(F.regexp_extract(part(base, PATH), "^(.*/)", 1))
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    tail = F.regexp_extract(h, r"[?#].*$", 0)
-    path = part(h, PATH)
-    base_query = part(base, QUERY)
-    return (
-        F.when(h == "", F.regexp_replace(base, "#.*$", ""))
-        .when(part(h, SCHEME) != "", h)
-        .when(F.startswith(h, F.lit("//")), F.concat(scheme, F.lit(":"), h))
-        .when(F.startswith(h, F.lit("/")), F.concat(root, remove_dots(path), tail))
-        .when(F.startswith(h, F.lit("?")), F.concat(root, part(base, PATH), h))
-        .when(F.startswith(h, F.lit("#")), F.concat(root, part(base, PATH), F.when(base_query != "", F.concat(F.lit("?"), base_query)).otherwise(F.lit("")), h))
-        .otherwise(F.concat(root, remove_dots(F.concat(folder, path)), tail))
-    )
+    """Reference resolution of RFC 3986, 5.2, with the fragment kept; each url is matched once."""
+
+    def of(b: Column, h: Column, p: Column) -> Column:
+        root = F.concat(b[0], F.lit("://"), b[1])
+        folder = F.regexp_extract(b[2], "^(.*/)", 1)
+        folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+        tail = F.regexp_extract(h, r"[?#].*$", 0)
+        query = F.when(b[3] != "", F.concat(F.lit("?"), b[3])).otherwise(F.lit(""))
+        path = F.when(F.startswith(p[2], F.lit("/")), p[2]).otherwise(F.concat(folder, p[2]))
+        return (
+            F.when(h == "", F.concat(root, b[2], query))
+            .when(p[0] != "", h)
+            .when(F.startswith(h, F.lit("//")), F.concat(b[0], F.lit(":"), h))
+            .when(F.startswith(h, F.lit("?")), F.concat(root, b[2], h))
+            .when(F.startswith(h, F.lit("#")), F.concat(root, b[2], query, h))
+            .otherwise(F.concat(root, remove_dots(path), tail))
+        )
+
+    return let(split_url(base), lambda b: let(F.trim(href), lambda h: let(split_url(h), lambda p: of(b, h, p))))
 
 
 def path_extension(url: Column) -> Column:
