@@ -183,7 +183,7 @@ ORACLES = {
     "doc_lang_flags": r"""SELECT doc_id, regexp_matches(text, '[\x{4e00}-\x{9fff}]') AND NOT regexp_matches(text, '[A-Za-z]') AS chinese_only,
         CASE WHEN regexp_matches(text, '[\x{4e00}-\x{9fff}]') THEN 'zh' WHEN regexp_matches(text, '[^\x{00}-\x{24f}]') THEN 'other' ELSE 'en' END AS script,
         CASE WHEN length(p) > 8 AND starts_with(p, '852') THEN substr(p, 4) ELSE p END AS phone
-        FROM (SELECT *, regexp_replace(substr(text, 1, 200), '[^0-9]', '', 'g') AS p FROM documents)""",
+        FROM (SELECT *, regexp_replace(text, '[^0-9]', '', 'g') AS p FROM documents)""",
     "url_locale": r"""SELECT page_id, coalesce(nullif(lower(regexp_extract(url, '(?i)/(en|tc|sc|zh|fr|de|es)(?:/|$)', 1)), ''), 'en') AS locale, regexp_replace(url, '^(.*?)/en/', '\1/tc/') AS other FROM pages""",
     "url_shapes": rf"""SELECT page_id, regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+') AS absolute,
         CASE WHEN contains({_part('url', 3)}, '.') THEN '.' || regexp_extract(lower({_part('url', 3)}), '\.([^.]*)$', 1) ELSE '' END AS ext,

@@ -345,7 +345,7 @@ ORACLES = {
     "facet_counts": f"WITH {_REC}, g(pos, id, label) AS (VALUES (1, '5-low', 'Low'), (2, '1-urgent', 'Urgent'), (3, 'none', 'None'), (4, '2-high', 'High')) SELECT pos::INT AS pos, id, label, count(*) AS n FROM g JOIN rec ON rec.source = id GROUP BY 1, 2, 3",
     "facet_search_page": f"WITH {_REC} SELECT source, url, publish_date, price FROM rec WHERE source = '1-urgent' AND contains(lower(status || chr(10) || url), '12') ORDER BY publish_date DESC, url DESC LIMIT 25 OFFSET 25",
     "source_groups": f"WITH e AS (SELECT event_id, {_SOURCE} AS s FROM events), x(k, v) AS (VALUES ('view', 'pages'), ('click', 'pages'), ('site.error', 'ops')), l(k) AS (VALUES ('site'), ('purchase'), ('signup')) SELECT event_id, coalesce(a.v, b.v, c.k, f.k, g.k, '') AS grp FROM e LEFT JOIN x a ON a.k = s LEFT JOIN x b ON contains(s, '.') AND b.k = split_part(s, '.', 2) LEFT JOIN l c ON contains(s, '.') AND c.k = split_part(s, '.', 1) LEFT JOIN l f ON f.k = s LEFT JOIN l g ON instr(s, '_') > 1 AND g.k = split_part(s, '_', 1)",
-    "bfs_parts": "WITH RECURSIVE l AS (SELECT l_partkey AS p, -l_suppkey AS s FROM lineitem WHERE l_orderkey % 50 = 0), e AS (SELECT p AS a, s AS b FROM l UNION SELECT s, p FROM l), r AS (SELECT min(p) AS node, 0 AS depth FROM l UNION SELECT e.b, r.depth + 1 FROM r JOIN e ON e.a = r.node WHERE r.depth < 3) SELECT node, min(depth)::BIGINT AS depth FROM r GROUP BY node",
+    "bfs_parts": "WITH RECURSIVE l AS (SELECT l_partkey AS p, -l_suppkey AS s FROM lineitem), e AS (SELECT p AS a, s AS b FROM l UNION SELECT s, p FROM l), r AS (SELECT min(p) AS node, 0 AS depth FROM l UNION SELECT e.b, r.depth + 1 FROM r JOIN e ON e.a = r.node WHERE r.depth < 3) SELECT node, min(depth)::BIGINT AS depth FROM r GROUP BY node",
     "probe_miss_stop": "WITH u AS (SELECT DISTINCT user_id FROM events), h AS (SELECT DISTINCT user_id, day(ts) AS day FROM events), p AS (SELECT u.user_id, d.day, h.day IS NOT NULL AS hit FROM u CROSS JOIN range(1, 31) d(day) LEFT JOIN h ON h.user_id = u.user_id AND h.day = d.day), m AS (SELECT *, (NOT hit) AND NOT coalesce(lag(hit, 1) OVER w, true) AND NOT coalesce(lag(hit, 2) OVER w, true) AS third FROM p WINDOW w AS (PARTITION BY user_id ORDER BY day)), s AS (SELECT user_id, min(day) FILTER (WHERE third) AS stop FROM m GROUP BY 1) SELECT m.user_id, count(*) AS probed, count(*) FILTER (WHERE hit) AS hits FROM m JOIN s ON s.user_id = m.user_id WHERE stop IS NULL OR day <= stop GROUP BY 1",
     "config_inherit": "SELECT n_nationkey, 'delay' AS k, n_regionkey::VARCHAR AS v FROM nation UNION ALL SELECT n_nationkey, 'page', n_nationkey::VARCHAR FROM nation",
     "localized_names": "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'T' || n_name ELSE n_name END AS name FROM nation",
