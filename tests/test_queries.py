@@ -2,10 +2,10 @@ import pytest
 
 import __spark_entry__
 from conftest import DATA, same
-from tidemark.plans import links, tables
+from tidemark.plans import catalogue, links, tables
 
-QUERIES = links.QUERIES | tables.QUERIES
-ORACLES = links.ORACLES | tables.ORACLES
+QUERIES = links.QUERIES | tables.QUERIES | catalogue.QUERIES
+ORACLES = links.ORACLES | tables.ORACLES | catalogue.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

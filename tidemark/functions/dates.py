@@ -143,7 +143,45 @@ def date_in_row(html: Column, href: Column) -> Column:
     return F.when(at > 0, mine_date(F.concat(before, F.lit(" "), after), edition=False))
 
 
-def preferred_by_precision(a: Column, b: Column) -> Column:
-    """Of two dates that with a day, else the first that there is."""
-    day = lambda d: d.isNotNull() & ~F.endswith(d, F.lit("-01"))
-    return F.when(day(a), a).when(day(b), b).otherwise(F.coalesce(a, b))
+def preferred_by_precision(a: Column, b: Column, a_has_day: Column | None = None, b_has_day: Column | None = None) -> Column:
+    """Of two dates that whose text named a day, else the first that there is; where nothing is told, the first of a month stands for a month."""
+    told = lambda d, has: has & d.isNotNull() if has is not None else d.isNotNull() & ~F.endswith(d, F.lit("-01"))
+    return F.when(told(a, a_has_day), a).when(told(b, b_has_day), b).otherwise(F.coalesce(a, b))
+
+
+def edition_date(text: Column) -> Column:
+    """Edition, issue or corrigendum with a month or a year: its first day."""
+    month = _first(text, rf"(?<=edition |issue |corrigendum ){MONTH}\s+{YEAR}", "my")
+    return F.coalesce(month, _first(text, rf"{YEAR}(?=\s+(?:edition|issue|corrigendum)\b)", "y"), _first(text, rf"(?<=edition |issue |corrigendum ){YEAR}", "y"))
+
+
+def dotted_date(text: Column) -> Column:
+    """``Y.M.D`` to ISO."""
+    return _first(F.trim(text), rf"^{YEAR}\.{NUMBER}\.{DAY}$", "ymd")
+
+
+def display_date(date: Column, lang: str = "en") -> Column:
+    """An ISO date as people write it: 5 March 2024 or 2024年3月5日."""
+    d = F.try_to_date(date, "yyyy-MM-dd")
+    return F.date_format(d, "d MMMM yyyy") if lang == "en" else F.concat(F.year(d).cast("string"), F.lit("年"), F.month(d).cast("string"), F.lit("月"), F.day(d).cast("string"), F.lit("日"))
+
+
+def short_date(timestamp: Column) -> Column:
+    """A timestamp as Mar 5, 2024, in the session's time zone."""
+    return F.date_format(timestamp, "MMM d, yyyy")
+
+
+def name_or_url_date(name: Column, url: Column) -> Column:
+    """A date in the name, else the url's eight digits that are one."""
+    token = F.regexp_extract(url, r"(?:^|[^0-9])((?:19|20)\d{6})(?:[^0-9]|$)", 1)
+    return F.coalesce(publish_date(F.regexp_extract(name, rf"(?i){DAY}\s+{MONTH},?\s+{YEAR}", 0)), F.when(token != "", iso(F.substring(token, 1, 4), F.substring(token, 5, 2), F.substring(token, 7, 2))))
+
+
+def term_of_year(year: Column, first_year: int = 2022, first_term: int = 7, length: int = 4) -> Column:
+    """Two digits: the term, ``length`` years each, that a year is in."""
+    return F.lpad((F.floor((year - first_year) / length) + first_term).cast("string"), 2, "0")
+
+
+def days_back(end: Column, days: Column) -> Column:
+    """The days of a range, the newest first."""
+    return F.sequence(end, F.date_sub(end, days), F.expr("interval -1 day"))

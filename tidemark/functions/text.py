@@ -130,3 +130,35 @@ def link_language(text: Column) -> Column:
 def locale_of_path(url: Column, default: str = "en") -> Column:
     found = F.lower(F.regexp_extract(url, r"(?i)/(en|tc|sc|zh|fr|de|es)(?:/|$)", 1))
     return F.when(found != "", found).otherwise(F.lit(default))
+
+
+def reference_number(text: Column, label: str) -> Column:
+    """The number after a label such as Circular No., Item, Version or Issue, '' without one."""
+    return F.upper(F.regexp_extract(text, rf"(?i)\b{label}\.?\s*(?:no\.?|number)?\s*:?\s*([0-9]+(?:[./][0-9]+)*[A-Za-z]?)\b", 1))
+
+
+def title_before(text: Column, marks: tuple[str, ...], site: str = "") -> Column:
+    """A title without the site's label in front and without what follows a mark."""
+    import re
+
+    title = strip_prefix(clean_text(text), site) if site else clean_text(text)
+    return F.trim(F.regexp_replace(title, "(?i)\\s*(?:" + "|".join(map(re.escape, marks)) + ").*$", ""))
+
+
+def untagged(tag: Column) -> Column:
+    """The value of ``tagged``."""
+    return F.regexp_replace(tag, "^[^:]*:", "")
+
+
+def segment(text: Column, skip: tuple[str, ...] = ("home", "index")) -> Column:
+    """A part of a directory path, null for letters of an index and for names to skip."""
+    t = clean_text(text)
+    return F.when(~t.rlike("(?i)^[a-z](?:\\s*-\\s*[a-z])?$") & ~F.lower(t).isin("", *skip), t)
+
+
+def used_abbreviations(text: Column, abbreviations: dict[str, str]) -> Column:
+    """The abbreviations that ``expand`` finds, in order of length."""
+    import re
+
+    known = [s for s in sorted(abbreviations, key=lambda s: (-len(s), s)) if s[:1].isupper()]
+    return F.filter(F.array(*[F.when(text.rlike(rf"(?<![A-Za-z0-9]){re.escape(s)}(?![A-Za-z0-9])"), F.lit(s)) for s in known]), lambda x: x.isNotNull())

@@ -117,3 +117,35 @@ def in_scope(url: Column, prefixes: tuple[str, ...]) -> Column:
 def swap_language(url: Column, old: str, new: str) -> Column:
     """The first ``/old/`` as ``/new/``."""
     return F.regexp_replace(url, f"^(.*?)/{old}/", f"$1/{new}/")
+
+
+def redirect_target(url: Column, parameter: str) -> Column:
+    """The url that a query parameter names, resolved against the url itself; the url without one."""
+    said = percent_decode(F.regexp_extract(part(url, QUERY), rf"(?:^|&){parameter}=([^&]*)", 1))
+    return F.when(said != "", canonical_url(resolve(url, said))).otherwise(url)
+
+
+def scope_prefix(path: Column) -> Column:
+    """A path as a scope: one slash in front, none behind; the root stays."""
+    inner = F.regexp_replace(F.trim(path), "^/+|/+$", "")
+    return F.concat(F.lit("/"), F.lower(inner))
+
+
+def templated(template: str, **parts: Column) -> Column:
+    """A url template's ``{name}`` places filled in."""
+    out = F.lit(template)
+    for name, value in parts.items():
+        out = F.replace(out, F.lit("{" + name + "}"), value.cast("string"))
+    return out
+
+
+def title_by_folder(url: Column, titles: Column, default: str = "en") -> Column:
+    """Of a map of titles that of the url's language folder, else the default's."""
+    folder = F.lower(F.regexp_extract(url, r"(?i)/(en|tc|sc|zh)/", 1))
+    return F.coalesce(titles[F.when(folder == "zh", F.lit("tc")).otherwise(folder)], titles[default])
+
+
+def locale_tag(tag: Column) -> Column:
+    """en, tc or sc of the many ways to write a locale; null for others."""
+    low = F.lower(F.replace(F.trim(tag), F.lit("_"), F.lit("-")))
+    return F.when(low.isin("en", "en-us", "en-gb", "eng", "english"), "en").when(low.isin("tc", "zh-hk", "zh-tw", "zh-hant", "chi"), "tc").when(low.isin("sc", "zh-cn", "zh-hans"), "sc")

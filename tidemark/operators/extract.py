@@ -41,57 +41,77 @@ def document_urls(html: Column, extension: str = "pdf") -> Column:
     return F.array_distinct(found)
 
 
+#: Elements without an end tag.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+BLOCKS = {"p", "li", "dt", "dd", "option"}
+#: Columns or rows that one cell may span, as browsers bound them.
+MOST_SPAN = 1000
+
+
 class _Tree(HTMLParser):
-    """Collects rows of cells, list items and anchors while it keeps the open elements."""
+    """Collects tables, blocks, list items and anchors while it keeps the open elements.
+
+    An element ends with its own end tag, which also ends what was left open in it; void elements hold nothing.  So a scope is what
+    stands within its element, whatever is left open or void inside."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[list[dict]] = []
-        self.tables, self.items, self.links = [], [], []
-        self.open_tables: list[list] = []
+        self.tables, self.items, self.links, self.blocks = [], [], [], []
+        self.open: list[tuple[str, str | None, dict | None]] = []
+        self.open_tables: list[dict] = []
         self.cell: dict | None = None
-        self.item: dict | None = None
         self.link: dict | None = None
-        self.depth = 0
-        self.scopes: list[tuple[int, str]] = []
+        self.heading = ""
+
+    def ids(self) -> list[str]:
+        return [i for _, i, _ in self.open if i]
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        self.depth += 1
-        if a.get("id"):
-            self.scopes.append((self.depth, a["id"]))
+        a, block = dict(attrs), None
         if tag == "table":
-            self.open_tables.append([])
+            self.open_tables.append({"rows": [], "heading": self.heading, "ids": self.ids() + ([a["id"]] if a.get("id") else [])})
         elif tag == "tr" and self.open_tables:
-            self.open_tables[-1].append([])
-        elif tag in ("td", "th") and self.open_tables and self.open_tables[-1]:
-            span = lambda n: int(a.get(n) or 1) if str(a.get(n) or 1).isdigit() else 1
-            self.cell = {"text": "", "links": [], "rowspan": max(1, span("rowspan")), "colspan": max(1, span("colspan")), "head": tag == "th"}
-            self.open_tables[-1][-1].append(self.cell)
-        elif tag == "li":
-            self.item = {"text": "", "links": []}
-            self.items.append(self.item)
+            self.open_tables[-1]["rows"].append([])
+        elif tag in ("td", "th") and self.open_tables and self.open_tables[-1]["rows"]:
+            span = lambda n: min(MOST_SPAN, max(1, int(a.get(n) or 1))) if str(a.get(n) or 1).isdigit() else 1
+            self.cell = {"text": "", "links": [], "rowspan": span("rowspan"), "colspan": span("colspan"), "head": tag == "th"}
+            self.open_tables[-1]["rows"][-1].append(self.cell)
+        elif tag in BLOCKS or tag in HEADINGS:
+            depth = sum(t in ("ul", "ol") for t, _, _ in self.open)
+            block = {"tag": tag, "text": "", "links": [], "value": a.get("value"), "heading": self.heading, "ids": self.ids(), "depth": depth}
+            self.blocks.append(block)
+            if tag == "li":
+                self.items.append(block)
+        elif tag == "img":
+            self.blocks.append({"tag": "img", "text": a.get("alt") or "", "links": [], "value": a.get("src"), "heading": self.heading, "ids": self.ids(), "depth": 0})
         elif tag == "a" and a.get("href"):
-            self.link = {"href": a["href"], "text": "", "ids": [i for _, i in self.scopes]}
+            self.link = {"href": a["href"], "text": "", "ids": self.ids()}
             self.links.append(self.link)
-            for holder in (self.cell, self.item):
+            for holder in (self.cell, self._block()):
                 if holder is not None:
                     holder["links"].append(self.link)
+        if tag not in VOID:
+            self.open.append((tag, a.get("id"), block))
+
+    def _block(self) -> dict | None:
+        return next((x for _, _, x in reversed(self.open) if x is not None), None)
 
     def handle_endtag(self, tag):
+        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag), None)
+        if at is not None:
+            if tag in HEADINGS and self.open[at][2]:
+                self.heading = " ".join(self.open[at][2]["text"].split())
+            del self.open[at:]
         if tag == "table" and self.open_tables:
             self.tables.append(self.open_tables.pop())
         elif tag in ("td", "th"):
             self.cell = None
-        elif tag == "li":
-            self.item = None
         elif tag == "a":
             self.link = None
-        self.scopes = [s for s in self.scopes if s[0] < self.depth]
-        self.depth = max(0, self.depth - 1)
 
     def handle_data(self, data):
-        for holder in (self.cell, self.item, self.link):
+        for holder in (self.cell, self._block(), self.link):
             if holder is not None:
                 holder["text"] += data
 
@@ -120,15 +140,24 @@ def spread(rows: list[list[dict]]) -> list[list[dict]]:
     return [[g[c] for c in sorted(g)] for g in grid]
 
 
-@udtf(returnType="table_no int, row int, col int, head boolean, text string, href string")
+@udtf(returnType="table_no int, heading string, ids array<string>, row int, col int, head boolean, text string, href string")
 class HtmlTables:
-    """Each cell of each table, spans spread out, with the first link in it."""
+    """Each cell of each table, spans spread out, with the first link in it, the heading before the table and the ids around it."""
 
     def eval(self, html: str):
-        for t, rows in enumerate(parse(html).tables):
-            for r, row in enumerate(spread(rows)):
+        for t, table in enumerate(parse(html).tables):
+            for r, row in enumerate(spread(table["rows"])):
                 for c, cell in enumerate(row):
-                    yield t, r, c, cell["head"], " ".join(cell["text"].split()), cell["links"][0]["href"] if cell["links"] else None
+                    yield t, table["heading"], table["ids"], r, c, cell["head"], " ".join(cell["text"].split()), cell["links"][0]["href"] if cell["links"] else None
+
+
+@udtf(returnType="pos int, tag string, heading string, ids array<string>, depth int, text string, value string, hrefs array<string>")
+class HtmlBlocks:
+    """Paragraphs, list items, terms, options, headings and images in order, with the heading before and the ids around them."""
+
+    def eval(self, html: str):
+        for i, x in enumerate(parse(html).blocks):
+            yield i, x["tag"], x["heading"], x["ids"], x["depth"], " ".join(x["text"].split()), x["value"], [k["href"] for k in x["links"]]
 
 
 @udtf(returnType="pos int, text string, href string")
@@ -153,8 +182,8 @@ class HtmlScopedLinks:
 
 
 def register(spark: SparkSession) -> None:
-    """Make the table functions known to SQL: html_tables, html_items, html_scoped_links."""
-    for name, f in (("html_tables", HtmlTables), ("html_items", HtmlItems), ("html_scoped_links", HtmlScopedLinks)):
+    """Make the table functions known to SQL: html_tables, html_blocks, html_items, html_scoped_links."""
+    for name, f in (("html_tables", HtmlTables), ("html_blocks", HtmlBlocks), ("html_items", HtmlItems), ("html_scoped_links", HtmlScopedLinks)):
         spark.udtf.register(name, f)
 
 
@@ -166,6 +195,102 @@ def by_header(cells: DataFrame, keys: list[str], wanted: dict[str, str]) -> Data
     return body.groupBy(*keys, "table_no", "row").agg(*named)
 
 
+def under_heading(cells: DataFrame, heading: str) -> DataFrame:
+    """Cells of the tables whose heading matches, once both are folded."""
+    from ..functions.text import headings_match
+
+    return cells.where(headings_match(F.col("heading"), F.lit(heading)))
+
+
+def first_table(cells: DataFrame, keys: list[str]) -> DataFrame:
+    first = cells.groupBy(*keys).agg(F.min("table_no").alias("_first"))
+    return cells.join(first, keys).where(F.col("table_no") == F.col("_first")).drop("_first")
+
+
+def in_panes(rows: DataFrame, panes: dict[str, str]) -> DataFrame:
+    """Rows inside elements with the given ids, with the pane's label."""
+    label = F.coalesce(*[F.when(F.array_contains("ids", i), F.lit(name)) for i, name in panes.items()])
+    return rows.withColumn("pane", label).where(F.col("pane").isNotNull())
+
+
+def since_year(rows: DataFrame, least: int) -> DataFrame:
+    """Rows of sections whose heading names a year from ``least`` on."""
+    year = F.regexp_extract("heading", r"\b((?:19|20)\d{2})\b", 1).try_cast("int")
+    return rows.withColumn("year", year).where(F.col("year") >= least)
+
+
+def label_values(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Two-column tables to (keys, label, text, href); the first row of a label wins."""
+    from .keyed import dedup
+
+    label = cells.where("col = 0").select(*keys, "table_no", "row", F.regexp_replace("text", r"\s*:$", "").alias("label"))
+    value = cells.where("col = 1").select(*keys, "table_no", "row", "text", "href")
+    found = label.join(value, [*keys, "table_no", "row"]).where("label <> ''")
+    return dedup(found, [*keys, "label"], F.struct("table_no", "row")).select(*keys, "label", "text", "href")
+
+
+def preferred_links(cells: DataFrame, keys: list[str], ranks: list[str]) -> DataFrame:
+    """Of each row's links that of the first column rule that its header matches, the rightmost column without any."""
+    head = cells.where("head").groupBy(*keys, "table_no", "col").agg(F.min_by("text", "row").alias("header"))
+    links = cells.where("href is not null").join(head, [*keys, "table_no", "col"], "left")
+    rank = F.coalesce(*[F.when(F.col("header").rlike(f"(?i){p}"), F.lit(i)) for i, p in enumerate(ranks)], F.lit(len(ranks)))
+    return links.groupBy(*keys, "table_no", "row").agg(F.min_by("href", F.struct(rank, -F.col("col"))).alias("href"))
+
+
+def dates_by_link(cells: DataFrame, keys: list[str], header: str = "date") -> DataFrame:
+    """(keys, href, date): the date column's value for every link of its row."""
+    from ..functions.dates import publish_date
+
+    head = cells.where("head").where(F.col("text").rlike(f"(?i){header}")).select(*keys, "table_no", "col").distinct()
+    dated = cells.where("not head").join(head, [*keys, "table_no", "col"], "left_semi").groupBy(*keys, "table_no", "row").agg(F.min("text").alias("_d"))
+    links = cells.where("href is not null").select(*keys, "table_no", "row", "href").distinct()
+    return links.join(dated, [*keys, "table_no", "row"]).groupBy(*keys, "href").agg(F.min(publish_date(F.col("_d"))).alias("date"))
+
+
+def people(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (name, post, phone) of directories: blank and vacant names go, and those without a phone."""
+    from ..functions.filters import is_person
+    from ..functions.text import phone
+
+    at = lambda c: F.max(F.when(F.col("col") == c, F.col("text")))
+    rows = cells.where("not head").groupBy(*keys, "table_no", "row").agg(at(0).alias("name"), at(1).alias("post"), phone(at(2)).alias("phone"))
+    return rows.where(is_person(F.col("name"), F.col("phone")))
+
+
+def tree_paths(items: DataFrame, keys: list[str]) -> DataFrame:
+    """Nested list items (pos, depth, text) to the path of texts from the root: of each shallower depth the last item before."""
+    from pyspark.sql import Window
+
+    along = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = items.withColumn("_seen", F.collect_list(F.struct("depth", "text")).over(along))
+    upto = F.sequence(F.lit(1), F.col("depth"))
+    last = F.transform(upto, lambda d: F.get(F.filter("_seen", lambda x: x["depth"] == d)["text"], F.size(F.filter("_seen", lambda x: x["depth"] == d)) - 1))
+    return seen.withColumn("path", F.filter(last, lambda x: x.isNotNull())).drop("_seen")
+
+
+def questions(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """Terms and their definitions as (keys, section, number, question, answer), numbered along the page."""
+    from pyspark.sql import Window
+
+    along = Window.partitionBy(*keys).orderBy("pos")
+    entry = blocks.where(F.col("tag").isin("dt", "dd")).withColumn("number", F.count_if(F.col("tag") == "dt").over(along))
+    answer = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("tag") == "dd", F.struct("pos", "text")))), lambda x: x["text"]), " ")
+    return entry.where("number > 0").groupBy(*keys, "number").agg(F.min_by("heading", "pos").alias("section"), F.min_by("text", "pos").alias("question"), answer.alias("answer"))
+
+
+def script_items(html: Column, title: str = "title", url: str = "url") -> Column:
+    """Items of arrays in scripts as [(title, url)]: objects first, then the two members of each."""
+    objects = F.regexp_extract_all(html, F.lit(rf"\{{[^{{}}]*\b{url}\b[^{{}}]*\}}"), F.lit(0))
+    member = lambda x, name: F.regexp_extract(x, rf"""\b{name}["']?\s*:\s*["']([^"']*)["']""", 1)
+    return F.transform(objects, lambda x: F.struct(member(x, title).alias("title"), member(x, url).alias("url")))
+
+
+def last_page(html: Column, parameter: str = "page") -> Column:
+    """The largest page number that a listing's links name, 1 without any."""
+    found = F.transform(F.regexp_extract_all(html, F.lit(rf"[?&]{parameter}=(\d{{1,9}})"), F.lit(1)), lambda x: x.cast("int"))
+    return F.coalesce(F.array_max(found), F.lit(1))
+
+
 def records(links: DataFrame, source: str) -> DataFrame:
     """Links to catalogue records, the first of each url in document order."""
     from .keyed import dedup

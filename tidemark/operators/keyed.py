@@ -50,3 +50,9 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[Column], value: Co
 def cap(df: DataFrame, position: str, n: int) -> DataFrame:
     """The first n rows in discovery order, whatever order follows."""
     return df.orderBy(position).limit(n)
+
+
+def by_preference(df: DataFrame, keys: list[str], value: str, wanted: list[str], position: str) -> DataFrame:
+    """Per key the row whose value comes first in a list of wanted ones, the rest after them; of equal ranks the first."""
+    rank = F.coalesce(*[F.when(F.col(value) == w, F.lit(i)) for i, w in enumerate(wanted)], F.lit(len(wanted)))
+    return dedup(df, keys, F.struct(rank, F.col(position)))

@@ -78,3 +78,56 @@ def issues(df: DataFrame, position: str) -> DataFrame:
     rows = df.select(F.col(position), F.coalesce(F.when(F.trim("source") != "", F.col("source")), F.lit("(missing)")).alias("source"), F.explode(found).alias("i"))
     severity = F.when(F.col("i.field").isin("name", "publish_date"), "warning").otherwise("error")
     return rows.select(position, "source", "i.field", "i.kind", severity.alias("severity"))
+
+
+def meta_entries(rows: DataFrame, meta: str, keys: list[str]) -> DataFrame:
+    """(keys, key, value text, kind): each member of a JSON object, whatever its name; lists and objects as JSON text."""
+    from ..functions.documents import is_object, parsed, value_type
+
+    objects = rows.select(*keys, parsed(F.col(meta)).alias("_v")).where(is_object(F.col("_v")))
+    members = F.explode(F.map_entries(F.try_variant_get("_v", "$", "map<string, variant>")))
+    found = objects.select(*keys, members.alias("_m")).select(*keys, F.col("_m.key").alias("key"), F.col("_m.value").alias("_x"))
+    kind = value_type(F.col("_x"))
+    text = F.when(kind.isin("array", "object"), F.to_json("_x")).otherwise(F.coalesce(F.try_variant_get("_x", "$", "string"), F.lit("null")))
+    return found.select(*keys, "key", text.alias("value"), F.coalesce(kind, F.lit("null")).alias("kind"))
+
+
+def key_frequency(entries: DataFrame, groups: list[str], order: str, k: int = 12) -> DataFrame:
+    return frequent(entries, groups, "key", order, k)
+
+
+def type_histogram(entries: DataFrame, groups: list[str]) -> DataFrame:
+    """Per key how often each type stands, and whether the key varies."""
+    from pyspark.sql import Window
+
+    counts = entries.groupBy(*groups, "key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("varies", F.count(F.lit(1)).over(Window.partitionBy(*groups, "key")) > 1)
+
+
+def value_frequency(entries: DataFrame, groups: list[str], order: str, k: int = 5) -> DataFrame:
+    """The most frequent scalar values of each key; a value's type is part of it."""
+    scalars = entries.where(~F.col("kind").isin("array", "object")).withColumn("value", F.concat("kind", F.lit(":"), "value"))
+    return frequent(scalars, [*groups, "key"], "value", order, k)
+
+
+def meta_issues(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
+    """(keys, kind): the rule that a record's meta breaks, one at most.  A member that is absent and one that is null are told apart."""
+    from ..functions.documents import is_object, parsed, value_type
+    from ..functions.urls import is_absolute
+
+    record, meta = parsed(F.col(text)), F.col("_meta")
+    has = F.coalesce(F.array_contains(F.json_object_keys(text), "meta"), F.lit(False))
+    inner = F.coalesce(F.array_contains(F.json_object_keys(F.to_json("_meta")), "discovered_from"), F.lit(False))
+    rows = rows.withColumn("_meta", F.try_variant_get(record, "$.meta", "variant")).withColumn("_from", F.try_variant_get(meta, "$.discovered_from", "variant"))
+    kind = (
+        F.when(~has, "meta_missing").when(meta.isNull() | (value_type(meta) == "null"), "meta_null").when(~is_object(meta), "meta_invalid")
+        .when(~inner, "discovered_from_missing").when(F.col("_from").isNull() | (value_type(F.col("_from")) == "null"), "discovered_from_null")
+        .when(value_type(F.col("_from")) != "str", "discovered_from_invalid").when(~is_absolute(F.try_variant_get("_from", "$", "string")), "discovered_from_not_url")
+    )
+    return rows.withColumn("kind", kind).where(F.col("kind").isNotNull()).select(*keys, "kind")
+
+
+def report(issues: DataFrame, most: int = 50) -> str:
+    """The first issues and the counts per kind as text, for people; what reaches the driver is bounded by ``most`` and the kinds."""
+    counts = issues.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "kind").collect()
+    return "\n".join([*(f"{r.kind}: {r.n}" for r in counts), *(" ".join(map(str, r)) for r in issues.orderBy(*issues.columns).limit(most).collect())])
