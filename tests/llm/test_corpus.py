@@ -399,3 +399,15 @@ def test_families_of_many_blocks(spark, monkeypatch):
         sets, low = grouped(rows, n, num, den)
         placed, _ = ngram_join.similar_documents(docs(spark, rows), n, num, den)
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in placed.collect()} == {i: (len(s), low[i]) for i, s in sets.items()}
+
+
+def test_a_recall_that_stays_low_is_an_error(spark, monkeypatch):
+    rng = random.Random(2)
+    x = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(40)]
+    rows = [(i, [y + rng.gauss(0, 0.01) for y in x[i % 20]]) for i in range(40)]
+    monkeypatch.setattr(embeddings, "TARGET", 1.5)
+    monkeypatch.setattr(embeddings, "AUDITS", 2)
+    log = []
+    with pytest.raises(RuntimeError, match="recall"):
+        embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), log=log)
+    assert [a for a, _ in log] == [0, 1]

@@ -11,7 +11,7 @@ A list whose K entries are all links is saturated: links that lead out of a tigh
 nodes are sorted in new random orders, where runs of one component are thinned to THIN, and compared across components within windows;
 what links is one component, and rounds go on until none are joined.  A saturated list is then enlarged to its whole component, in pairs
 of blocks of bounded size that are counted, not listed.  An audit compares a fixed number of vectors with all others by brute force; while recall of
-their links is below TARGET, more orders are added; a recall that stays below it is a warning.
+their links is below TARGET, twice as many more orders are added each time; a recall that stays below it is an error, never a silent result.
 
 Similarity is the cosine in double precision.  Cases: vectors that are null, empty, zero, or hold null or non-finite components
 link with nothing; vectors of different lengths do not link; repeated rows are copies of each other; a null vec_id is reported as null and never names a
@@ -20,7 +20,6 @@ component; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-import warnings
 from collections import deque
 from collections.abc import Iterator
 
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from .graphs import components, cut, grouped_by
 
 K, FLOOR, WINDOW, ORDERS, ROUNDS = 16, 0.7, 256, 12, 6
-AUDIT, TARGET, AUDITS, PART, BLOCK = 256, 0.995, 4, 128, 512
+AUDIT, TARGET, AUDITS, PART, BLOCK = 256, 0.995, 6, 128, 512
 THIN = 32
 GRAPH = "u long, ids binary, sims binary"
 
@@ -284,7 +283,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, log=None) -> Da
     true_links = truth.count()
     graph, audit = None, 0
     while True:
-        dealt = nodes.mapInArrow(_orders(audit * ORDERS, ORDERS, bits), "o long, code long, along double, node long, vec binary")
+        dealt = nodes.mapInArrow(_orders(ORDERS * (2**audit - 1), ORDERS * 2**audit, bits), "o long, code long, along double, node long, vec binary")
         dealt = dealt.repartitionByRange("o", "code", "along").sortWithinPartitions("o", "code", "along", "node")
         found = dealt.mapInArrow(_windows, GRAPH)
         graph = _merge(found if graph is None else found.union(graph))
@@ -305,7 +304,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, log=None) -> Da
         if recall >= TARGET or audit >= AUDITS:
             break
     if recall < TARGET:
-        warnings.warn(f"recall of links is {recall:.4f}, below {TARGET}", stacklevel=2)
+        raise RuntimeError(f"recall of links is {recall:.4f} after {audit} audits, below {TARGET}: raise ORDERS or AUDITS")
     copies = names.select(F.col("node").alias("v"), "copies")
     plain = both.join(copies, "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("near"))
     member = roots.join(crowded, "root", "left_semi")

@@ -10,15 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The table computed once and written to the folder in spark.checkpoint.dir, which all executors share.
-
-    Spark removes the files with the last reference if it is told to (spark.cleaner.referenceTracking.cleanCheckpoints).
-    Only where the setting is absent, as in tests on one machine, a temporary folder is taken."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that is set, or the one in spark.checkpoint.dir; a temporary one only where neither is and Spark runs on one machine, as in tests."""
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The table computed once and written to the shared folder.
+
+    Spark removes the files with the last reference if it is told to (spark.cleaner.referenceTracking.cleanCheckpoints)."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
