@@ -6,13 +6,13 @@ documents that hold benchmark items go; sources are mixed to their target weight
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import drop_contaminated
+from tidemark.llm.graphs import shared_folder
 from tidemark.llm.mixing import emit_mix
 from tidemark.llm.ngram_join import drop_similar
 from tidemark.llm.substrings import remove_repeats
@@ -62,11 +62,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what lies between them is written to the shared checkpoint folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    at, docs = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}", spark.read.parquet(f"{sf_dir}/documents.parquet")
+    at, docs, last = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}", spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{at}/{k}-{name}")
             docs = spark.read.parquet(f"{at}/{k}-{name}")
+            if last:  # the table of the stage before has been read for the last time
+                path = spark._jvm.org.apache.hadoop.fs.Path(last)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            last = f"{at}/{k}-{name}"
     return docs

@@ -109,9 +109,10 @@ def base_name(text: Column, tokens: tuple[str, ...]) -> Column:
 
 
 def link_label(text: Column) -> Column:
-    """A link's text without window notices and file sizes."""
-    t = F.regexp_replace(text, r"(?i)\(?\s*(?:opens? in|this link will open in) (?:a )?new window\s*\)?", " ")
-    return clean_text(F.regexp_replace(t, r"(?i)\(?\s*(?:pdf)?[\s,:-]*\d+(?:\.\d+)?\s*[km]b\s*\)?|\(\s*pdf\s*\)", " "))
+    """A link's text without window notices, the word pdf and file sizes in brackets."""
+    t = F.regexp_replace(text, r"(?i)\(?\s*(?:opens? in|this\s*link\s*will\s*open\s*in)\s*(?:a\s*)?new\s*window\s*\)?", " ")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?i)\bpdf\b", " "), r"(?i)\(?[\s,:-]*\d[\d.,]*\s*[kmg]b\s*\)?", " ")
+    return clean_text(F.regexp_replace(t, r"\(\s*\)", " "))
 
 
 def first_non_blank(*options: Column) -> Column:

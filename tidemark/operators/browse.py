@@ -36,5 +36,7 @@ def facets(df: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def export_rows(df: DataFrame) -> DataFrame:
-    """The seven columns of an export, metadata as JSON text."""
-    return df.select("url", "name", "discovered_at_utc", "publish_date", "source", "source_id", F.to_json("meta").alias("meta_json"))
+    """The seven columns of an export, in its order; nulls as empty texts, metadata as JSON text."""
+    text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    domain = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
+    return df.select(text("name"), text("url"), domain.alias("domain"), text("source"), text("publish_date"), text("discovered_at_utc"), F.coalesce(F.to_json("meta"), F.lit("")).alias("meta_json"))

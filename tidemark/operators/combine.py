@@ -24,13 +24,16 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, value: str
 
 def starts_with_any(df: DataFrame, column: str, prefixes: DataFrame, prefix: str, anti: bool = False) -> DataFrame:
     """Rows whose value starts with some prefix of a table, or with none.  Prefixes are grouped by length and each length is an
-    equality join on that many characters, so that no nested loop compares all with all."""
+    equality join on that many characters: a row goes to the first length that fits, so none is doubled and no nested loop compares all with all."""
     lengths = [r[0] for r in prefixes.select(F.length(prefix)).distinct().collect()]
     p = prefixes.select(F.col(prefix).alias("_p")).distinct()
-    keyed = df.withColumn("_row", F.monotonically_increasing_id())
-    cuts = F.explode(F.array(*[F.left(F.col(column), F.lit(n)) for n in sorted(lengths)])) if lengths else F.lit(None).cast("string")
-    hit = keyed.select("_row", column).select("_row", cuts.alias("_p")).join(small(p), "_p", "left_semi").select("_row").distinct()
-    return keyed.join(hit, "_row", "left_anti" if anti else "left_semi").drop("_row")
+    inside, rest = [], df
+    for n in sorted(lengths):
+        own = small(p.where(F.length("_p") == n).select(F.col("_p").alias("_sw_prefix")))
+        hit = F.left(F.col(column), F.lit(n)) == F.col("_sw_prefix")
+        inside.append(rest.join(own, hit, "left_semi"))
+        rest = rest.join(own, hit, "left_anti")
+    return rest if anti else reduce(DataFrame.union, inside) if inside else df.limit(0)
 
 
 def lookup_chain(df: DataFrame, tables: list[tuple[DataFrame, str, str]], keys: list[Column], name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,13 +26,16 @@ def frequent(df: DataFrame, keys: list[str], value: str, position: str, k: int)
 def value_outliers(df: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
     """(keys, value, n): rare values of keys with enough rows, few different values and a dominant one."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), F.min(position).alias("_first"))
-    w = Window.partitionBy(*keys)
-    ranked = counts.withColumns(
-        {"_rank": F.row_number().over(w.orderBy(F.desc("n"), F.asc("_first"))), "_total": F.sum("n").over(w), "_kinds": F.count(F.lit(1)).over(w), "_most": F.max("n").over(w)}
+    # Per key an aggregate that is joined back: a key with very many values is never sorted in one task.
+    per = counts.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.sum("n").alias("_total"), F.count(F.lit(1)).alias("_kinds"), F.max(F.struct("n", -F.col("_first"), F.struct(value).alias("v"))).alias("_top")
     )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    ranked = counts.join(per, same).withColumn("_most", F.col("_top.n"))
     rare = F.greatest(F.lit(1), F.floor(F.col("_total") * RARE_RATIO))
     fit = (F.col("_total") >= MIN_ROWS) & (F.col("_kinds") > 1) & (F.col("_kinds") / F.col("_total") <= MAX_DISTINCT) & (F.col("_most") / F.col("_total") >= MIN_DOMINANT)
-    return ranked.where(fit & (F.col("_rank") > 1) & (F.col("n") <= rare) & (F.col("n") < F.col("_most"))).select(*keys, value, "n")
+    other = ~F.col(value).eqNullSafe(F.col(f"_top.v.{value}"))
+    return ranked.where(fit & other & (F.col("n") <= rare) & (F.col("n") < F.col("_most"))).select(*keys, value, "n")
 
 
 def type_outliers(df: DataFrame, keys: list[str], kind: str, position: str) -> DataFrame:
@@ -42,16 +47,22 @@ def type_outliers(df: DataFrame, keys: list[str], kind: str, position: str) -> D
 
 
 def exclusive_p95(df: DataFrame, column: str) -> DataFrame:
-    """The 95th percentile at rank 0.95 (n + 1), null below 20 rows, from counts per value: the running sum is over distinct values."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    along = Window.partitionBy(F.lit(0)).orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = counts.withColumn("upto", F.sum("n").over(along)).withColumn("total", F.sum("n").over(Window.partitionBy(F.lit(0))))
-    place = 0.95 * (F.col("total") + 1)
-    at = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col(column)))
-    low, high = at(F.floor(place)), at(F.least(F.floor(place) + 1, F.col("total")))
-    return ranks.agg(F.max("total").alias("n"), low.alias("low"), high.alias("high")).select(
-        F.when(F.col("n") >= 20, F.col("low") + (0.95 * (F.col("n") + 1) - F.floor(0.95 * (F.col("n") + 1))) * (F.col("high") - F.col("low"))).alias("p95")
-    )
+    """The 95th percentile at rank 0.95 (n + 1), null below 20 rows.
+
+    An approximate percentile on either side leaves about a thousandth of the rows, whose values alone are counted and summed up in order."""
+    c = F.col(column)
+    rows = df.where(c.isNotNull()).select(column)
+    n = rows.count()
+    if n < 20:
+        return rows.limit(0).agg(F.max(c).cast("double").alias("p95"))
+    place = 0.95 * (n + 1)
+    k = int(place)
+    low, high = rows.agg(F.percentile_approx(c, F.lit(max(0.0, (k - 1) / n - 0.001)), 10_000), F.percentile_approx(c, F.lit(min(1.0, (k + 2) / n + 0.001)), 10_000)).first()
+    below = rows.where(c < F.lit(low)).count()
+    counts = rows.where(c.between(F.lit(low), F.lit(high))).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    ranks = counts.withColumn("upto", F.lit(below) + F.sum("n").over(Window.orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = lambda rank: F.min(F.when(F.col("upto") >= rank, c))
+    return ranks.agg((at(k) + (place - k) * (at(min(k + 1, n)) - at(k))).cast("double").alias("p95"))
 
 
 def _field(column: str, blank: bool, format_: Column | None, null_kind: str | None = "null") -> Column:

@@ -10,9 +10,12 @@ def cut(df: DataFrame) -> DataFrame:
     """The table, computed once and written to the folder in spark.checkpoint.dir; a temporary one only where that is unset."""
     import tempfile
 
-    context = df.sparkSession.sparkContext
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 

@@ -414,3 +414,44 @@ ORACLES = {
     "script_items": f"WITH {_N} SELECT page, 12 AS last, n_name AS title, '/j/' || k AS url FROM nn",
     "directory_people": "SELECT s_suppkey AS k, s_name AS name, 'Clerk' AS post, '23456789' AS phone FROM supplier WHERE s_suppkey % 4 <> 0 AND s_suppkey % 3 <> 0",
 }
+
+
+def export_rows(spark, d):
+    from ..operators import browse
+
+    return browse.export_rows(catalogue.make_records(_orders(spark, d), "orders", F.lit("2024-01-01T00:00:00Z"), F.col("given")).drop("source_id"))
+
+
+def link_labels(spark, d):
+    k = F.col("p_partkey")
+    said = _case(k % 4, F.concat("p_brand", F.lit(" (PDF, 1.2 MB)")), F.concat("p_brand", F.lit(" PDF (3 GB)")), F.concat("p_brand", F.lit(" (This link will open in a new window)")), F.concat(F.lit("  "), "p_brand"))
+    return table(spark, d, "part").select(k.alias("k"), text.link_label(said).alias("label"), text.email(F.concat(F.lit(" A"), k.cast("string"), F.when(k % 2 == 0, "@X.org").otherwise(""))).alias("email"), text.human_bytes(k * 1024).alias("bytes"), text.percent(k, F.lit(200)).alias("share"), text.escape_html(F.concat(F.lit("<a> & "), "p_brand")).alias("escaped"), text.base_name(F.concat("p_brand", F.lit(" English version")), ("English", "Chinese")).alias("base"), text.strip_prefix(F.concat(F.lit("DEPT of "), "p_brand"), "dept of").alias("stripped"), text.first_non_blank(F.when(k % 2 == 0, " ").otherwise(F.lit(None)), F.col("p_brand")).alias("filled"), text.headings_match(F.concat(F.lit("1. The "), "p_brand"), F.lower("p_brand")).alias("matches"))
+
+
+def dates_near_links(spark, d):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    href = F.concat(F.lit("/f/"), k.cast("string"), F.lit(".pdf"))
+    html = F.concat(F.lit('<table><tr><td>1 May 1990</td></tr><tr><td><a href="'), href, F.lit('">x</a></td><td>'), F.when(k % 3 != 0, F.date_format(day, "d MMMM yyyy")).otherwise("2001 edition"), F.lit("</td></tr></table>"))
+    o = table(spark, d, "orders").select(k.alias("k"), href.alias("href"), html.alias("html"), F.when(k % 2 == 0, F.date_format(day, "MMMM yyyy")).otherwise("x").alias("said"))
+    return o.select("k", dates.date_in_row(F.col("html"), F.col("href")).alias("in_row"), dates.date_near(F.col("html"), F.col("href"), F.col("said")).alias("near"))
+
+
+def json_walk(spark, d):
+    from ..operators import walk
+
+    k = F.col("n_nationkey").cast("string")
+    said = F.concat(F.lit('{"a": [{"cat_id": "'), k, F.lit('"}, {"b": {"cat_id": "c'), k, F.lit('"}}], "cat_id": "top"}'))
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), said.alias("said"))
+    return n.lateralJoin(walk.JsonWalk(F.col("said").outer())).where("key = 'cat_id'").select("k", "path", "value").distinct()
+
+
+QUERIES |= {f.__name__: f for f in (export_rows, link_labels, dates_near_links, json_walk)}
+ORACLES |= {
+    "json_walk": """SELECT n_nationkey AS k, '$' AS path, '"top"' AS value FROM nation UNION ALL SELECT n_nationkey, '$.a[0]', '"' || n_nationkey || '"' FROM nation UNION ALL SELECT n_nationkey, '$.a[1].b', '"c' || n_nationkey || '"' FROM nation""",
+    "export_rows": f"""SELECT CASE WHEN o_orderkey % 4 = 0 THEN '  ' ELSE o_orderstatus END AS name, 'https://D.example:81/' || o_orderkey AS url, 'd.example' AS domain, 'orders' AS source, coalesce({_MADE}, '') AS publish_date, '2024-01-01T00:00:00Z' AS discovered_at_utc,
+        CASE o_orderkey % 3 WHEN 0 THEN '{{"id":"' || o_orderkey || '"}}' WHEN 1 THEN '{{"issue_date":"' || year(o_orderdate) || '","other":""}}' ELSE '{{"other":"7"}}' END AS meta_json FROM orders""",
+    "link_labels": """SELECT p_partkey AS k, p_brand AS label, CASE WHEN p_partkey % 2 = 0 THEN 'a' || p_partkey || '@x.org' END AS email, CASE WHEN p_partkey = 0 THEN '0 B' WHEN p_partkey < 1024 THEN printf('%.1f KB', p_partkey::DOUBLE) ELSE printf('%.1f MB', p_partkey / 1024.0::DOUBLE) END AS bytes,
+        printf('%.1f%%', p_partkey * 100.0::DOUBLE / 200) AS share, '&lt;a&gt; &amp; ' || p_brand AS escaped, p_brand AS base, p_brand AS stripped, p_brand AS filled, true AS matches FROM part""",
+    "dates_near_links": """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS in_row,
+        CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-01') WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '1990-05-01' END AS near FROM orders""",
+}

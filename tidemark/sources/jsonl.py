@@ -37,9 +37,10 @@ def write(df: DataFrame, path: str, order: tuple[str, ...] = ("url", "source"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """RFC 4180 quoting, a header and a byte-order mark, for spreadsheets."""
+    """RFC 4180 quoting, a header and a byte-order mark, for spreadsheets; rows keep their order."""
     quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in df.columns]
     plain = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")).rlike('[",\r\n]'), q).otherwise(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c, q in zip(df.columns, quoted, strict=True)]
     head = df.sparkSession.createDataFrame([("﻿" + ",".join(df.columns),)], "value string")
-    lines = head.withColumn("_o", F.lit(0)).union(df.select(F.concat_ws(",", *plain).alias("value"), F.lit(1).alias("_o")))
-    lines.orderBy("_o").select("value").write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    # A union keeps the order of its parts: the header is the first part file, the rows' files follow in the order that they have.
+    lines = head.coalesce(1).union(df.select(F.concat_ws(",", *plain).alias("value")))
+    lines.write.mode("overwrite").option("lineSep", "\r\n").text(path)

@@ -40,7 +40,29 @@ def unnest(df: DataFrame, items: Column, schema: str) -> DataFrame:
     return df.withColumn("_i", F.explode(F.try_variant_get(items, "$", f"array<struct<{schema}>>"))).select(*df.columns, "_i.*")
 
 
+@pandas_udf(StringType())
+def _by_charset(body: pd.Series, declared: pd.Series) -> pd.Series:
+    def one(b, name):
+        if b is None:
+            return None
+        for charset in (name, "windows-1252"):
+            try:
+                return bytes(b).decode(charset or "windows-1252")
+            except (LookupError, UnicodeDecodeError):
+                continue
+        return bytes(b).decode("windows-1252", "replace")
+
+    return pd.Series([one(b, n) for b, n in zip(body, declared, strict=True)])
+
+
 def decoded(body: Column, declared: Column) -> Column:
-    """Bytes as text: UTF-8 if they are, else the declared set, else Windows-1252."""
+    """Bytes as text: UTF-8 if they are, else the declared set if they are that, else Windows-1252.  Only bytes that are no UTF-8 leave the JVM."""
     utf8 = F.try_validate_utf8(body)
-    return F.coalesce(utf8, F.when(F.upper(declared).isin("ISO-8859-1", "US-ASCII"), F.decode(body, F.lit("ISO-8859-1"))), F.decode(body, F.lit("ISO-8859-1")))
+    return F.coalesce(utf8, _by_charset(F.when(utf8.isNull(), body), declared))
+
+
+def script_html(html: Column, name: str) -> Column:
+    """The HTML that a script holds as a quoted string, with its escapes undone; '' without one."""
+    said = F.regexp_extract(html, rf"""(?s)\b{name}\s*=\s*(?:'((?:[^'\\\\]|\\\\.)*)'|"((?:[^"\\\\]|\\\\.)*)")""", 0)
+    inner = F.regexp_replace(F.regexp_replace(said, r"""(?s)^.*?=\s*['"]""", ""), r"""['"]$""", "")
+    return F.regexp_replace(F.regexp_replace(inner, r"\\n", "\n"), r"\\(.)", "$1")
