@@ -405,7 +405,7 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     def compare(families: DataFrame, stars: bool) -> None:
         """Adds the links within families (family, node, fresh) and what they join."""
         nonlocal roots
-        found = _linked(families.join(roots, "node"), nodes, docs, n, num, den, stars)
+        found = _linked(cut(families.join(roots, "node")), nodes, docs, n, num, den, stars)
         if not found.isEmpty():
             links.append(found.select("u", "v"))
             above = components(found.select(F.col("x").alias("u"), F.col("y").alias("v"))).toDF("root", "to")
