@@ -450,7 +450,7 @@ ORACLES |= {
     "json_walk": """SELECT n_nationkey AS k, '$' AS path, '"top"' AS value FROM nation UNION ALL SELECT n_nationkey, '$.a[0]', '"' || n_nationkey || '"' FROM nation UNION ALL SELECT n_nationkey, '$.a[1].b', '"c' || n_nationkey || '"' FROM nation""",
     "export_rows": f"""SELECT CASE WHEN o_orderkey % 4 = 0 THEN '  ' ELSE o_orderstatus END AS name, 'https://D.example:81/' || o_orderkey AS url, 'd.example' AS domain, 'orders' AS source, coalesce({_MADE}, '') AS publish_date, '2024-01-01T00:00:00Z' AS discovered_at_utc,
         CASE o_orderkey % 3 WHEN 0 THEN '{{"id":"' || o_orderkey || '"}}' WHEN 1 THEN '{{"issue_date":"' || year(o_orderdate) || '","other":""}}' ELSE '{{"other":"7"}}' END AS meta_json FROM orders""",
-    "link_labels": """SELECT p_partkey AS k, p_brand AS label, CASE WHEN p_partkey % 2 = 0 THEN 'a' || p_partkey || '@x.org' END AS email, CASE WHEN p_partkey = 0 THEN '0 B' WHEN p_partkey < 1024 THEN printf('%.1f KB', p_partkey::DOUBLE) ELSE printf('%.1f MB', p_partkey / 1024.0::DOUBLE) END AS bytes,
+    "link_labels": """SELECT p_partkey AS k, p_brand AS label, CASE WHEN p_partkey % 2 = 0 THEN 'a' || p_partkey || '@x.org' END AS email, CASE WHEN p_partkey = 0 THEN '0 B' WHEN p_partkey < 1024 THEN printf('%.1f KB', p_partkey::DOUBLE) ELSE printf('%.1f MB', floor(p_partkey / 1024.0::DOUBLE * 10 + 0.5) / 10) END AS bytes,
         printf('%.1f%%', p_partkey * 100.0::DOUBLE / 200) AS share, '&lt;a&gt; &amp; ' || p_brand AS escaped, p_brand AS base, p_brand AS stripped, p_brand AS filled, true AS matches FROM part""",
     "dates_near_links": """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS in_row,
         CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-01') WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '1990-05-01' END AS near FROM orders""",
