@@ -1,5 +1,7 @@
 import hashlib
 import re
+import textwrap
+from random import Random
 
 import pytest
 from conftest import DATA, same
@@ -74,10 +76,57 @@ def test_licence_cases(spark):
     body = "Something else entirely.\nLicensed under the Apache License, version 2.0\nmore"
     rows = [(1, body, "a"), (1, body, "a"), (2, None, "a"), (3, "", "a"), (4, "Released under the MIT licence.", "a"), (None, "Released under the MIT License.", "a"), (6, "x" * 100_000, "a")]
     got = sorted(licences.scan_licences(docs(spark, rows)).collect(), key=str)
-    assert [(r.doc_id, r.line, r.licence) for r in got] == [(1, 2, "Apache-2.0"), (None, 1, "MIT")]
+    assert [(r.doc_id, r.line, r.start, r.end, r.licence) for r in got] == [(1, 2, None, None, "Apache-2.0"), (1, None, 3, 11, "Apache-2.0"), (None, 1, None, None, "MIT"), (None, None, 0, 5, "MIT")]
     assert licences.scan_licences(docs(spark, [])).count() == 0
 
 
+def wrapped(text, width=60):
+    return "\n".join(" * " + line for line in textwrap.wrap(text, width))
+
+
+def test_licences_within_texts(spark):
+    mit, bsd, apache = (max((t for name, t in licences.TEMPLATES if name == kind), key=len) for kind in ("MIT", "BSD", "Apache-2.0"))
+    rows = [(i, f"Some words before.\n{wrapped(t)}\n\nint main();\n" + "code " * 500, "a") for i, t in enumerate((mit, bsd, apache))]
+    rows += [(3, "Copyright 2020 X. Licensed under the MIT License. All rights reserved.", "a"), (4, f"MIT License\n\nCopyright (c) 2020 X\n\n{mit}", "a")]
+    rows += [(5, f"{bsd} {mit} {bsd}", "a"), (6, "w " * 100_000 + mit, "a"), (7, "license copyright software " * 400, "a")]
+    got = {}
+    for r in licences.scan_windows(docs(spark, rows)).orderBy("start").collect():
+        got.setdefault(r.doc_id, []).append((r.licence, r.dice))
+    assert {i: [name for name, _ in found] for i, found in got.items()} == {0: ["MIT"], 1: ["BSD"], 2: ["Apache-2.0"], 3: ["MIT"], 4: ["MIT"], 5: ["BSD", "MIT", "BSD"], 6: ["MIT"]}
+    assert all(d == 1 for i in (0, 1, 2, 3, 4, 5, 6) for _, d in got[i])
+
+
+def windows(text, threshold=0.8):
+    words, found, taken = re.findall("[a-z0-9]+", text.lower()), [], []
+    for number, (name, template) in enumerate(licences.TEMPLATES):
+        own, n = set(licences.pairs_of(template)), len(re.findall("[a-z0-9]+", template.lower()))
+        for i in range(len(words) - 1):
+            d = dice({f"{a} {b}" for a, b in zip(words[i : i + n], words[i + 1 : i + n])}, own)
+            if f"{words[i]} {words[i + 1]}" in own and d >= threshold:
+                found.append((-len(own & set(map(" ".join, zip(words[i : i + n], words[i + 1 : i + n])))), -d, number, i, min(i + n, len(words)), name))
+    for w in sorted(found):
+        if not any(w[3] < t[4] and t[3] < w[4] for t in taken):
+            taken.append(w)
+    return {(w[3], w[4], w[5], -w[1]) for w in taken}
+
+
+def test_licence_windows_by_brute_force(spark):
+    random = Random(5)
+    texts = []
+    for _ in range(60):
+        words = []
+        for _ in range(random.randint(1, 3)):
+            notice = random.choice(licences.TEMPLATES)[1].split()
+            notice = [w if random.random() > 0.08 else random.choice(["zz", "the", w + " " + w, ""]) for w in notice]
+            words += random.choices(["the", "of", "software", "license", "permission"], k=random.randint(0, 6)) + notice[: random.randint(3, 400)]
+        texts.append(" ".join(words).replace(" ", "\n", random.randint(0, 9)))
+    got = {}
+    for r in licences.scan_windows(docs(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect():
+        got.setdefault(r.doc_id, set()).add((r.start, r.end, r.licence, r.dice))
+    want = {i: windows(t) for i, t in enumerate(texts)}
+    assert sum(map(len, want.values())) > 60 and got == {i: w for i, w in want.items() if w}
+
+
 def dice(a, b):
     return 2 * len(a & b) / (len(a) + len(b))
 
@@ -85,7 +134,7 @@ def dice(a, b):
 def test_licence_bounds_lose_nothing(spark):
     words = [licences.TEMPLATES[i][1].split() for i in (1, 4, 12)]
     lines = [" ".join(w[:k] + ["zz"] * j) for w in words for k in range(1, len(w) + 1) for j in (0, 1, 3)]
-    got = {r.doc_id: r.dice for r in licences.scan_licences(docs(spark, [(i, t, "a") for i, t in enumerate(lines)])).collect()}
+    got = {r.doc_id: r.dice for r in licences.scan_units(docs(spark, [(i, t, "a") for i, t in enumerate(lines)])).collect()}
     sets = [set(licences.pairs_of(t)) for _, t in licences.TEMPLATES]
     want = {i: max(dice(set(licences.pairs_of(t)), s) for s in sets) for i, t in enumerate(lines)}
     assert got == pytest.approx({i: d for i, d in want.items() if d >= 0.8})
