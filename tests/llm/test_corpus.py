@@ -241,6 +241,51 @@ def test_decontamination_by_brute_force(spark):
     assert set(got) == set(want) and got
 
 
+def weighted_matches(texts, items, threshold=0.8):
+    """(doc_id, item_id) -> (start, n_words, similarity) of every document and item, by all windows and sums over multisets."""
+    split = lambda t: [w for w in MARKS.split((t or "").lower().replace("ß", "ss")) if w]
+    grams = lambda w, k: collections.Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    own = {i: split(t) for i, t in items.items() if t is not None}
+    sets = {i: grams(w, min(5, len(w))) for i, w in own.items() if w}
+    have = collections.Counter(g for x in sets.values() for g in x)
+    weight = lambda g: math.log(1 + len(own) / max(1, have[g]))
+    found = {}
+    for doc, text in texts.items():
+        words = split(text)
+        every = {k: set(grams(words, k)) for k in range(1, 6)}
+        for i, theirs in sets.items():
+            k, n = min(5, len(own[i])), min(len(own[i]), len(words))
+            if not every[k].intersection(theirs):
+                continue
+            for at in range(len(words) - n + 1):
+                mine = grams(words[at : at + n], k)
+                s = sum(weight(g) * c for g, c in (mine & theirs).items()) / sum(weight(g) * c for g, c in (mine | theirs).items())
+                if s >= threshold - 1e-12 and s > found.get((doc, i), (0, 0, 0.0))[2] + 1e-9:
+                    found[(doc, i)] = (at, n, s)
+    return found
+
+
+def test_weighted_decontamination_by_brute_force(spark):
+    rng = random.Random(23)
+    words = [f"v{i}" for i in range(40)]
+    items = {i: " ".join(rng.choices(words, k=rng.choice([3, 5, 8, 20, 30]))) for i in range(25)}
+    items |= {25 + i: " ".join(["shared wording of several items here"] + rng.choices(words, k=14)) for i in range(6)}
+    items |= {31: None, 32: ""}
+    texts = {}
+    for d in range(300):
+        part = items[rng.randrange(31)].split()
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.randrange(len(part))
+            part[at : at + rng.choice([0, 1])] = ["odd"] if rng.random() < 0.7 else []
+            part = part or ["odd"]
+        texts[d] = " ".join(rng.choices(words, k=rng.randrange(9)) + part + rng.choices(words, k=rng.randrange(9)))
+    b = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = weighted_matches(texts, items)
+    got = {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity) for r in decontaminate.contaminated(docs(spark, list(texts.items())), b).collect()}
+    assert set(got) == set(want) and len(want) > 100 and any(s < 1 for _, _, s in want.values())
+    assert all(got[k][1:] == pytest.approx(want[k][1:]) and got[k][0] == want[k][0] for k in want)
+
+
 def test_decontamination_cases(spark):
     item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
     b = spark.createDataFrame([(1, item, 0), (2, "tiny item here", 0), (3, None, 0), (4, "", 0), (5, item, 0)], "item_id long, text string, doc_id int")
@@ -308,6 +353,34 @@ def test_toxicity_on_held_out_rows(spark):
     assert n[(1, 1)] >= 0.85 * (n[(1, 1)] + n.get((1, 0), 0)) and n.get((0, 1), 0) <= 0.01 * n[(0, 0)]
 
 
+def test_toxicity_scores_by_brute_force(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(d, labels, F.lit(True))
+    weights, exceptions, (b0, b1, b2) = model
+    assert weights
+    rows = d.join(labels, "doc_id").select("doc_id", "text", "toxic").collect()
+    texts = {(r.text, r.toxic) for r in rows if r.toxic is not None and r.text is not None}
+    own = {w: [0, 0] for w in weights}
+    total = [0, 0]
+    for text, toxic in texts:
+        words = toxicity.fold(text).split()
+        total[toxic] += 1
+        for w in own:
+            own[w][toxic] += any(x.startswith(w[:-1]) and len(x) > len(w) - 1 if w.endswith("*") else x == w for x in words)
+    for w, (good, bad) in own.items():
+        assert weights[w] == pytest.approx(math.log((bad + 0.5) / (total[1] + 1)) - math.log((good + 0.5) / (total[0] + 1)))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(d, model).collect()}
+    for r in d.collect():
+        words = toxicity.fold(r.text).split()
+        sums = 0.0
+        for i, x in enumerate(words):
+            quiet = " ".join(words[i : i + 2]) in exceptions or i and " ".join(words[i - 1 : i + 1]) in exceptions
+            hits = [v for w, v in weights.items() if (x.startswith(w[:-1]) if w.endswith("*") else x == w)]
+            sums += max(hits, default=0.0) if not quiet else 0.0
+        z = b0 + b1 * sums / (max(0, len(words) - 1) + 20) + b2 * math.log1p(sums)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
 def test_toxicity_cases(spark):
     rng = random.Random(1)
     text = lambda i: " ".join(rng.choice("abcdefgh") * 4 for _ in range(20)) + (" horrid" if i % 4 == 0 else "")

@@ -1,10 +1,12 @@
 import hashlib
+import math
 import re
 import textwrap
 from random import Random
 
 import pytest
 from conftest import DATA, same
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, licences, mixing, urls
@@ -163,6 +165,64 @@ def test_trees_learn_and_repeat(spark):
     assert len(rest) == 150 and sum(right) >= 145 and {k: r.block_score for k, r in a.items()} == {k: r.block_score for k, r in b.items()}
 
 
+def plain_parts(url):
+    """Host, path and rule of a url, by hand."""
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fit = [(len(r), v == "block", r, v) for v, r in urls.RULES if f".{host}".endswith("." + r.split("/")[0]) and path.startswith(r[r.index("/") :])]
+    return host, path, max(fit)[2:] if fit else (None, None)
+
+
+def plain_features(url, host, path, suffixes, share):
+    url = url or ""
+    n = max(1, len(url))
+    query = re.split("#", url.split("?", 1)[1], maxsplit=1)[0] if "?" in url else ""
+    entropy = -sum(url.count(c) / n * math.log2(url.count(c) / n) for c in set(url))
+    digits = sum(c in "0123456789" for c in url)
+    known = suffixes.get(host.split(".")[-1])
+    mine = ((known[1] + 10 * share) / (known[0] + 10), math.log1p(known[0])) if known else (share, 0.0)
+    first = [len(url), len(host), len(path), len([x for x in path.split("/") if x]), host.count(".") + 1, digits / n, entropy]
+    return [*first, query.count("&") + 1 if query else 0, url.count("-") + url.count("_"), float("#" in url), *mine]
+
+
+def test_filter_by_brute_force(spark, monkeypatch):
+    models = []
+
+    class Kept(urls.GBTClassifier):
+        def fit(self, data):
+            models.append(super().fit(data))
+            return models[-1]
+
+    monkeypatch.setattr(urls, "GBTClassifier", Kept)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    random = Random(3)
+    tails = ["?a=1&b=2#x", "#x?y", "", "/Deep/er-path_1", "?", "//"]
+    more = [(-i, random.choice(["http", "HTTPS"]) + "://" + random.choice(["A.example.org", "x.com", "y.net", "z.io", "org", ""]) + random.choice(["/es/", "/de/1", "/fr", "/en/12", ""]) + random.choice(tails)) for i in range(1, 200)]
+    pages = pages.unionByName(spark.createDataFrame([*more, (-1000, None), (-1001, "nothing"), (-1002, "a" * 50_000), more[0]], pages.schema))
+    got = {r.page_id: r for r in urls.judge_urls(pages).collect()}
+    rows = [(r.page_id, r.url, *plain_parts(r.url)) for r in pages.collect()]
+    suffixes, labelled = {}, [(host, verdict == "block") for _, _, host, _, (_, verdict) in rows if verdict]
+    for host, block in labelled:
+        n, bad = suffixes.get(host.split(".")[-1], (0, 0))
+        suffixes[host.split(".")[-1]] = (n + 1, bad + block)
+    share = sum(block for _, block in labelled) / len(labelled)
+    trees = models[0].trees
+    for page, url, host, path, (rule, verdict) in rows:
+        r = got[page]
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        if verdict:
+            assert r.verdict == verdict
+    rest = [x for x in rows if not x[4][0]]
+    assert len(rest) > 50
+    for page, url, host, path, _ in rest[:: max(1, len(rest) // 60)] + [x for x in rest if x[0] <= -1000]:
+        x = Vectors.dense(plain_features(url, host, path, suffixes, share))
+        margin = sum(w * t.predict(x) for w, t in zip(models[0].treeWeights, trees, strict=True))
+        assert got[page].block_score == pytest.approx(1 / (1 + math.exp(-2 * margin)))
+        assert got[page].verdict == ("block" if got[page].block_score > 0.5 else "allow")
+
+
 def test_urls_without_labels(spark):
     assert {r.verdict for r in judged(spark, [(1, "http://a.net/", 1, ""), (2, None, 1, "")]).values()} == {"allow"}
     assert judged(spark, []) == {}
