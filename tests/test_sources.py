@@ -1,11 +1,14 @@
 import base64
 import json
+import zipfile
 import zlib
 from urllib.error import HTTPError
+from xml.etree import ElementTree
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import archive, http, jsonl, payloads, settings
+from tidemark.sources import archive, http, jsonl, payloads, settings, workbook
 from tidemark.streaming import changes
 
 
@@ -61,6 +64,75 @@ def test_backoff_and_retry():
     assert http.fetch("http://x", fails, lambda s: None)[0] == 503 and len(tries) == http.RETRIES + 1
 
 
+def test_probe():
+    asked = []
+
+    class Answer:
+        def __init__(self, status):
+            self.status = status
+
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *_: None
+
+    def answers(**by_method):
+        def open_(request, timeout):
+            asked.append(request.method)
+            code = by_method[request.method]
+            if code is None:
+                raise OSError("no route")
+            if code >= 400:
+                raise HTTPError("http://x", code, "", None, None)
+            return Answer(code)
+
+        return open_
+
+    cases = [(dict(HEAD=200), True), (dict(HEAD=404), False), (dict(HEAD=204), False), (dict(HEAD=405, GET=200), True), (dict(HEAD=405, GET=405), False), (dict(HEAD=None), False)]
+    assert [http.exists("http://x", answers(**c)) for c, _ in cases] == [want for _, want in cases]
+    assert asked == ["HEAD"] * 3 + ["HEAD", "GET"] * 2 + ["HEAD"] and http.exists("nonsense") is False
+
+
+def test_probed_column(spark):
+    df = spark.createDataFrame([(1, "http://a"), (2, None), (3, "http://b"), (4, "http://a")], "i int, url string")
+    assert [r.exists for r in http.probed(df, probe=lambda u: u.endswith("a")).orderBy("i").collect()] == [True, False, False, True]
+    assert http.probed(df.limit(0), probe=lambda u: True).count() == 0
+
+
+def sheets(path):
+    space = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(path) as z:
+        assert z.testzip() is None and {"[Content_Types].xml", "_rels/.rels"} <= set(z.namelist())
+        names = [s.get("name") for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{space}sheet")]
+        read = lambda i: ElementTree.fromstring(z.read(f"xl/worksheets/sheet{i}.xml"))
+        return {n: [["".join(c.itertext()) for c in r] for r in read(i).iter(f"{space}row")] for i, n in enumerate(names, 1)}
+
+
+def test_workbook(spark, tmp_path):
+    rows = [(f"n<{i}>&", None if i == 2 else " sp\x01 é😀\n", i) for i in range(5)]
+    df = spark.createDataFrame(rows, "`a.b` string, y string, z int").orderBy(F.desc("z"))
+    workbook.write_xlsx(df, str(tmp_path / "a.xlsx"))
+    want = [[a, (y or "").replace("\x01", ""), str(z)] for a, y, z in reversed(rows)]
+    assert sheets(tmp_path / "a.xlsx") == {"links": [["a.b", "y", "z"], *want]}
+    workbook.write_xlsx(df, str(tmp_path / "b.xlsx"), sheet_rows=3)
+    head = [["a.b", "y", "z"]]
+    assert sheets(tmp_path / "b.xlsx") == {"links": head + want[:2], "links 2": head + want[2:4], "links 3": head + want[4:]}
+    workbook.write_xlsx(df.limit(0), str(tmp_path / "c.xlsx"))
+    assert sheets(tmp_path / "c.xlsx") == {"links": head}
+    with pytest.raises(ValueError, match="32767"):
+        workbook.write_xlsx(df.select(F.repeat(F.lit("x"), 32_768).alias("x")), str(tmp_path / "d.xlsx"))
+
+
+def test_settings_file(spark, tmp_path):
+    pytest.importorskip("yaml")
+    f = tmp_path / "settings.yaml"
+    f.write_text("crawlers:\n  s:\n    delay: 1\n    pages:\n      p: {delay: 2}\n", "utf-8")
+    assert [(r.source, r.page, dict(r.config)) for r in settings.registry(spark, settings.load(str(f))).collect()] == [("s", "p", {"delay": "2"})]
+    f.write_text("")
+    assert settings.load(str(f)) == {}
+    f.write_text("- 1\n")
+    with pytest.raises(ValueError, match="list"):
+        settings.load(str(f))
+
+
 def test_registry(spark):
     tree = {"crawlers": {"s": {"label": "S", "delay": 1, "pages": {"p": {"delay": 2}, "q": None}}}}
     got = {(r.source, r.page): dict(r.config) for r in settings.registry(spark, tree).collect()}

@@ -6,7 +6,11 @@ import random
 import time
 import urllib.error
 import urllib.request
+from collections.abc import Callable
 
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Statuses that are tried again, and the limits of waiting.
@@ -39,6 +43,34 @@ def fetch(url: str, open_=urllib.request.urlopen, sleep=time.sleep) -> tuple[int
     return None, None, "no attempt"
 
 
+def exists(url: str, open_=urllib.request.urlopen) -> bool:
+    """Whether a url answers 200: asked by HEAD, and by GET without reading the body where HEAD is not allowed (405)."""
+    for method in ("HEAD", "GET"):
+        try:
+            with open_(urllib.request.Request(url, method=method), timeout=TIMEOUT) as r:
+                return r.status == 200
+        except urllib.error.HTTPError as e:
+            if e.code != 405:
+                return False
+        except (OSError, ValueError):
+            return False
+    return False
+
+
+def probed(df: DataFrame, url: str = "url", name: str = "exists", probe: Callable[[str], bool] = exists, wait: float = 0.0) -> DataFrame:
+    """``df`` with a column that says whether each url exists; a null url does not.  A batch asks once for a url it holds often, each after ``wait`` seconds."""
+
+    @F.pandas_udf("boolean")
+    def asked(urls: pd.Series) -> pd.Series:
+        known: dict[str, bool] = {}
+        for u in urls.dropna().unique():
+            time.sleep(wait)
+            known[u] = probe(u)
+        return urls.map(lambda u: known.get(u, False)).astype(bool)
+
+    return df.withColumn(name, asked(F.col(url)))
+
+
 class _Slice(InputPartition):
     def __init__(self, urls: list[str]):
         self.urls = urls
