@@ -294,6 +294,8 @@ def test_decontamination_cases(spark):
     got = {(r.doc_id, r.item_id): round(r.similarity, 6) for r in decontaminate.contaminated(docs(spark, rows), b).collect()}
     assert {k for k, s in got.items() if s == 1} == {(1, 1), (1, 5), (6, 2), (8, 1), (8, 5), (None, 1), (None, 5)} and got[(2, 1)] == got[(2, 5)] == 0.9375 and not {3, 4, 5, 7} & {k[0] for k in got}
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), b).collect()) == [3, 4, 5, 7]
+    clean = [(None, "x " * 50), (1, "quite another text"), (None, None), (1, "")]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in decontaminate.drop_contaminated(docs(spark, [r for r in rows if r[0] in (None, 1)] + clean), b).collect()))) == sorted(map(str, clean))
     assert decontaminate.contaminated(docs(spark, []), b).count() == 0 and decontaminate.contaminated(docs(spark, rows), b.limit(0)).count() == 0
 
 
@@ -462,6 +464,55 @@ def test_pipeline_by_its_parts(spark):
     assert bad.count() == 0 and [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity"
 
 
+CLASHES = DOC.replace("node int, component_id int", "node int, component_id int, copy int, size int, toxic int, item_id int, target int, weight int, start int, n_words int")
+
+
+def clashing(spark, rows):
+    """Rows with a null in every column but those given, and columns that the operators use as names."""
+    return spark.createDataFrame([(i, t, None, s, None, *[1] * 10) for i, t, s in rows], CLASHES)
+
+
+def stage_folder(spark, tmp_path, rows):
+    base = [f"base{i}" for i in range(60)]
+    item = " ".join(f"item{i}" for i in range(20))
+    long = " ".join(f"{random.Random(4).random()}x{i}" for i in range(30_000))
+    given = [(1, " ".join(base), "a"), (1, " ".join(base), "a"), (2, " ".join([*base, "extra"]), "b"), (None, " ".join(base), "a"), (3, None, None)]
+    given += [(4, "", "a"), (5, None, "b"), (6, long, None), (None, "other short words here now", "b"), (7, f"before {item} after", "a")]
+    clashing(spark, given if rows else []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None, 0), (None, 1, 0), (2, 1, None), (99, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    import corpus_pipeline as p
+
+    folder = stage_folder(spark, tmp_path, True)
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    every = [1, 1, 2, 3, 4, 5, 6, 7, None, None]
+    ids = lambda df: sorted((r.doc_id for r in df.collect()), key=lambda i: (i is None, i))
+    assert all(stage(spark, given, folder).columns == list(p.COLUMNS) for _, stage in p.STAGES[:-1])
+    assert ids(p.toxicity(spark, given, folder)) == every
+    assert ids(p.similar(spark, given, folder)) == [1, 3, 4, 5, 6, 7, None]
+    assert ids(p.benchmark(spark, given, folder)) == [1, 1, 2, 3, 4, 5, 6, None, None]
+    cut = p.passages(spark, given, folder)
+    assert ids(cut) == every and {r.doc_id: r.text for r in cut.where("doc_id in (2, 3, 4)").collect()} == {2: "extra", 3: None, 4: ""}
+    assert len(cut.where("doc_id = 6").first().text.split()) == 30_000
+    mixed = p.mixing(spark, given, folder).collect()
+    assert {r.source for r in mixed} <= {"a", "b", None} and 30_000 in {r["size"] for r in mixed}
+    assert all(0 < r.copy <= 2 for r in mixed) and mixed
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rows = p.run(spark, stage_folder(spark, tmp_path / "some", True)).collect()
+    # 2 is like 1, and 7 holds an item; documents without words have size 0 and are taken as often as others of their source.
+    assert {r.doc_id for r in rows} <= {1, 3, 4, 5, 6, None} and {1, 6} <= {r.doc_id for r in rows}
+    none = p.run(spark, stage_folder(spark, tmp_path / "none", False))
+    assert none.columns == [*p.COLUMNS, "size", "source_size", "target", "copy"] and none.count() == 0
+
+
 def test_families_of_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     rng = random.Random(8)

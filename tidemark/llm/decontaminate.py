@@ -231,9 +231,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    bad = contaminated(docs, benchmark, threshold).select(F.col("doc_id").alias("_dc_id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_dc_id")), "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item.  Rows are known by 64 bits of their text's hash, not by their
+    ids, so that a clean row stays whatever other rows share its id or have none."""
+    text = F.xxhash64("text")
+    bad = contaminated(docs.select(text.alias("doc_id"), "text"), benchmark, threshold).select(F.col("doc_id").alias("_dc_of")).distinct()
+    return docs.join(bad, text == F.col("_dc_of"), "left_anti")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
