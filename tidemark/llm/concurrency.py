@@ -90,10 +90,9 @@ def nation_of_sales(sales: DataFrame, clients: DataFrame) -> DataFrame:
     hot = hot.join(nations, "client_id", "left").select(F.col("client_id").alias("_hot"), F.col("nation_id").alias("_hot_nation"))
     marked = sales.join(F.broadcast(hot), F.col("client_id") == F.col("_hot"), "left")
     apart = F.col("_hot").isNotNull() | F.col("client_id").isNull()
-    marked = marked.withColumns({"_client": F.when(~apart, F.col("client_id")), "_spread": F.when(apart, F.pmod(F.xxhash64("sale_id"), F.lit(1 << 20))).otherwise(F.lit(0).cast("long"))})
-    found = nations.select(F.col("client_id").alias("_client"), "nation_id", F.lit(0).cast("long").alias("_spread"))
-    joined = marked.join(found, ["_client", "_spread"], "left")
-    return joined.withColumn("nation_id", F.coalesce("_hot_nation", "nation_id", F.lit(NO_NATION)).cast("int")).drop("_client", "_spread", "_hot", "_hot_nation")
+    key = F.when(apart, F.concat(F.lit("#"), F.pmod(F.xxhash64("sale_id"), F.lit(1 << 20)))).otherwise(F.col("client_id").cast("string"))
+    joined = marked.withColumn("_client", key).join(nations.select(F.col("client_id").cast("string").alias("_client"), "nation_id"), "_client", "left")
+    return joined.withColumn("nation_id", F.coalesce("_hot_nation", "nation_id", F.lit(NO_NATION)).cast("int")).drop("_client", "_hot", "_hot_nation")
 
 
 def op11_peak_concurrency(spark: SparkSession, sf_dir: str) -> DataFrame:
