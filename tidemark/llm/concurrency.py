@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
+from .graphs import cut
+
 #: Seconds of a bucket: intervals of some weeks have a few copies, and a bucket holds at most 10,080 minutes.
 WIDTH = 7 * 86_400
 #: A key with this share of all rows or more is joined by broadcast; there are 1 / SHARE such keys at most.
@@ -43,7 +45,8 @@ def concurrency(intervals: DataFrame, key: str, until: int | None = None, width:
     later = F.when(last > first, F.sequence(first + 1, last)).otherwise(F.array().cast("array<bigint>"))
     borders = F.transform(later, lambda b: copy(b, b * width, zero, zero, one, value))
     copies = rows.select(key, F.inline(F.concat(starts, ends, borders)))
-    moments = copies.groupBy(key, "bucket", "at").agg(*[F.sum(c).alias(c) for c in ("n", "value", "held", "held_value")])
+    # Written once: the sweep and the seams both read it, and what led to it is not run again for either, nor after a loss.
+    moments = cut(copies.groupBy(key, "bucket", "at").agg(*[F.sum(c).alias(c) for c in ("n", "value", "held", "held_value")]))
 
     sweep = Window.partitionBy(key, "bucket").orderBy("at")
     upto = sweep.rowsBetween(Window.unboundedPreceding, Window.currentRow)
