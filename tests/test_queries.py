@@ -2,10 +2,10 @@ import pytest
 
 import __spark_entry__
 from conftest import DATA, same
-from tidemark.plans import catalogue, links, tables
+from tidemark.plans import catalogue, lines, links, tables
 
-QUERIES = links.QUERIES | tables.QUERIES | catalogue.QUERIES
-ORACLES = links.ORACLES | tables.ORACLES | catalogue.ORACLES
+QUERIES = links.QUERIES | tables.QUERIES | catalogue.QUERIES | lines.QUERIES
+ORACLES = links.ORACLES | tables.ORACLES | catalogue.ORACLES | lines.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

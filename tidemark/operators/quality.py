@@ -47,22 +47,16 @@ def type_outliers(df: DataFrame, keys: list[str], kind: str, position: str) -> D
 
 
 def exclusive_p95(df: DataFrame, column: str) -> DataFrame:
-    """The 95th percentile at rank 0.95 (n + 1), null below 20 rows.
+    """The 95th percentile at rank 0.95 (n + 1), null below 20 rows: exact, by ``numbering.at_ranks``, whose jobs run when this is called."""
+    from .numbering import at_ranks
 
-    An approximate percentile on either side leaves about a thousandth of the rows, whose values alone are counted and summed up in order."""
-    c = F.col(column)
-    rows = df.where(c.isNotNull()).select(column)
-    n = rows.count()
-    if n < 20:
-        return rows.limit(0).agg(F.max(c).cast("double").alias("p95"))
-    place = 0.95 * (n + 1)
-    k = int(place)
-    low, high = rows.agg(F.percentile_approx(c, F.lit(max(0.0, (k - 1) / n - 0.001)), 10_000), F.percentile_approx(c, F.lit(min(1.0, (k + 2) / n + 0.001)), 10_000)).first()
-    below = rows.where(c < F.lit(low)).count()
-    counts = rows.where(c.between(F.lit(low), F.lit(high))).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    ranks = counts.withColumn("upto", F.lit(below) + F.sum("n").over(Window.orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    at = lambda rank: F.min(F.when(F.col("upto") >= rank, c))
-    return ranks.agg((at(k) + (place - k) * (at(min(k + 1, n)) - at(k))).cast("double").alias("p95"))
+    n = df.where(F.col(column).isNotNull()).count()
+    found = None
+    if n >= 20:
+        place = 0.95 * (n + 1)
+        low, high = at_ranks(df, column, [int(place), min(int(place) + 1, n)])
+        found = float(low) + (place - int(place)) * (float(high) - float(low))
+    return df.sparkSession.createDataFrame([(found,)], "p95 double")
 
 
 def _field(column: str, blank: bool, format_: Column | None, null_kind: str | None = "null") -> Column:
@@ -91,6 +85,53 @@ def issues(df: DataFrame, position: str) -> DataFrame:
     return rows.select(position, "source", "i.field", "i.kind", severity.alias("severity"))
 
 
+def line_issues(lines: DataFrame) -> DataFrame:
+    """(file, line_no, source, field, kind, found) of lines (file, line_no, rec, error) as ``jsonl.scan`` gives them.
+
+    A line that holds no object is a parse_error and nothing else.  Of each required field one thing at most is wrong: it is missing, null,
+    of another type or blank (``found`` is the type), or has a bad format (``found`` is the value).  A publish date may be null."""
+    from ..functions.documents import is_object, value_type
+    from ..functions.text import clean_text, truncate
+
+    at = lambda path: F.try_variant_get("rec", path, "variant")
+    text = lambda v: F.when(value_type(v) == "str", F.try_variant_get(v, "$", "string"))
+    wrong = lambda field, kind, found: F.struct(F.lit(field).alias("field"), F.lit(kind).alias("kind"), found.alias("found"))
+    nothing = F.lit(None).cast("string")
+
+    def judged(field: str, path: str, format_: Column | None, kind: str) -> Column:
+        v = at(path)
+        out = F.when(v.isNull(), wrong(field, "missing_required_field", nothing)).when(F.is_variant_null(v), wrong(field, "null_required_field", nothing))
+        out = out.when(text(v).isNull() | (clean_text(text(v)) == ""), wrong(field, "invalid_required_type_or_empty", value_type(v)))
+        return out.when(~F.coalesce(format_, F.lit(False)), wrong(field, kind, truncate(text(v), 80))) if format_ is not None else out
+
+    meta, day = at("$.meta"), at("$.publish_date")
+    whole = F.when(meta.isNull(), wrong("meta", "missing_required_field", nothing)).when(F.is_variant_null(meta), wrong("meta", "null_required_field", nothing))
+    whole = whole.when(~is_object(meta), wrong("meta", "invalid_required_type_or_empty", value_type(meta)))
+    dated = F.when(day.isNull(), wrong("publish_date", "missing_required_field", nothing)).when(
+        ~F.is_variant_null(day) & ~F.coalesce(is_date(text(day)), F.lit(False)), wrong("publish_date", "invalid_publish_date_format", truncate(F.coalesce(text(day), F.to_json(day)), 80))
+    )
+    checks = [
+        judged("url", "$.url", is_absolute(text(at("$.url"))), "invalid_url_format"),
+        judged("name", "$.name", None, ""),
+        judged("discovered_at_utc", "$.discovered_at_utc", is_timestamp(text(at("$.discovered_at_utc"))), "invalid_datetime_format"),
+        dated,
+        judged("source", "$.source", None, ""),
+        F.coalesce(whole, F.when(is_object(meta), judged("meta.discovered_from", "$.meta.discovered_from", is_absolute(text(at("$.meta.discovered_from"))), "invalid_url_format"))),
+    ]
+    broken = F.array(wrong("record", "parse_error", F.col("error")))
+    found = F.when(F.col("error").isNotNull(), broken).otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull()))
+    said = clean_text(text(at("$.source")))
+    source = F.when(F.col("error").isNotNull(), "(parse_error)").when(said != "", said).otherwise("(missing)")
+    return lines.select("file", "line_no", source.alias("source"), F.inline(found))
+
+
+def field_states(issues: DataFrame) -> DataFrame:
+    """Per source and required field how often it is missing, null and invalid; an issue of meta counts for what it should hold."""
+    field = F.when(F.col("field") == "meta", "meta.discovered_from").otherwise(F.col("field"))
+    counts = [F.count_if(F.startswith("kind", F.lit(k))).alias(k) for k in ("missing", "null", "invalid")]
+    return issues.where("kind <> 'parse_error'").groupBy("source", field.alias("field")).agg(*counts)
+
+
 def meta_entries(rows: DataFrame, meta: str, keys: list[str]) -> DataFrame:
     """(keys, key, value text, kind): each member of a JSON object, whatever its name; lists and objects as JSON text."""
     from ..functions.documents import is_object, parsed, value_type

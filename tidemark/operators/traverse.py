@@ -5,18 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """The table, computed once and written to the folder in spark.checkpoint.dir; a temporary one only where that is unset."""
-    import tempfile
-
-    spark, context = df.sparkSession, df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+from .numbering import cut, numbered
 
 
 def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int, max_nodes: int | None = None, out_cap: int | None = None) -> DataFrame:
@@ -42,6 +31,35 @@ def bfs(edges: DataFrame, seeds: DataFrame, max_depth: int, max_nodes: int | Non
     return seen
 
 
+def discovered(edges: DataFrame, seeds: DataFrame, max_depth: int, max_nodes: int | None = None, out_cap: int | None = None, scope: DataFrame | None = None) -> DataFrame:
+    """edges (src, dst, pos), seeds (node, pos): (node, depth, ordinal, via) in the order in which a queue discovers nodes.
+
+    A queue takes a node's links by ``pos`` and nodes as they were found, so a node's place is that of the smallest (place of the page,
+    pos of the link) that leads to it.  Each level is a join, an aggregate, an anti-join with what is known and a numbering by ranges.
+    ``out_cap`` follows the first links of a node only, ``max_nodes`` ends with so many nodes, ``scope`` (node) bounds what is entered.
+    Of links with one pos the smaller target is first; levels are written, and a job runs for each when called."""
+    if out_cap is not None:
+        first = Window.partitionBy("src").orderBy("pos", "dst")
+        edges = edges.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= out_cap).drop("_n")
+    if scope is not None:
+        edges = edges.join(scope.select(F.col("node").alias("dst")).distinct(), "dst", "left_semi")
+    kind, place = edges.schema["src"].dataType, edges.schema["pos"].dataType
+    new = seeds.groupBy(F.col("node").cast(kind).alias("node")).agg(F.min(F.col("pos").cast(place)).alias("pos")).withColumns({"above": F.lit(0).cast("long"), "via": F.lit(None).cast(kind)})
+    known, total = None, 0
+    for depth in range(max_depth + 1):
+        level, n = numbered(new, ["above", "pos", "node"], "ordinal", total)
+        if max_nodes is not None:
+            level = level.where(F.col("ordinal") < max_nodes)
+        level = level.select("node", F.lit(depth).alias("depth"), "ordinal", "via")
+        known, total = level if known is None else cut(known.union(level)), total + n
+        if not n or max_nodes is not None and total >= max_nodes:
+            break
+        step = level.select(F.col("node").alias("src"), F.col("ordinal").alias("above")).join(edges, "src")
+        best = step.groupBy(F.col("dst").alias("node")).agg(F.min(F.struct("above", "pos", F.col("src").alias("via"))).alias("b"))
+        new = best.join(known.select("node"), "node", "left_anti").select("node", "b.pos", "b.above", "b.via")
+    return known
+
+
 def until_misses(probes: DataFrame, keys: list[str], order: str, hit: str, misses: int) -> DataFrame:
     """Probes up to the first run of so many misses in a row: gaps and islands, without a loop."""
     along = Window.partitionBy(*keys).orderBy(order)

@@ -2,23 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.documents import is_object, parsed
+from ..functions.text import clean_text
+from ..operators.combine import small
+from ..operators.numbering import cut
 
 ENVELOPE = ("url", "name", "discovered_at_utc", "publish_date", "source", "source_id")
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, raw, rec, error): all lines that are not blank, rec as VARIANT.
+def numbered_lines(spark: SparkSession, path: str, split_bytes: int | None = None, across: bool = False) -> DataFrame:
+    """(file, line_no, raw): all lines with their numbers, from 1 in each file, or through all files in the order of their paths (``across``).
 
-    Line numbers count from 1 within a file; files are read whole per task for that (``wholetext``), so a file should be of
-    a size that a task can hold; ``records`` needs no numbers and splits files."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "raw"))
-    rows = files.where(F.trim("raw") != "").withColumn("rec", parsed(F.col("raw")))
+    Files are read by splits.  A first pass counts the lines of each split, the counts are summed up along a file, and the second pass adds
+    a line's place in its split.  So that both passes meet the same splits, they depend on the files and the split size alone, not on how
+    many executors there are: the scan has a session of its own, in which that is set.  Counts are written once, one row for each split."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    if split_bytes:
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    rows = own.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("raw"))
+    splits = cut(rows.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")))
+    before = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1
+    found = splits.select("file", "_split", shift.alias("_shift"))
+    if across:  # one row for each file, which the driver lists anyway
+        files = splits.groupBy("file").agg(F.sum("_n").alias("_n"))
+        files = files.select("file", F.coalesce(F.sum("_n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+        found = found.join(files, "file").select("file", "_split", (F.col("_shift") + F.col("_before")).alias("_shift"))
+    return rows.join(small(found), ["file", "_split"]).select("file", (F.col("_id") + F.col("_shift")).alias("line_no"), "raw")
+
+
+def scan(spark: SparkSession, path: str, split_bytes: int | None = None, across: bool = False) -> DataFrame:
+    """(file, line_no, raw, rec, error): all lines that are not blank, rec as VARIANT; numbers as ``numbered_lines`` gives them."""
+    rows = numbered_lines(spark, path, split_bytes, across).where(clean_text(F.col("raw")) != "").withColumn("rec", parsed(F.col("raw")))
     bad = F.when(F.col("rec").isNull(), "no JSON").when(~is_object(F.col("rec")), "no object")
-    return rows.select("file", (F.col("line_no") + 1).cast("long").alias("line_no"), "raw", "rec", bad.alias("error"))
+    return rows.select("file", "line_no", "raw", "rec", bad.alias("error"))
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
