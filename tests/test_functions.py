@@ -82,3 +82,27 @@ def test_dates_near_links(spark):
     assert near("/y.pdf", "issued in July 2019") == "2019-07-01" and near("/y.pdf", "") == "2021-06-01" and near("/none", "") is None
     assert row("/x_2020.pdf") == "2020-05-01" and row("/y.pdf") == "2021-06-01" and row("/none") is None
     assert values(spark, ["2020-05-01"], lambda c: dates.preferred_by_precision(c, F.lit("2020-05-17"))) == ["2020-05-17"]
+
+
+def test_enquiries_by_whole_names(spark):
+    from tidemark.functions.filters import is_enquiry
+
+    rows = [("General Enquiry", None, None), ("Director-General of Trade", "Director", None), ("Chan Tai Man, General Manager", None, "/p/1"), (" enquiries ", None, None), ("Chan", " - ", None), ("Lee", "Clerk", "/service_details.jsp"), (None, None, None), ("Reception", None, None)]
+    df = spark.createDataFrame(rows, "n string, p string, h string")
+    assert [r[0] for r in df.select(is_enquiry(F.col("n"), F.col("p"), F.col("h"))).collect()] == [True, False, False, True, True, True, False, False]
+
+
+def test_terms(spark):
+    from tidemark.functions.dates import term_of_year
+
+    df = spark.createDataFrame([(1998,), (2019,), (2022,), (2025,), (2026,), (2034,)], "y int")
+    assert [r[0] for r in df.select(term_of_year(F.col("y"))).collect()] == ["07", "07", "07", "07", "08", "10"]
+
+
+def test_texts_of_nested_fields(spark):
+    from tidemark.functions import nested
+
+    rows = [('[["a","b"],"c",{"value":["d"]}]',), ('{"en":"E","tc":"T"}',), ('[{"en":"E","tc":"T"},{"tc":"U"},[[{"en":" "}],7]]',), ('"x"',), ("null",), ("{}",)]
+    df = spark.createDataFrame(rows, "j string").withColumn("v", F.parse_json("j"))
+    got = df.select(nested.joined_text(F.col("v")), nested.localized_text(F.col("v"), "tc"), nested.localized_text(F.col("v"), "en")).collect()
+    assert [tuple(r) for r in got] == [("a ; b ; c ; d", "a ; b ; c", "a ; b ; c"), ("E", "T", "E"), ("E ; 7", "T ; U ; 7", "E ; 7"), ("x", "x", "x"), ("", "", ""), ("", "", "")]

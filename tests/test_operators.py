@@ -1,3 +1,4 @@
+import time
 from functools import reduce
 
 import pytest
@@ -153,3 +154,88 @@ def test_json_walk(spark):
     df = spark.createDataFrame([('{"a": [{"cat_id": 1}, {"b": {"cat_id": "x"}}], "cat_id": 2}',), ("broken{",), (None,)], "j string")
     found = df.lateralJoin(JsonWalk(F.col("j").outer())).where("key = 'cat_id'")
     assert rows(found.select("path", "value")) == [("$", "2"), ("$.a[0]", "1"), ("$.a[1].b", '"x"')]
+
+
+NESTED = """<table><tr><th>Name</th><th>Call</th></tr><tr><td>a<table><tr><td>in <a href="/x">x</a></td></tr></table>b<td><table><tr><td rowspan="1300">deep<table><tr><td>er</table></table>
+</td></tr></table><table><tr><td>next</td></tr></table>"""
+
+
+def test_nested_tables(spark):
+    df = spark.createDataFrame([(1, NESTED), (2, None), (3, "<table><tr><td>x")], "page_id int, html string")
+    got = [(r.page_id, r.table_no, r.parent, r.row, r.col, r.text, r.href) for r in extract.html_tables(df).collect()]
+    assert got == [
+        (1, 0, None, 0, 0, "Name", None), (1, 0, None, 0, 1, "Call", None), (1, 0, None, 1, 0, "a b", None), (1, 0, None, 1, 1, "", None), (1, 1, 0, 0, 0, "in x", "/x"),
+        (1, 2, 0, 0, 0, "deep", None), (1, 3, 2, 0, 0, "er", None), (1, 4, None, 0, 0, "next", None), (3, 0, None, 0, 0, "x", None),
+    ]
+    sql = df.lateralJoin(extract.HtmlTables(F.col("html").outer())).where("table_no is not null")
+    assert rows(sql.drop("html")) == rows(extract.html_tables(df))
+
+
+def test_long_row_spans(spark):
+    html = "<table><tr><td rowspan=1201>s</td><td>0</td></tr>" + "".join(f"<tr><td>{i}</td></tr>" for i in range(1, 1201)) + "</table>"
+    cells = extract.html_tables(spark.createDataFrame([(html,)], "html string"))
+    assert cells.where("col = 0 and text = 's'").count() == 1201 and cells.where("col = 1").count() == 1201
+
+
+def test_records_of_wide_and_narrow_tables(spark):
+    html = """<table><tr><th>No.</th><th>Subject:</th><th>File</th></tr><tr><td>1</td><td>A</td><td><a href="/a">pdf</a></td></tr><tr><td>2</td><td>B</td><td></td></tr></table>
+    <table><tr><th>No.</th><td>1</td></tr><tr><th>Subject</th><td>A</td></tr><tr><th>File</th><td><a href="/a">pdf</a></td></tr><tr><th>No.</th><td>2</td></tr><tr><th>Subject</th><td>B</td></tr><tr><th>No.</th><td>3</td></tr></table>"""
+    df = spark.createDataFrame([(7, html)], "page int, html string")
+    got = extract.one_of_each(extract.table_records(extract.html_tables(df), ["page"]), ["page"]).collect()
+    assert sorted((sorted(r.fields.items()), r.href, r.tables) for r in got) == [([("file", "pdf"), ("no", "1"), ("subject", "A")], "/a", 2), ([("no", "2"), ("subject", "B")], None, 2), ([("no", "3")], None, 1)]
+
+
+def test_tree_paths_in_one_pass(spark):
+    items = [(1, 1, 1, "a"), (1, 2, 2, "b"), (1, 3, 4, "d"), (1, 4, 3, None), (1, 5, 4, "e"), (1, 6, 1, "f"), (1, 7, 3, "g"), (2, 1, 2, "h"), (2, 2, 0, "z"), (2, 3, None, "z"), (None, 1, 1, "n")]
+    got = extract.tree_paths(spark.createDataFrame(items, "page int, pos int, depth int, text string"), ["page"])
+    assert {(r.page, r.pos): r.path for r in got.collect()} == {
+        (1, 1): ["a"], (1, 2): ["a", "b"], (1, 3): ["a", "b", "d"], (1, 4): ["a", "b"], (1, 5): ["a", "b", "e"], (1, 6): ["f"], (1, 7): ["f", "g"], (2, 1): ["h"], (2, 2): [], (2, 3): [], (None, 1): ["n"],
+    }
+    large = spark.range(100_000).selectExpr("1 page", "id pos", "cast(1 + id % 9 as int) depth", "cast(id as string) text")
+    began = time.time()
+    assert extract.tree_paths(large, ["page"]).agg(F.sum(F.size("path"))).first()[0] == sum(1 + i % 9 for i in range(100_000))
+    assert time.time() - began < 30
+
+
+def test_month_in_one_grouping(spark):
+    from tidemark.operators.snapshots import KEY, common_base, reconstruct, regrouped
+
+    month = [spark.createDataFrame([("s", f"u{k}", (k * 3 + d) // 40) for k in range(60) if (k + d) % 17], ROW) for d in range(31)]
+    base, *rest = month
+    plus = reduce(DataFrame.unionByName, [snapshots.added(base, x).withColumn("day", F.lit(i + 1)) for i, x in enumerate(rest)])
+    minus = reduce(DataFrame.unionByName, [snapshots.removed(base, x).withColumn("day", F.lit(i + 1)) for i, x in enumerate(rest)])
+    plus, minus = (spark.createDataFrame(x.collect(), x.schema) for x in (plus, minus))
+    found = regrouped(list(range(31)), plus, base, minus)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(source") == 1
+    found = found.collect()
+    again = spark.createDataFrame(found, "kind string, day int, source string, url string, v int").cache()
+    new = again.where("kind = 'base'").select(*KEY, "v")
+    assert rows(new) == rows(common_base(month))
+    for i in (0, 1, 15, 30):
+        assert rows(reconstruct(new, again.where(f"kind = 'added' and day = {i}").select(*KEY, "v"), new.limit(0)).select(*KEY, "v")) == rows(month[i])
+
+
+def test_archive_goes_on_after_a_rebase(spark, tmp_path, days, monkeypatch):
+    from tidemark.operators import rotate
+
+    root, want = str(tmp_path / "archive"), {}
+    for d, df in ((1, days[0]), (2, days[1]), (16, days[2]), (17, days[0]), (18, days[1])):
+        want[d] = rows(df)
+        rotate.archive(spark, root, f"2024-03-{d:02}", df, refresh_day=16)
+    died = rotate._note
+    monkeypatch.setattr(rotate, "_note", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        rotate.rebase(spark, root, "2024-03-18")
+    for d, x in want.items():
+        assert rows(rotate.as_of(spark, root, f"2024-03-{d:02}").select("source", "url", "v")) == x
+    monkeypatch.setattr(rotate, "_note", died)
+    rotate.rebase(spark, root, "2024-03-18")
+    for d, x in want.items():
+        assert rows(rotate.as_of(spark, root, f"2024-03-{d:02}").select("source", "url", "v")) == x
+
+
+def test_items_in_scripts(spark):
+    html = r"""<style>p{margin:0}</style><script>var items = [{url:"/a", title:"x {1}"}, {"title": "it's, url: 'no'", "url": '/b'}, {title: 'q\'s', n: 3, url: "/c"}, {title: "none"}];</script>"""
+    got = spark.createDataFrame([(html,)], "html string").select(F.explode(extract.script_items(F.col("html"))).alias("x")).select("x.*")
+    assert [tuple(r) for r in got.collect()] == [("x {1}", "/a"), ("it's, url: 'no'", "/b"), ("q's", "/c")]

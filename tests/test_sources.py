@@ -1,5 +1,9 @@
 import base64
+import collections
+import http.server
 import json
+import threading
+import urllib.request
 import zipfile
 import zlib
 from urllib.error import HTTPError
@@ -8,7 +12,8 @@ from xml.etree import ElementTree
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import archive, http, jsonl, payloads, settings, workbook
+from tidemark.sources import archive, jsonl, paged, payloads, settings, workbook
+from tidemark.sources import http as http_source
 from tidemark.streaming import changes
 
 
@@ -54,14 +59,14 @@ def test_inflated_blob(spark):
 
 
 def test_backoff_and_retry():
-    assert [http.backoff(i, jitter=0) for i in (0, 1, 10)] == [0.5, 1.0, 30.0] and http.backoff(0, "7") == 7.0
+    assert [http_source.backoff(i, jitter=0) for i in (0, 1, 10)] == [0.5, 1.0, 30.0] and http_source.backoff(0, "7") == 7.0
     tries = []
 
     def fails(url, timeout):
         tries.append(url)
         raise HTTPError(url, 503, "busy", None, None)
 
-    assert http.fetch("http://x", fails, lambda s: None)[0] == 503 and len(tries) == http.RETRIES + 1
+    assert http_source.fetch("http://x", fails, lambda s: None)[0] == 503 and len(tries) == http_source.RETRIES + 1
 
 
 def test_probe():
@@ -87,14 +92,14 @@ def test_probe():
         return open_
 
     cases = [(dict(HEAD=200), True), (dict(HEAD=404), False), (dict(HEAD=204), False), (dict(HEAD=405, GET=200), True), (dict(HEAD=405, GET=405), False), (dict(HEAD=None), False)]
-    assert [http.exists("http://x", answers(**c)) for c, _ in cases] == [want for _, want in cases]
-    assert asked == ["HEAD"] * 3 + ["HEAD", "GET"] * 2 + ["HEAD"] and http.exists("nonsense") is False
+    assert [http_source.exists("http://x", answers(**c)) for c, _ in cases] == [want for _, want in cases]
+    assert asked == ["HEAD"] * 3 + ["HEAD", "GET"] * 2 + ["HEAD"] and http_source.exists("nonsense") is False
 
 
 def test_probed_column(spark):
     df = spark.createDataFrame([(1, "http://a"), (2, None), (3, "http://b"), (4, "http://a")], "i int, url string")
-    assert [r.exists for r in http.probed(df, probe=lambda u: u.endswith("a")).orderBy("i").collect()] == [True, False, False, True]
-    assert http.probed(df.limit(0), probe=lambda u: True).count() == 0
+    assert [r.exists for r in http_source.probed(df, probe=lambda u: u.endswith("a")).orderBy("i").collect()] == [True, False, False, True]
+    assert http_source.probed(df.limit(0), probe=lambda u: True).count() == 0
 
 
 def sheets(path):
@@ -146,3 +151,86 @@ def test_change_feed(spark, tmp_path):
     df.write.parquet(folder)
     changes.apply_to(changes.feed(spark, folder), table, str(tmp_path / "c")).awaitTermination()
     assert [(r.url, r.payload) for r in spark.read.parquet(f"{table}/v0").collect()] == [("a", "1")]
+
+
+def plain_loop(fetch, key, expected=None):
+    out, seen, page = [], set(), 1
+    while True:
+        new = 0
+        for pos, item in enumerate(fetch(page)):
+            if item.get(key) is not None and item[key] not in seen:
+                seen.add(item[key])
+                out.append((page, pos, item[key], item.get("name")))
+                new += 1
+        if not new or expected is not None and len(seen) >= expected:
+            return out
+        page += 1
+
+
+def listing(pages, repeat_from=None, hole=None):
+    def fetch(page):
+        if page == hole or repeat_from is None and page > pages:
+            return []
+        at = min(page, repeat_from) if repeat_from else page
+        return [{"id": None if at == 3 and i == 2 else (at * 5 + i) // 2, "name": f"n{at}-{i}"} for i in range(5)]
+
+    return fetch
+
+
+@pytest.mark.parametrize("fetch, expected", [(listing(70), None), (listing(0), None), (listing(500, repeat_from=41), None), (listing(90, hole=20), None), (listing(90), 77), (listing(4), 10_000)])
+def test_paged(spark, fetch, expected):
+    got = paged.paged(spark, fetch, "id long, name string", "id", expected=expected, tasks=3)
+    assert sorted(map(tuple, got.collect())) == plain_loop(fetch, "id", expected)
+
+
+def test_paged_server_asks_for_each_page_once(spark):
+    asked = collections.Counter()
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            page = int(self.path.rsplit("=", 1)[1])
+            asked[page] += 1
+            body = b"\xef\xbb\xbf" + json.dumps([{"id": page * 10 + i, "name": "é"} for i in range(10)] if page <= 37 else []).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    port = server.server_address[1]
+
+    def fetch(page):
+        return json.loads(urllib.request.urlopen(f"http://127.0.0.1:{port}/?page={page}").read().decode("utf-8-sig"))
+
+    try:
+        got = paged.paged(spark, fetch, "id long, name string", "id")
+        assert sorted(r.id for r in got.collect()) == list(range(10, 380)) and got.count() == 370
+        assert set(asked) == set(range(1, 49)) and set(asked.values()) == {1}
+    finally:
+        server.shutdown()
+
+
+def test_lists_and_html_in_scripts(spark):
+    page = r"""<script>var list = [{"t": "a]; b"}, ["x"]]; var html = "<a href=\"/x\">y\n\\n</a>"; var one = 'it\'s "it"';</script>"""
+    df = spark.createDataFrame([(page,), ("var list = [1, ; var html = 5",), (None,)], "html string")
+    got = df.select(F.to_json(payloads.script_list(F.col("html"), "list")), payloads.script_html(F.col("html"), "html"), payloads.script_html(F.col("html"), "one")).collect()
+    assert tuple(got[0]) == ('[{"t":"a]; b"},["x"]]', '<a href="/x">y\n\\n</a>', 'it\'s "it"') and tuple(got[1]) == (None, "", "")
+    long = "var list = [" + ",".join('"a\\"b"' for _ in range(50_000)) + "];"
+    assert spark.createDataFrame([(long,)], "html string").select(F.size(F.try_variant_get(payloads.script_list(F.col("html"), "list"), "$", "array<string>"))).first()[0] == 50_000
+
+
+def test_declared_charsets(spark):
+    rows = [("é漢".encode(), None), ("漢字".encode("big5"), "big5"), ("é".encode("latin-1"), None), (b"\x81", "no-such"), (None, "utf-8")]
+    df = spark.createDataFrame(rows, "body binary, declared string")
+    assert [r[0] for r in df.select(payloads.decoded(F.col("body"), F.col("declared"))).collect()] == ["é漢", "漢字", "é", "�", None]
+
+
+def test_manifest(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes(b"{}\n")
+    listing = archive.files(spark, str(tmp_path))
+    rows = listing.select("path", F.lit(1).alias("rows")).limit(1)
+    assert [(r.rows, r.bytes, len(r.sha256)) for r in archive.manifest(listing, rows).collect()] == [(1, 3, 64)]

@@ -178,8 +178,8 @@ def name_or_url_date(name: Column, url: Column) -> Column:
 
 
 def term_of_year(year: Column, first_year: int = 2022, first_term: int = 7, length: int = 4) -> Column:
-    """Two digits: the term, ``length`` years each, that a year is in."""
-    return F.lpad((F.floor((year - first_year) / length) + first_term).cast("string"), 2, "0")
+    """Two digits: the term, ``length`` years each, that a year is in; years before the first term count for it."""
+    return F.lpad((F.floor(F.greatest(year - first_year, F.lit(0)) / length) + first_term).cast("string"), 2, "0")
 
 
 def days_back(end: Column, days: Column) -> Column:

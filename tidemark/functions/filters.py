@@ -13,7 +13,7 @@ GENERIC = ("here", "click here", "more", "read more", "details", "download", "ho
 PAGES = ("", ".htm", ".html", ".asp", ".aspx", ".php", ".jsp")
 DOCUMENTS = (".pdf", ".doc", ".docx", ".xls", ".xlsx", ".ppt", ".pptx", ".zip")
 SHEETS = (".xls", ".xlsx", ".csv", ".doc", ".docx")
-ENQUIRY = ("enquiry", "enquiries", "hotline", "general", "reception")
+ENQUIRY, ENQUIRY_POSTS = ("enquiry", "general enquiry", "general inquiry", "enquiries"), ("-", "enquiry", "general enquiry")
 
 
 def link_contains(text: Column, href: Column, in_text: str | None = None, in_href: str | None = None) -> Column:
@@ -87,8 +87,13 @@ def is_person(name: Column, phone: Column) -> Column:
     return (low != "") & ~low.rlike(r"^\(?vacant\)?$") & F.coalesce(phone != "", F.lit(False))
 
 
-def is_enquiry(name: Column) -> Column:
-    return F.coalesce(F.lower(name).rlike(r"\b(" + "|".join(ENQUIRY) + r")\b"), F.lit(False))
+def is_enquiry(name: Column, post: Column | None = None, href: Column | None = None) -> Column:
+    """A line for enquiries, not a person: by the whole name, by the whole post, or because its link leads to a service."""
+    whole = lambda text, values: F.coalesce(F.lower(clean_text(text)).isin(*values), F.lit(False))
+    found = whole(name, ENQUIRY)
+    if post is not None:
+        found = found | whole(post, ENQUIRY_POSTS)
+    return found | F.coalesce(F.contains(F.lower(href), F.lit("service")), F.lit(False)) if href is not None else found
 
 
 def is_crawlable(url: Column, host: str, helpers: tuple[str, ...] = ()) -> Column:

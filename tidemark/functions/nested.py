@@ -17,21 +17,41 @@ def as_list(variant: Column) -> Column:
     return F.filter(F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
 
 
-def texts_of(variant: Column, key: str = "value") -> Column:
-    """Texts of a string, an object's member, or a list of either."""
-    objects = F.try_variant_get(variant, "$", "array<variant>")
-    one = lambda v: F.coalesce(F.when(is_object(v), F.try_variant_get(v, f"$.{key}", "string")), F.when(value_type(v) == "str", F.try_variant_get(v, "$", "string")))
-    found = F.when(value_type(variant) == "array", F.transform(objects, one)).otherwise(F.array(one(variant)))
-    return F.filter(F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
+#: Lists in lists are followed so deep; what lies deeper is left out.
+DEEPEST = 4
+
+
+def texts_of(variant: Column, *keys: str, deep: int = DEEPEST) -> Column:
+    """Texts of a string or number, of an object's first member of some names (``value``, ``en``), and of all members of a list, in order."""
+    keys = keys or ("value", "en")
+    none = F.array().cast("array<string>")
+    kind = value_type(variant)
+    found = F.when(kind.isin("str", "int", "float", "bool"), F.array(F.try_variant_get(variant, "$", "string")))
+    if deep:
+        inside = F.coalesce(*[F.try_variant_get(variant, f"$.{k}", "variant") for k in keys])
+        found = found.when(kind == "object", _texts_in(inside, keys, deep)).when(kind == "array", F.flatten(F.transform(F.try_variant_get(variant, "$", "array<variant>"), lambda x: texts_of(x, *keys, deep=deep - 1))))
+    return F.filter(F.transform(F.coalesce(found, none), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
+
+
+def _texts_in(variant: Column, keys: tuple[str, ...], deep: int) -> Column:
+    """A member of an object: a plain value, or a list of these."""
+    kind = value_type(variant)
+    plain = lambda v: F.when(value_type(v).isin("str", "int", "float", "bool"), F.try_variant_get(v, "$", "string"))
+    return F.when(kind == "array", F.transform(F.try_variant_get(variant, "$", "array<variant>"), plain)).otherwise(F.array(plain(variant)))
+
+
+def localized_text(variant: Column, locale: str) -> Column:
+    """A field's texts in a locale, joined: a plain text stands for all locales, an object for what its member of that name says."""
+    return F.array_join(texts_of(variant, locale), " ; ")
 
 
-def joined_text(variant: Column, key: str = "value") -> Column:
-    return F.array_join(texts_of(variant, key), " ; ")
+def joined_text(variant: Column, *keys: str) -> Column:
+    return F.array_join(texts_of(variant, *keys), " ; ")
 
 
-def first_date(variant: Column, key: str = "value") -> Column:
+def first_date(variant: Column, *keys: str) -> Column:
     """The first of a field's texts that is a date."""
-    return F.get(F.filter(F.transform(texts_of(variant, key), publish_date), lambda d: d.isNotNull()), F.lit(0))
+    return F.get(F.filter(F.transform(texts_of(variant, *keys), publish_date), lambda d: d.isNotNull()), F.lit(0))
 
 
 def first_text(variant: Column) -> Column:

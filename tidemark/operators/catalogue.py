@@ -153,21 +153,6 @@ def two_hops(hubs: DataFrame, edges: DataFrame, rank: Column, documents: DataFra
     return best.join(documents.select(F.col("src").alias("sub"), F.col("dst").alias("document")), "sub").select("hub", "sub", "document")
 
 
-def paged(read: Callable[[int], list[dict]], key: str, expected: int | None = None, most: int = 10_000) -> list[dict]:
-    """Rows of a paged interface, read on the driver page by page: it ends with an empty page, one without new keys, the expected total or ``most`` rows."""
-    out, seen, number = [], set(), 1
-    while len(out) < most and (expected is None or len(out) < expected):
-        new = [r for r in read(number) if r.get(key) not in seen]
-        if not new:
-            break
-        for r in new:
-            if r.get(key) not in seen and len(out) < most:
-                seen.add(r.get(key))
-                out.append(r)
-        number += 1
-    return out
-
-
 class Registry:
     """Extractors by name: functions (spark, context) -> DataFrame of records.  ``dispatch`` picks a parser by the longest path prefix of a page."""
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
@@ -45,13 +47,16 @@ def document_urls(html: Column, extension: str = "pdf") -> Column:
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCKS = {"p", "li", "dt", "dd", "option"}
-#: Columns or rows that one cell may span, as browsers bound them.
-MOST_SPAN = 1000
+#: Columns and rows that one cell may span, as HTML bounds them.
+MOST_COLUMNS, MOST_ROWS = 1000, 65_534
 
 
 class _Tree(HTMLParser):
     """Collects tables, blocks, list items and anchors while it keeps the open elements.
 
+    Tables are numbered as they open.  Each open table has its own open cell: what follows a table inside a cell belongs to that cell again,
+    and what stands in the inner table's cells to these alone.
+
     An element ends with its own end tag, which also ends what was left open in it; void elements hold nothing.  So a scope is what
     stands within its element, whatever is left open or void inside."""
 
@@ -60,7 +65,6 @@ class _Tree(HTMLParser):
         self.tables, self.items, self.links, self.blocks = [], [], [], []
         self.open: list[tuple[str, str | None, dict | None]] = []
         self.open_tables: list[dict] = []
-        self.cell: dict | None = None
         self.link: dict | None = None
         self.heading = ""
 
@@ -70,13 +74,20 @@ class _Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         a, block = dict(attrs), None
         if tag == "table":
-            self.open_tables.append({"rows": [], "heading": self.heading, "ids": self.ids() + ([a["id"]] if a.get("id") else [])})
+            outer = self._cell()
+            if outer is not None:
+                outer["text"] += " "
+            table = {"no": len(self.tables), "parent": self.open_tables[-1]["no"] if outer is not None else None, "rows": [], "cell": None, "heading": self.heading, "ids": self.ids() + ([a["id"]] if a.get("id") else [])}
+            self.tables.append(table)
+            self.open_tables.append(table)
         elif tag == "tr" and self.open_tables:
             self.open_tables[-1]["rows"].append([])
+            self.open_tables[-1]["cell"] = None
         elif tag in ("td", "th") and self.open_tables and self.open_tables[-1]["rows"]:
-            span = lambda n: min(MOST_SPAN, max(1, int(a.get(n) or 1))) if str(a.get(n) or 1).isdigit() else 1
-            self.cell = {"text": "", "links": [], "rowspan": span("rowspan"), "colspan": span("colspan"), "head": tag == "th"}
-            self.open_tables[-1]["rows"][-1].append(self.cell)
+            span = lambda n, most: min(most, max(1, int(a.get(n) or 1))) if str(a.get(n) or 1).isdecimal() else 1
+            cell = {"text": "", "links": [], "rowspan": span("rowspan", MOST_ROWS), "colspan": span("colspan", MOST_COLUMNS), "head": tag == "th"}
+            self.open_tables[-1]["cell"] = cell
+            self.open_tables[-1]["rows"][-1].append(cell)
         elif tag in BLOCKS or tag in HEADINGS:
             depth = sum(t in ("ul", "ol") for t, _, _ in self.open)
             block = {"tag": tag, "text": "", "links": [], "value": a.get("value"), "heading": self.heading, "ids": self.ids(), "depth": depth}
@@ -88,12 +99,15 @@ class _Tree(HTMLParser):
         elif tag == "a" and a.get("href"):
             self.link = {"href": a["href"], "text": "", "ids": self.ids()}
             self.links.append(self.link)
-            for holder in (self.cell, self._block()):
+            for holder in (self._cell(), self._block()):
                 if holder is not None:
                     holder["links"].append(self.link)
         if tag not in VOID:
             self.open.append((tag, a.get("id"), block))
 
+    def _cell(self) -> dict | None:
+        return self.open_tables[-1]["cell"] if self.open_tables else None
+
     def _block(self) -> dict | None:
         return next((x for _, _, x in reversed(self.open) if x is not None), None)
 
@@ -104,14 +118,14 @@ class _Tree(HTMLParser):
                 self.heading = " ".join(self.open[at][2]["text"].split())
             del self.open[at:]
         if tag == "table" and self.open_tables:
-            self.tables.append(self.open_tables.pop())
-        elif tag in ("td", "th"):
-            self.cell = None
+            self.open_tables.pop()
+        elif tag in ("td", "th") and self.open_tables:
+            self.open_tables[-1]["cell"] = None
         elif tag == "a":
             self.link = None
 
     def handle_data(self, data):
-        for holder in (self.cell, self._block(), self.link):
+        for holder in (self._cell(), self._block(), self.link):
             if holder is not None:
                 holder["text"] += data
 
@@ -120,8 +134,6 @@ def parse(html: str | None) -> _Tree:
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
-    while tree.open_tables:
-        tree.tables.append(tree.open_tables.pop())
     return tree
 
 
@@ -140,45 +152,123 @@ def spread(rows: list[list[dict]]) -> list[list[dict]]:
     return [[g[c] for c in sorted(g)] for g in grid]
 
 
-@udtf(returnType="table_no int, heading string, ids array<string>, row int, col int, head boolean, text string, href string")
+CELLS = "table_no int, parent int, heading string, ids array<string>, row int, col int, head boolean, text string, href string"
+BLOCK = "pos int, tag string, heading string, ids array<string>, depth int, text string, value string, hrefs array<string>"
+ITEMS, LINKS = "pos int, text string, href string", "pos int, href string, text string"
+
+
+def _said(x: dict) -> str:
+    return " ".join(x["text"].split())
+
+
+def _cells(html: str | None) -> Iterator[tuple]:
+    for table in parse(html).tables:
+        for r, row in enumerate(spread(table["rows"])):
+            for c, cell in enumerate(row):
+                yield table["no"], table["parent"], table["heading"], table["ids"], r, c, cell["head"], _said(cell), cell["links"][0]["href"] if cell["links"] else None
+
+
+def _blocks(html: str | None) -> Iterator[tuple]:
+    for i, x in enumerate(parse(html).blocks):
+        yield i, x["tag"], x["heading"], x["ids"], x["depth"], _said(x), x["value"], [k["href"] for k in x["links"]]
+
+
+def _items(html: str | None) -> Iterator[tuple]:
+    for i, item in enumerate(parse(html).items):
+        for link in item["links"]:
+            yield i, _said(item), link["href"]
+
+
+def _scoped(html: str | None, scope: str, fallback: bool) -> Iterator[tuple]:
+    links = parse(html).links
+    own = [x for x in links if scope in x["ids"]]
+    for i, x in enumerate(own or (links if fallback else [])):
+        yield i, x["href"], _said(x)
+
+
+def _rows(pages: DataFrame, html: str, rows: Callable[[str | None], Iterator[tuple]], schema: str, most: int = 10_000) -> DataFrame:
+    """The other columns of ``pages`` with each row that a page gives: Arrow batches in and out, of ``most`` rows at most."""
+    keep = [c for c in pages.columns if c != html]
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        for batch in batches:
+            kept, texts = batch.select(keep), batch.column(batch.schema.get_field_index(html))
+            at, found = [], []
+
+            def whole():
+                columns = zip(*found, strict=True) if found else [()] * len(kinds)  # noqa: B023
+                made = [pa.array(c, f.type) for c, f in zip(columns, kinds, strict=True)]
+                return pa.record_batch([*kept.take(pa.array(at, pa.int64())).columns, *made], [*keep, *kinds.names])  # noqa: B023
+
+            for i in range(batch.num_rows):
+                for row in rows(texts[i].as_py()):
+                    at.append(i)
+                    found.append(row)
+                    if len(at) >= most:
+                        yield whole()
+                        at, found = [], []
+            yield whole()
+
+    own = pages.select(*keep).schema
+    return pages.select(*keep, html).mapInArrow(run, StructType([*own.fields, *StructType.fromDDL(schema).fields]))
+
+
+def html_tables(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Each cell of each table, spans spread out, with the first link in it, the heading before the table and the ids around it.
+
+    ``parent`` is the number of the table in whose cell a table stands.  A cell's text is what stands in it outside inner tables."""
+    return _rows(pages, html, _cells, CELLS)
+
+
+def html_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Paragraphs, list items, terms, options, headings and images in order, with the heading before and the ids around them."""
+    return _rows(pages, html, _blocks, BLOCK)
+
+
+def html_items(pages: DataFrame, html: str = "html") -> DataFrame:
+    """List items that hold links, one row per link."""
+    return _rows(pages, html, _items, ITEMS)
+
+
+def html_scoped_links(pages: DataFrame, scope: str, fallback: bool = True, html: str = "html") -> DataFrame:
+    """Anchors inside the element with an id; all anchors of a page that has none there, if ``fallback`` is set."""
+    return _rows(pages, html, lambda text: _scoped(text, scope, fallback), LINKS)
+
+
+@udtf(returnType=CELLS)
 class HtmlTables:
-    """Each cell of each table, spans spread out, with the first link in it, the heading before the table and the ids around it."""
+    """``html_tables`` for SQL, called for each page."""
 
     def eval(self, html: str):
-        for t, table in enumerate(parse(html).tables):
-            for r, row in enumerate(spread(table["rows"])):
-                for c, cell in enumerate(row):
-                    yield t, table["heading"], table["ids"], r, c, cell["head"], " ".join(cell["text"].split()), cell["links"][0]["href"] if cell["links"] else None
+        yield from _cells(html)
 
 
-@udtf(returnType="pos int, tag string, heading string, ids array<string>, depth int, text string, value string, hrefs array<string>")
+@udtf(returnType=BLOCK)
 class HtmlBlocks:
-    """Paragraphs, list items, terms, options, headings and images in order, with the heading before and the ids around them."""
+    """``html_blocks`` for SQL, called for each page."""
 
     def eval(self, html: str):
-        for i, x in enumerate(parse(html).blocks):
-            yield i, x["tag"], x["heading"], x["ids"], x["depth"], " ".join(x["text"].split()), x["value"], [k["href"] for k in x["links"]]
+        yield from _blocks(html)
 
 
-@udtf(returnType="pos int, text string, href string")
+@udtf(returnType=ITEMS)
 class HtmlItems:
-    """List items that hold links, one row per link."""
+    """``html_items`` for SQL, called for each page."""
 
     def eval(self, html: str):
-        for i, item in enumerate(parse(html).items):
-            for link in item["links"]:
-                yield i, " ".join(item["text"].split()), link["href"]
+        yield from _items(html)
 
 
-@udtf(returnType="pos int, href string, text string")
+@udtf(returnType=LINKS)
 class HtmlScopedLinks:
-    """Anchors inside the element with an id; all anchors if there are none and ``fallback`` is set."""
+    """``html_scoped_links`` for SQL, called for each page."""
 
     def eval(self, html: str, scope: str, fallback: bool):
-        links = parse(html).links
-        own = [x for x in links if scope in x["ids"]]
-        for i, x in enumerate(own or (links if fallback else [])):
-            yield i, x["href"], " ".join(x["text"].split())
+        yield from _scoped(html, scope, fallback)
 
 
 def register(spark: SparkSession) -> None:
@@ -257,15 +347,59 @@ def people(cells: DataFrame, keys: list[str]) -> DataFrame:
     return rows.where(is_person(F.col("name"), F.col("phone")))
 
 
-def tree_paths(items: DataFrame, keys: list[str]) -> DataFrame:
-    """Nested list items (pos, depth, text) to the path of texts from the root: of each shallower depth the last item before."""
+def table_records(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells to (keys, table_no, record, fields, href): tables with a header row give a record a row; tables whose rows are a label and its
+    value, as narrow layouts write the same, begin a record wherever their first label comes again.  Labels are folded; blank fields go."""
     from pyspark.sql import Window
 
-    along = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = items.withColumn("_seen", F.collect_list(F.struct("depth", "text")).over(along))
-    upto = F.sequence(F.lit(1), F.col("depth"))
-    last = F.transform(upto, lambda d: F.get(F.filter("_seen", lambda x: x["depth"] == d)["text"], F.size(F.filter("_seen", lambda x: x["depth"] == d)) - 1))
-    return seen.withColumn("path", F.filter(last, lambda x: x.isNotNull())).drop("_seen")
+    from ..functions.text import fold_heading
+
+    at, row = [*keys, "table_no"], [*keys, "table_no", "row"]
+    shape = cells.groupBy(*row).agg(F.count(F.lit(1)).alias("_n"), F.count_if("head").alias("_heads"), F.max(F.when(F.col("col") == 0, F.col("head"))).alias("_label"))
+    shape = shape.select(*row, F.when(F.col("_heads") == F.col("_n"), "head").when((F.col("_n") == 2) & (F.col("_heads") == 1) & F.col("_label"), "pair").otherwise("body").alias("_kind"))
+    known = cells.join(shape, row)
+    named = known.where("_kind = 'head'").groupBy(*at, "col").agg(F.min_by(fold_heading(F.col("text")), "row").alias("label"))
+    wide = known.where("_kind = 'body'").join(named, [*at, "col"]).select(*at, F.col("row").alias("record"), "label", "text", "href")
+    pairs = known.where("_kind = 'pair'").groupBy(*row).agg(
+        fold_heading(F.max(F.when(F.col("col") == 0, F.col("text")))).alias("label"), F.max(F.when(F.col("col") == 1, F.col("text"))).alias("text"), F.max("href").alias("href")
+    )
+    along = Window.partitionBy(*at).orderBy("row")
+    pairs = pairs.withColumn("_first", F.first("label").over(along)).withColumn("record", F.count_if(F.col("label") == F.col("_first")).over(along).cast("int"))
+    every = wide.unionByName(pairs.select(*at, "record", "label", "text", "href")).where("label <> '' AND text <> ''")
+    fields = F.map_from_entries(F.array_sort(F.collect_set(F.struct("label", "text"))))
+    one = every.groupBy(*at, "record", "label").agg(F.min("text").alias("text"), F.max("href").alias("href"))
+    return one.groupBy(*at, "record").agg(fields.alias("fields"), F.max("href").alias("href"))
+
+
+def one_of_each(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Records that several tables of a page hold, as for wide and narrow screens, once: (keys, fields, href, table_no, record, tables)."""
+    same = F.to_json(F.array_sort(F.map_entries("fields")))
+    found = records.groupBy(*keys, same.alias("_same")).agg(F.min_by(F.struct("fields", "href", "table_no", "record"), F.struct("table_no", "record")).alias("_r"), F.count_distinct("table_no").alias("tables"))
+    return found.select(*keys, "_r.*", "tables")
+
+
+def tree_paths(items: DataFrame, keys: list[str]) -> DataFrame:
+    """Nested list items (pos, depth, text) to the path of texts from the root; depths count from 1, and blank texts are left out of paths.
+
+    Items are dealt by ``keys``, sorted by ``pos`` and passed once, with the open ancestors of the last item as all that is held."""
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
+    def run(batches):
+        at, open_ = None, []
+        for batch in batches:
+            column = lambda name: batch.column(batch.schema.get_field_index(name)).to_pylist()  # noqa: B023, E731
+            paths = []
+            for key, depth, text in zip(zip(*[column(k) for k in keys], strict=True), column("depth"), column("text"), strict=True):
+                if key != at:
+                    at, open_ = key, []
+                up = max(0, (depth or 0) - 1)
+                del open_[up:]
+                open_ += [None] * (up - len(open_)) + [text]
+                paths.append([x for x in open_ if x] if depth else [])
+            yield batch.append_column("path", pa.array(paths, pa.list_(pa.string())))
+
+    spread_ = items.repartition(*keys).sortWithinPartitions(*keys, "pos")
+    return spread_.mapInArrow(run, StructType([*items.schema.fields, StructField("path", ArrayType(StringType()))]))
 
 
 def questions(blocks: DataFrame, keys: list[str]) -> DataFrame:
@@ -279,10 +413,16 @@ def questions(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def script_items(html: Column, title: str = "title", url: str = "url") -> Column:
-    """Items of arrays in scripts as [(title, url)]: objects first, then the two members of each."""
-    objects = F.regexp_extract_all(html, F.lit(rf"\{{[^{{}}]*\b{url}\b[^{{}}]*\}}"), F.lit(0))
-    member = lambda x, name: F.regexp_extract(x, rf"""\b{name}["']?\s*:\s*["']([^"']*)["']""", 1)
-    return F.transform(objects, lambda x: F.struct(member(x, title).alias("title"), member(x, url).alias("url")))
+    """Items of arrays in scripts as [(title, url)]: objects first, then the two members of each.  What stands in quotes is passed as a whole,
+    braces, brackets and the other quote too; a backslash before a character stands for that character."""
+    double, single = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+    objects = F.regexp_extract_all(html, F.lit(rf"(?s)\{{(?:[^{{}}\"']++|{double}|{single})*+\}}"), F.lit(0))
+    key = lambda name: rf"""\s*["']?{name}["']?\s*:\s*"""
+    past = lambda name: rf"""(?:(?:[^{{}}\"',]++|,(?!{key(name)})|{double}|{single})*+,)?"""
+    raw = lambda x, name: F.regexp_extract(x, rf"(?s)^\{{{past(name)}{key(name)}({double}|{single})", 1)
+    member = lambda x, name: F.regexp_replace(F.regexp_replace(raw(x, name), r"(?s)^.|.$", ""), r"(?s)\\(.)", "$1")
+    pairs = F.transform(objects, lambda x: F.struct(member(x, title).alias("title"), member(x, url).alias("url")))
+    return F.filter(pairs, lambda x: x["url"] != "")
 
 
 def last_page(html: Column, parameter: str = "page") -> Column:

@@ -39,8 +39,8 @@ def numbered(df: DataFrame, order: list[str], name: str, start: int = 0) -> tupl
     for part, n in sizes:
         first[part] = total
         total += n
-    before = F.element_at(F.create_map(*[F.lit(x).cast(k) for p, b in first.items() for x, k in ((p, "int"), (b, "long"))]), F.col("_part")) if first else F.lit(start)
-    return placed.withColumn(name, (before + F.col("_at")).cast("long")).drop("_part", "_at"), total - start
+    firsts = F.broadcast(df.sparkSession.createDataFrame(list(first.items()), "_part int, _before long"))
+    return placed.join(firsts, "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before"), total - start
 
 
 def at_ranks(df: DataFrame, column: str, ranks: list[int], few: int = 10_000) -> list:

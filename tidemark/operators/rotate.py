@@ -1,12 +1,14 @@
 """The archive on disk: a month's base and daily deltas, as Parquet folders.
 
-``root/YYYY-MM/base-vN`` and ``root/YYYY-MM/days/DD/{added,removed}`` with a small ``meta`` table beside each.  Nothing is changed in place: a
-rebase writes the next base version and new deltas, and readers take the version that ``meta`` names last, so a job that dies
-leaves the former state readable.
+``root/YYYY-MM/base-v1`` and ``root/YYYY-MM/days/DD/vN/{added,removed}`` with a small ``meta`` table beside each.  Nothing is changed in place: a
+rebase writes base and deltas of all days as ``rebased-vN``, partitioned by kind and day, in one job, and readers take the version that
+``meta`` names last, so a job that dies leaves the former state readable and is run again over its own remains.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ def archive(spark: SparkSession, root: str, date: str, snapshot: DataFrame, refr
         _note(spark, month, [("base", date, 1, base.count(), 0, seq), _write_day(spark, month, date, 1, base, base, seq + 1)])
         return "base"
     version = max(r.version for r in meta if r.kind in ("base", "rebase"))
-    base = spark.read.parquet(f"{month}/base-v{version}")
+    base = _base(spark, month, version)
     _note(spark, month, [_write_day(spark, month, date, version, base, snapshots.keyed(snapshot), seq)])
     if refresh_day and int(date[8:]) >= refresh_day and not any(r.kind == "rebase" for r in meta):
         rebase(spark, root, date)
@@ -61,18 +63,38 @@ def archive(spark: SparkSession, root: str, date: str, snapshot: DataFrame, refr
     return "delta"
 
 
+def _base(spark: SparkSession, month: str, version: int) -> DataFrame:
+    whole = f"{month}/rebased-v{version}"
+    if _exists(spark, whole):
+        return spark.read.parquet(whole).where("kind = 'base'").drop("kind", "day")
+    return spark.read.parquet(f"{month}/base-v{version}")
+
+
 def rebase(spark: SparkSession, root: str, date: str) -> None:
-    """A new base of what all days of the month share, and all days' deltas against it."""
+    """A new base of what all days of the month share, and all days' deltas against it, in one grouping of the present base and deltas."""
     month = f"{root}/{date[:7]}"
     meta = _meta(spark, month)
-    dates = sorted({r.date for r in meta if r.kind == "day"})
+    held = {r.date: r.version for r in sorted((r for r in meta if r.kind == "day"), key=lambda r: r.seq)}
     version = max(r.version for r in meta if r.kind in ("base", "rebase"))
-    days = [as_of(spark, root, d) for d in dates]
-    snapshots.common_base(days).write.mode("overwrite").parquet(f"{month}/base-v{version + 1}")
-    base = spark.read.parquet(f"{month}/base-v{version + 1}")
+    if set(held.values()) != {version}:
+        raise ValueError(f"{month} has days of several base versions")
+    base = _base(spark, month, version)
+    whole = f"{month}/rebased-v{version}"
+    if _exists(spark, whole):
+        plus, minus = [spark.read.parquet(whole).where("kind = 'added'").drop("kind").select(*base.columns, "day")], []
+    else:
+        plus, minus = [], []
+    own = [d for d in sorted(held) if _exists(spark, f"{month}/days/{d[8:]}/v{version}")]
+    for kind, parts in (("added", plus), ("removed", minus)):
+        parts += [spark.read.parquet(f"{month}/days/{d[8:]}/v{version}/{kind}").withColumn("day", F.lit(int(d[8:]))) for d in own]
+    of_all = lambda parts: reduce(DataFrame.unionByName, parts) if parts else None
+    found = snapshots.regrouped([int(d[8:]) for d in sorted(held)], of_all(plus), base, of_all(minus))
+    out = f"{month}/rebased-v{version + 1}"
+    found.withColumn("day", F.coalesce("day", F.lit(0))).write.mode("overwrite").partitionBy("kind", "day").parquet(out)
+    sizes = {(r.kind, r.day): r["count"] for r in spark.read.parquet(out).groupBy("kind", "day").count().collect()}
     seq = meta[-1].seq + 1
-    rows = [_write_day(spark, month, d, version + 1, base, full, seq + 1 + i) for i, (d, full) in enumerate(zip(dates, days, strict=True))]
-    _note(spark, month, [("rebase", date, version + 1, base.count(), 0, seq), *rows])
+    rows = [("day", d, version + 1, sizes.get(("added", int(d[8:])), 0), 0, seq + 1 + i) for i, d in enumerate(sorted(held))]
+    _note(spark, month, [("rebase", date, version + 1, sizes.get(("base", 0), 0), 0, seq), *rows])
 
 
 def as_of(spark: SparkSession, root: str, date: str) -> DataFrame:
@@ -81,9 +103,12 @@ def as_of(spark: SparkSession, root: str, date: str) -> DataFrame:
     versions = [r.version for r in _meta(spark, month) if r.kind == "day" and r.date == date]
     if not versions:
         raise ValueError(f"{date} is not archived")
-    folder = f"{month}/days/{date[8:]}/v{max(versions)}"
-    plus, minus = (spark.read.parquet(f"{folder}/{k}") for k in ("added", "removed"))
-    return snapshots.reconstruct(spark.read.parquet(f"{month}/base-v{max(versions)}"), plus, minus)
+    version = max(versions)
+    base, folder = _base(spark, month, version), f"{month}/days/{date[8:]}/v{version}"
+    if _exists(spark, folder):
+        plus, minus = (spark.read.parquet(f"{folder}/{k}") for k in ("added", "removed"))
+        return snapshots.reconstruct(base, plus, minus)
+    return base.unionByName(spark.read.parquet(f"{month}/rebased-v{version}").where((F.col("kind") == "added") & (F.col("day") == int(date[8:]))).drop("kind", "day"))
 
 
 def days(spark: SparkSession, root: str, months: list[str]) -> list[str]:

@@ -296,11 +296,11 @@ def _pages(spark, d):
 
 
 def _cells(spark, d):
-    return _pages(spark, d).lateralJoin(extract.HtmlTables(F.col("html").outer())).drop("html")
+    return extract.html_tables(_pages(spark, d))
 
 
 def _blocks(spark, d):
-    return _pages(spark, d).lateralJoin(extract.HtmlBlocks(F.col("html").outer())).drop("html")
+    return extract.html_blocks(_pages(spark, d))
 
 
 def circular_cells(spark, d):
@@ -340,7 +340,7 @@ def script_items(spark, d):
 def directory_people(spark, d):
     row = F.concat(F.lit("<tr><td>"), F.when(F.col("s_suppkey") % 4 == 0, "Vacant").otherwise(F.col("s_name")), F.lit("</td><td>Clerk</td><td>"), F.when(F.col("s_suppkey") % 3 == 0, "").otherwise("+852 2345 6789"), F.lit("</td></tr>"))
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.concat(F.lit("<table>"), row, F.lit("</table>")).alias("html"))
-    return extract.people(s.lateralJoin(extract.HtmlTables(F.col("html").outer())), ["k"]).select("k", "name", "post", "phone")
+    return extract.people(extract.html_tables(s), ["k"]).select("k", "name", "post", "phone")
 
 
 QUERIES = {

@@ -144,12 +144,12 @@ def crawl_pages(spark, d):
 def table_cells(spark, d):
     """Cells of tables with spans spread out, over pages that hold one: a table function after a pattern."""
     p = table(spark, d, "pages").where(F.contains("html", F.lit("<table"))).select("page_id", "html")
-    return p.lateralJoin(extract.HtmlTables(F.col("html").outer())).select("page_id", "table_no", "row", "col", "text", "href")
+    return extract.html_tables(p).select("page_id", "table_no", "row", "col", "text", "href")
 
 
 def scoped_links(spark, d):
     p = table(spark, d, "pages").select("page_id", "html")
-    return p.lateralJoin(extract.HtmlScopedLinks(F.col("html").outer(), F.lit("main"), F.lit(True))).select("page_id", "pos", "href", "text")
+    return extract.html_scoped_links(p, "main").select("page_id", "pos", "href", "text")
 
 
 _WS = r"[\s\x0B\x{00A0}\x{3000}\x{0085}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}]+"

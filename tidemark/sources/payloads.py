@@ -30,9 +30,13 @@ def blob_items(html: Column, name: str) -> Column:
     return F.try_parse_json(inflated(F.unbase64(found)))
 
 
+#: What stands between two equal quotes, passed as a whole: backslashes escape what follows them.
+DOUBLE, SINGLE = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+
+
 def script_list(html: Column, name: str) -> Column:
-    """The array literal assigned to a variable, as VARIANT; null if it is no JSON."""
-    return F.try_parse_json(F.regexp_extract(html, rf"(?s)\b{name}\s*=\s*(\[.*?\])\s*;", 1))
+    """The array literal assigned to a variable, as VARIANT; null if it is no JSON.  It ends with the first ``];`` that is in no string."""
+    return F.try_parse_json(F.regexp_extract(html, rf"""(?s)\b{name}\s*=\s*(\[(?:[^\]"']++|{DOUBLE}|{SINGLE}|\](?!\s*;))*+\])\s*;""", 1))
 
 
 def unnest(df: DataFrame, items: Column, schema: str) -> DataFrame:
@@ -63,6 +67,8 @@ def decoded(body: Column, declared: Column) -> Column:
 
 def script_html(html: Column, name: str) -> Column:
     """The HTML that a script holds as a quoted string, with its escapes undone; '' without one."""
-    said = F.regexp_extract(html, rf"""(?s)\b{name}\s*=\s*(?:'((?:[^'\\\\]|\\\\.)*)'|"((?:[^"\\\\]|\\\\.)*)")""", 0)
-    inner = F.regexp_replace(F.regexp_replace(said, r"""(?s)^.*?=\s*['"]""", ""), r"""['"]$""", "")
-    return F.regexp_replace(F.regexp_replace(inner, r"\\n", "\n"), r"\\(.)", "$1")
+    said = F.regexp_extract(html, rf"(?s)\b{name}\s*=\s*({DOUBLE}|{SINGLE})", 1)
+    inner = F.regexp_replace(said, r"(?s)^.|.$", "")
+    # A mark that no page holds stands for an escaped backslash while the other escapes are undone.
+    lines = F.regexp_replace(F.replace(inner, F.lit("\\\\"), F.lit("\ufdd0")), r"\\n", "\n")
+    return F.replace(F.regexp_replace(F.regexp_replace(lines, r"\\t", "\t"), r"(?s)\\(.)", "$1"), F.lit("\ufdd0"), F.lit("\\"))
