@@ -106,3 +106,15 @@ def test_texts_of_nested_fields(spark):
     df = spark.createDataFrame(rows, "j string").withColumn("v", F.parse_json("j"))
     got = df.select(nested.joined_text(F.col("v")), nested.localized_text(F.col("v"), "tc"), nested.localized_text(F.col("v"), "en")).collect()
     assert [tuple(r) for r in got] == [("a ; b ; c ; d", "a ; b ; c", "a ; b ; c"), ("E", "T", "E"), ("E ; 7", "T ; U ; 7", "E ; 7"), ("x", "x", "x"), ("", "", ""), ("", "", "")]
+
+
+def test_entities_equal_the_standard_table(spark):
+    import html
+
+    known = [f"&{k}" for k in html.entities.html5 if k.endswith(";")]
+    others = ["&#8211;", "&#x1F600;", "&#0;", "&#xD800;", "&#1114112;", "&#128;", "&#150;", "&#129;", "a &amp;lt; b", "no & entity", "&unknown;", "&", "", "x&eacute;y&#65;&copy;"]
+    got = values(spark, [*known, *others, " ".join(known)], text.unescape_html)
+    want = [html.unescape(t).replace("\xa0", " ") for t in [*known, *others, " ".join(known)]]
+    want[len(known) + 4] = "\ufffd"
+    assert [(a, b, c) for a, b, c in zip([*known, *others, "all"], got, want, strict=True) if b != c] == []
+    assert values(spark, [None, "&lt"], text.unescape_html) == [None, "&lt"]

@@ -149,11 +149,34 @@ def test_archive_months(spark, tmp_path, days):
 
 
 def test_json_walk(spark):
-    from tidemark.operators.walk import JsonWalk
-
-    df = spark.createDataFrame([('{"a": [{"cat_id": 1}, {"b": {"cat_id": "x"}}], "cat_id": 2}',), ("broken{",), (None,)], "j string")
-    found = df.lateralJoin(JsonWalk(F.col("j").outer())).where("key = 'cat_id'")
-    assert rows(found.select("path", "value")) == [("$", "2"), ("$.a[0]", "1"), ("$.a[1].b", '"x"')]
+    from tidemark.operators import walk
+
+    df = spark.createDataFrame([(1, '{"a": [{"cat_id": 1}, {"b": {"cat_id": "x"}}], "cat_id": 2}'), (2, "broken{"), (3, None), (4, '{"pdf": {"u": 1}, "n": [[[{"pdf": {}}, {"pdf": 1}]]]}')], "key int, j string")
+    found = walk.members(df.withColumnRenamed("key", "value"), ["value"], "j")
+    assert found.columns == ["value", "path", "key", "value"]
+    found = walk.members(df.withColumnRenamed("key", "i"), ["i"], "j")
+    assert rows(found.where("key = 'cat_id'").select("path", "value")) == [("$", "2"), ("$.a[0]", "1"), ("$.a[1].b", '"x"')]
+    every = walk.nodes(df.withColumnRenamed("key", "i"), ["i"], "j")
+    assert "Python" not in every._jdf.queryExecution().toString() and every.where("i = 4").count() == 10
+    assert rows(every.where(walk.holds_object(F.col("node"), "pdf")).select("i", "path")) == [(4, "$"), (4, "$.n[0][0][0]")]
+
+
+def test_order_as_read(spark):
+    names = ["zebra", "Éclair", "eclair", "apple", "Zürich", "étude", None, "Apple", "ecru"]
+    df = spark.createDataFrame([(n, "u") for n in names], "name string, url string")
+    assert [r.name for r in browse.ordered(df, "name", False, read=True).collect()] == [None, "apple", "Apple", "eclair", "Éclair", "ecru", "étude", "zebra", "Zürich"]
+
+
+def test_anchors_as_a_parser_finds_them(spark):
+    html = """<a href=/plain class=x>Un<b>quoted</b></a><A class="a>b" href="it's.pdf" >Quote&#8217;s</A><!-- <a href="/no">no</a> --><a name=top>x</a><a href="">none</a>
+    <a href="/lost">lost <a href='/kept?a=1&amp;b="2"'>kept &eacute;</a><abbr href="/no">no</abbr><script>var x = '<a href="/no">no</a>'</script><a
+    data-href="/no" href = "/last">last
+    line</a><a href="/open">never closed"""
+    df = spark.createDataFrame([(1, "https://h.example/d/", html)], "page_id int, url string, html string")
+    got = [(r.pos, r.href, r.text) for r in extract.page_links(df).collect()]
+    assert got == [(0, "/plain", "Un quoted"), (1, "it's.pdf", "Quote’s"), (2, '/kept?a=1&b="2"', "kept é"), (3, "/last", "last line")]
+    long = "".join(f'<a {"x=1 " * 500}href="/{i}" title="{"t" * 2000}">{"w " * 3000}</a>' for i in range(30))
+    assert extract.page_links(spark.createDataFrame([(1, "https://h/", long)], "page_id int, url string, html string")).count() == 30
 
 
 NESTED = """<table><tr><th>Name</th><th>Call</th></tr><tr><td>a<table><tr><td>in <a href="/x">x</a></td></tr></table>b<td><table><tr><td rowspan="1300">deep<table><tr><td>er</table></table>

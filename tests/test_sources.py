@@ -1,5 +1,6 @@
 import base64
 import collections
+import hashlib
 import http.server
 import json
 import threading
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources import archive, jsonl, paged, payloads, settings, workbook
 from tidemark.sources import http as http_source
-from tidemark.streaming import changes
+from tidemark.streaming import changes, tail
 
 
 def test_jsonl(spark, tmp_path):
@@ -234,3 +235,42 @@ def test_manifest(spark, tmp_path):
     listing = archive.files(spark, str(tmp_path))
     rows = listing.select("path", F.lit(1).alias("rows")).limit(1)
     assert [(r.rows, r.bytes, len(r.sha256)) for r in archive.manifest(listing, rows).collect()] == [(1, 3, 64)]
+
+
+def test_digest_of_a_file_above_an_array(spark, tmp_path):
+    big = tmp_path / "big"
+    with open(big, "wb") as f:
+        f.truncate((1 << 31) + 5)
+    (tmp_path / "é x").write_bytes(b"abc")
+    zeros, piece = hashlib.sha256(), bytes(1 << 20)
+    for _ in range(2048):
+        zeros.update(piece)
+    zeros.update(bytes(5))
+    got = {r.path.rsplit("/", 1)[1]: (r.bytes, r.sha256) for r in archive.files(spark, str(tmp_path)).collect()}
+    assert got == {"big": ((1 << 31) + 5, zeros.hexdigest()), "é x": (3, hashlib.sha256(b"abc").hexdigest())}
+
+
+def test_files_that_grow(spark, tmp_path):
+    folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    folder.mkdir()
+
+    def add(name, data):
+        with open(folder / name, "ab") as f:
+            f.write(data)
+
+    def batch():
+        query = tail.lines(spark, str(folder), part=10_000 if (folder / "c.jsonl").exists() else 5).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+        assert query.awaitTermination(120) and query.exception() is None
+        return sorted((r.file.rsplit("/", 1)[1], r.offset, r.value) for r in spark.read.parquet(out).collect())
+
+    add("a.jsonl", '{"k": 1}\n{"k": "é"}\r\n{"k'.encode())
+    add("b.txt", b"not read\n")
+    first = batch()
+    assert [x[2] for x in first] == ['{"k": 1}', '{"k": "é"}']
+    assert batch() == first  # nothing new
+    add("a.jsonl", b'": 3}\n\n')
+    add("c.jsonl", b"x" * 70_000 + b"\nlast")
+    second = batch()
+    assert [(x[0], x[2]) for x in second if x not in first] == [("a.jsonl", ""), ("a.jsonl", '{"k": 3}')][::-1] + [("c.jsonl", "x" * 70_000)]
+    add("c.jsonl", b"\n")
+    assert [(x[1], x[2]) for x in batch() if x not in second] == [(70_001, "last")] and len({x[:2] for x in batch()}) == 6

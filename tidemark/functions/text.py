@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The entities that link texts hold.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+#: The entities that most texts hold alone.
+COMMON = {"&amp;": "&", "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'"}
+#: A reference ends with its semicolon; what begins like one and has none stays as it is.
+REFERENCE = r"&(?:#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]{1,31});|&|[^&]+"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -22,8 +24,34 @@ def clean_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
 
 
+def character(code: Column) -> Column:
+    """The character of a number as HTML reads it: 128 to 159 as Windows-1252 has them, U+FFFD for what is none."""
+    old = F.decode(F.unhex(F.lpad(F.hex(code), 2, "0")), "ISO-8859-1")
+    for c in range(128, 160):
+        said = bytes([c]).decode("windows-1252", "ignore")
+        if said:
+            old = F.when(code == c, F.lit(said)).otherwise(old)
+    none = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    return F.when(none, F.lit("\ufffd")).when(code.between(128, 159), old).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
 def unescape_html(text: Column) -> Column:
-    return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES, text)
+    """Entities and numeric references undone in one pass, so that what they give is not read again; a non-breaking space becomes a space.
+
+    Names are those of HTML that stand for one or two characters and end with a semicolon, in a map that the plan holds once for each use;
+    the most frequent are tried first.  A text without ``&`` is passed on as it is."""
+    names = F.str_to_map(F.lit("\x02".join(f"&{k}\x01{v}" for k, v in html5.items() if k.endswith(";"))), F.lit("\x02"), F.lit("\x01"))
+
+    def one(t: Column) -> Column:
+        out = F.when(~F.startswith(t, F.lit("&")) | (t == "&"), t)
+        for k, v in COMMON.items():
+            out = out.when(t == k, F.lit(v))
+        number = F.coalesce(F.regexp_extract(t, "^&#([0-9]+);$", 1).try_cast("long"), F.conv(F.nullif(F.regexp_extract(t, "^&#[xX]([0-9A-Fa-f]+);$", 1), F.lit("")), 16, 10).cast("long"))
+        out = out.when(F.startswith(t, F.lit("&#")), let(number, lambda n: F.when(n == 160, F.lit(" ")).otherwise(character(n))))
+        return out.otherwise(F.coalesce(F.translate(F.try_element_at(names, t), "\xa0", " "), t))
+
+    parts = lambda t: F.array_join(F.transform(F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0)), one), "")
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), parts(t)).otherwise(t))
 
 
 def strip_comments(html: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,14 @@ def search(df: DataFrame, source: str | None = None, text: str | None = None) ->
     return df
 
 
-def ordered(df: DataFrame, by: str = "publish_date", descending: bool = True) -> DataFrame:
-    """Nulls lowest; the direction holds for the tie-break by url too."""
-    key, url = F.col(by), F.col("url")
+def as_read(column: str) -> Column:
+    """A text as a key that sorts as readers expect: case and accents count only between texts that are equal without them; null is empty."""
+    return F.collate(F.coalesce(F.col(column), F.lit("")), "UNICODE")
+
+
+def ordered(df: DataFrame, by: str = "publish_date", descending: bool = True, read: bool = False) -> DataFrame:
+    """Nulls lowest; the direction holds for the tie-break by url too.  ``read``: texts sort as readers expect, not by their bytes."""
+    key, url = (as_read(by), as_read("url")) if read else (F.col(by), F.col("url"))
     return df.orderBy(key.desc_nulls_last(), url.desc()) if descending else df.orderBy(key.asc_nulls_first(), url.asc())
 
 

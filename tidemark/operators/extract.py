@@ -10,25 +10,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
-from ..functions.text import clean_text, strip_tags, unescape_html
+from ..functions.text import clean_text, let, strip_tags, unescape_html
 from ..functions.urls import canonical_url, name_from_link, resolve
 
-ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a\s*>"""
+#: An attribute other than href, with its value in quotes or without; then href; then the rest of the tag, and a text without another anchor.
+_VALUE = r"""(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?"""
+ANCHOR = rf"""(?is)<a(?=[\s/])(?:[\s/]*(?!href\s*=)[^\s"'>/=]++{_VALUE})*+[\s/]*href\s*=\s*(?:"([^"]+)"|'([^']+)'|([^\s"'>][^\s>]*))(?:[^>"']++|"[^"]*"|'[^']*')*+>((?:(?!</?a[\s/>]).)*+)</a\s*>"""
+#: What is text to a browser, or nothing, whatever it looks like.
+UNREAD = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """(page columns, pos, href, text, url): each anchor with a target, in the order of the document; url is resolved and canonical."""
-    hrefs, texts = (F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(i)) for i in (1, 2))
-    pair = F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text")))
-    rows = pages.select(*[c for c in pages.columns if c != "html"], pair.alias("pos", "a"))
-    rows = rows.withColumns({"href": unescape_html(F.col("a.href")), "text": strip_tags(F.col("a.text"))}).drop("a")
+    """(page columns, pos, href, text, url): each anchor with a target, in the order of the document; url is resolved and canonical.
+
+    Attributes stand in any order, with either quotes or none; anchors in comments, scripts and styles are none; an anchor that another
+    one interrupts, or that nothing closes, is left out."""
+    whole = F.regexp_extract_all(F.regexp_replace("html", UNREAD, ""), F.lit(ANCHOR), F.lit(0))
+    rows = pages.select(*[c for c in pages.columns if c != "html"], F.posexplode(whole).alias("pos", "a"))
+    part = lambda i: F.regexp_extract("a", ANCHOR, i)
+    rows = rows.withColumns({"href": unescape_html(F.concat(part(1), part(2), part(3))), "text": strip_tags(part(4))}).drop("a")
     return rows.withColumn("link", canonical_url(resolve(F.col("url"), F.col("href"))))
 
 
 def page_title(html: Column) -> Column:
     """The title, else the first heading."""
     inner = lambda tag: strip_tags(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
-    return F.coalesce(F.when(inner("title") != "", inner("title")), F.when(inner("h1") != "", inner("h1")))
+    return F.coalesce(*[let(inner(tag), lambda t: F.when(t != "", t)) for tag in ("title", "h1")])
 
 
 def last_updated(html: Column) -> Column:

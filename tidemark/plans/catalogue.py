@@ -442,7 +442,7 @@ def json_walk(spark, d):
     k = F.col("n_nationkey").cast("string")
     said = F.concat(F.lit('{"a": [{"cat_id": "'), k, F.lit('"}, {"b": {"cat_id": "c'), k, F.lit('"}}], "cat_id": "top"}'))
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), said.alias("said"))
-    return n.lateralJoin(walk.JsonWalk(F.col("said").outer())).where("key = 'cat_id'").select("k", "path", "value").distinct()
+    return walk.members(n, ["k"], "said").where("key = 'cat_id'").distinct().drop("key")
 
 
 QUERIES |= {f.__name__: f for f in (export_rows, link_labels, dates_near_links, json_walk)}

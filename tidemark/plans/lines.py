@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import extract, quality, snapshots, traverse
+from ..functions.documents import value_type
+from ..operators import extract, quality, snapshots, traverse, walk
 from ..operators.numbering import shared_folder
 from ..sources import jsonl
 from . import table
@@ -88,7 +89,14 @@ def item_paths(spark, d):
     return extract.tree_paths(tree, ["size"]).where("depth = 3").select("size", "item_id", F.array_join("path", " > ").alias("path"))
 
 
-QUERIES = {f.__name__: f for f in (line_problems, discovery_order, rebase_month, nested_tables, paired_tables, item_paths)}
+def json_nodes(spark, d):
+    """What the clicks' properties hold at each place, by type: how many nodes, and how many of them hold a device."""
+    c = table(spark, d, "clicks").select("click_id", "props")
+    n = walk.nodes(c, ["click_id"], "props").withColumns({"place": F.regexp_replace("path", r"\[\d+\]", "[]"), "kind": F.coalesce(value_type(F.col("node")), F.lit("null"))})
+    return n.groupBy("place", "kind").agg(F.count(F.lit(1)).alias("n"), F.count_if(walk.holds_object(F.col("node"), "device")).alias("with_device"))
+
+
+QUERIES = {f.__name__: f for f in (line_problems, discovery_order, rebase_month, nested_tables, paired_tables, item_paths, json_nodes)}
 
 _DISCOVERY = """WITH l AS (SELECT l_partkey AS p, -l_suppkey AS s, l_orderkey * 8 + l_linenumber AS pos FROM lineitem),
         a AS (SELECT p AS src, s AS dst, pos FROM l UNION ALL SELECT s, p, pos FROM l),
@@ -126,4 +134,7 @@ ORACLES = {
     "paired_tables": r"""SELECT nation_id AS page, nullif(trim(regexp_replace(name, '\s+', ' ', 'g')), '') AS name, 'tel ext ' || vendor_id % 7 AS call, 2::BIGINT AS tables, 0 AS table_no
         FROM vendors JOIN nation ON nation_id = n_nationkey WHERE vendor_id IS NOT NULL GROUP BY ALL""",
     "item_paths": """SELECT size, item_id, array_to_string([x for x in [kind, brand, name] if coalesce(x, '') <> ''], ' > ') AS path FROM items WHERE item_id IS NOT NULL""",
+    "json_nodes": r"""WITH c AS (SELECT props FROM clicks WHERE props IS NOT NULL AND json_valid(props)), n AS (SELECT regexp_replace(t.fullkey, '\[\d+\]', '[]', 'g') AS place, t.type, t.value FROM c, json_tree(c.props) t)
+        SELECT place, CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'str' WHEN 'DOUBLE' THEN 'float' WHEN 'BOOLEAN' THEN 'bool' WHEN 'NULL' THEN 'null' ELSE 'int' END AS kind,
+        count(*) AS n, count(*) FILTER (WHERE type = 'OBJECT' AND json_type(value, '$.device') = 'OBJECT') AS with_device FROM n GROUP BY 1, 2""",
 }

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,10 +15,39 @@ FULL_DAY = r"/(\d{4})/(\d{2})/(\d{2})/urls\.jsonl$"
 DELTA_DAY = r"/(\d{4}-\d{2})/days/(\d{2})/(added|removed)\.jsonl$"
 
 
+#: Bytes of a file that are held at a time.
+CHUNK = 8 << 20
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """(path, bytes) of all files below a folder; no content is read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("bytes"))
+
+
+def opened(path: str):
+    """(file system, path there) of a path as Spark writes it: local files, and the stores that Arrow knows."""
+    local = re.sub("^file:/+", "/", path)
+    return (LocalFileSystem(), local) if local.startswith("/") else FileSystem.from_uri(path)
+
+
+def _digests(batches):
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            store, at = opened(path)
+            digest = hashlib.sha256()
+            with store.open_input_stream(at) as f:
+                while piece := f.read(CHUNK):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["path", "bytes", "sha256"])
+
+
 def files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, bytes, sha256) of all files below a folder."""
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return read.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """(path, bytes, sha256) of all files below a folder: files of any size, read by the tasks in pieces of a few MB.
+
+    The store must be one that Arrow can open from its url: a shared folder, HDFS, S3 or GCS."""
+    return listing(spark, root).mapInArrow(_digests, "path string, bytes long, sha256 string")
 
 
 def index(listing: DataFrame) -> DataFrame:
