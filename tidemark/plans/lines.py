@@ -29,9 +29,9 @@ def line_problems(spark, d):
         member("source", F.coalesce(quoted(F.concat(F.lit("s"), (client % 3).cast("string"))), F.lit('" "'))),
         member("meta", F.col("props")),
     ]
-    lines = c.select(*_ORDER, F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}")).alias("line"))
     at = f"{shared_folder(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
-    lines.orderBy(*_ORDER).select("line").write.text(at)
+    lines = c.orderBy(*_ORDER).select(F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}")).alias("line"))
+    lines.write.option("compression", "gzip").text(at)
     return quality.line_issues(jsonl.scan(spark, at, split_bytes=4 << 20, across=True)).select("line_no", "source", "field", "kind", "found")
 
 
