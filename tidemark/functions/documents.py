@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 #: Type names of the profile.
 KINDS = {"VOID": "null", "BOOLEAN": "bool", "BIGINT": "int", "DOUBLE": "float", "STRING": "str"}
 
@@ -19,13 +21,16 @@ def is_object(variant: Column) -> Column:
 
 
 def value_type(variant: Column) -> Column:
-    """null, bool, int, float, str, object or array."""
-    schema = F.schema_of_variant(variant)
-    found = F.when(F.startswith(schema, F.lit("OBJECT")), "object").when(F.startswith(schema, F.lit("ARRAY")), "array")
-    found = found.when(F.startswith(schema, F.lit("DECIMAL")), "float")
-    for schema_name, name in KINDS.items():
-        found = found.when(schema == schema_name, name)
-    return found
+    """null, bool, int, float, str, object or array; the schema that tells it is read once."""
+
+    def named(schema: Column) -> Column:
+        found = F.when(F.startswith(schema, F.lit("OBJECT")), "object").when(F.startswith(schema, F.lit("ARRAY")), "array")
+        found = found.when(F.startswith(schema, F.lit("DECIMAL")), "float")
+        for schema_name, name in KINDS.items():
+            found = found.when(schema == schema_name, name)
+        return found
+
+    return let(F.schema_of_variant(variant), named)
 
 
 def key_signature(text: Column) -> Column:

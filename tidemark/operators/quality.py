@@ -90,37 +90,46 @@ def line_issues(lines: DataFrame) -> DataFrame:
 
     A line that holds no object is a parse_error and nothing else.  Of each required field one thing at most is wrong: it is missing, null,
     of another type or blank (``found`` is the type), or has a bad format (``found`` is the value).  A publish date may be null."""
-    from ..functions.documents import is_object, value_type
-    from ..functions.text import clean_text, truncate
+    from ..functions.documents import value_type
+    from ..functions.text import clean_text, let, truncate
 
-    at = lambda path: F.try_variant_get("rec", path, "variant")
-    text = lambda v: F.when(value_type(v) == "str", F.try_variant_get(v, "$", "string"))
     wrong = lambda field, kind, found: F.struct(F.lit(field).alias("field"), F.lit(kind).alias("kind"), found.alias("found"))
     nothing = F.lit(None).cast("string")
+    value = lambda of, name: F.try_variant_get(of, f"$.{name}", "variant")
 
-    def judged(field: str, path: str, format_: Column | None, kind: str) -> Column:
-        v = at(path)
-        out = F.when(v.isNull(), wrong(field, "missing_required_field", nothing)).when(F.is_variant_null(v), wrong(field, "null_required_field", nothing))
-        out = out.when(text(v).isNull() | (clean_text(text(v)) == ""), wrong(field, "invalid_required_type_or_empty", value_type(v)))
-        return out.when(~F.coalesce(format_, F.lit(False)), wrong(field, kind, truncate(text(v), 80))) if format_ is not None else out
-
-    meta, day = at("$.meta"), at("$.publish_date")
-    whole = F.when(meta.isNull(), wrong("meta", "missing_required_field", nothing)).when(F.is_variant_null(meta), wrong("meta", "null_required_field", nothing))
-    whole = whole.when(~is_object(meta), wrong("meta", "invalid_required_type_or_empty", value_type(meta)))
-    dated = F.when(day.isNull(), wrong("publish_date", "missing_required_field", nothing)).when(
-        ~F.is_variant_null(day) & ~F.coalesce(is_date(text(day)), F.lit(False)), wrong("publish_date", "invalid_publish_date_format", truncate(F.coalesce(text(day), F.to_json(day)), 80))
-    )
+    def read(v: Column, use) -> Column:
+        """``use`` of a value, its type and its text, each found once."""
+        kind = lambda k: F.struct(k.alias("kind"), F.when(k == "str", F.try_variant_get(v, "$", "string")).alias("text"))
+        return let(let(value_type(v), kind), lambda x: use(x["kind"], x["text"]))
+
+    def judged(v: Column, field: str, format_, kind: str) -> Column:
+        def use(k: Column, t: Column) -> Column:
+            out = F.when(k.isNull(), wrong(field, "missing_required_field", nothing)).when(k == "null", wrong(field, "null_required_field", nothing))
+            out = out.when(t.isNull() | (clean_text(t) == ""), wrong(field, "invalid_required_type_or_empty", k))
+            return out.when(~F.coalesce(format_(t), F.lit(False)), wrong(field, kind, truncate(t, 80))) if format_ else out
+
+        return read(v, use)
+
+    def dated(k: Column, t: Column) -> Column:
+        said = truncate(F.coalesce(t, F.to_json(value(F.col("rec"), "publish_date"))), 80)
+        return F.when(k.isNull(), wrong("publish_date", "missing_required_field", nothing)).when((k != "null") & ~F.coalesce(is_date(t), F.lit(False)), wrong("publish_date", "invalid_publish_date_format", said))
+
+    def whole(k: Column, t: Column) -> Column:
+        out = F.when(k.isNull(), wrong("meta", "missing_required_field", nothing)).when(k == "null", wrong("meta", "null_required_field", nothing))
+        return out.when(k != "object", wrong("meta", "invalid_required_type_or_empty", k)).otherwise(judged(F.try_variant_get("rec", "$.meta.discovered_from", "variant"), "meta.discovered_from", is_absolute, "invalid_url_format"))
+
+    of = lambda name: value(F.col("rec"), name)
     checks = [
-        judged("url", "$.url", is_absolute(text(at("$.url"))), "invalid_url_format"),
-        judged("name", "$.name", None, ""),
-        judged("discovered_at_utc", "$.discovered_at_utc", is_timestamp(text(at("$.discovered_at_utc"))), "invalid_datetime_format"),
-        dated,
-        judged("source", "$.source", None, ""),
-        F.coalesce(whole, F.when(is_object(meta), judged("meta.discovered_from", "$.meta.discovered_from", is_absolute(text(at("$.meta.discovered_from"))), "invalid_url_format"))),
+        judged(of("url"), "url", is_absolute, "invalid_url_format"),
+        judged(of("name"), "name", None, ""),
+        judged(of("discovered_at_utc"), "discovered_at_utc", is_timestamp, "invalid_datetime_format"),
+        read(of("publish_date"), dated),
+        judged(of("source"), "source", None, ""),
+        read(of("meta"), whole),
     ]
     broken = F.array(wrong("record", "parse_error", F.col("error")))
     found = F.when(F.col("error").isNotNull(), broken).otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull()))
-    said = clean_text(text(at("$.source")))
+    said = read(of("source"), lambda k, t: clean_text(t))
     source = F.when(F.col("error").isNotNull(), "(parse_error)").when(said != "", said).otherwise("(missing)")
     return lines.select("file", "line_no", source.alias("source"), F.inline(found))
 

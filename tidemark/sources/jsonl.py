@@ -41,7 +41,8 @@ def numbered_lines(spark: SparkSession, path: str, split_bytes: int | None = Non
 def scan(spark: SparkSession, path: str, split_bytes: int | None = None, across: bool = False) -> DataFrame:
     """(file, line_no, raw, rec, error): all lines that are not blank, rec as VARIANT; numbers as ``numbered_lines`` gives them."""
     rows = numbered_lines(spark, path, split_bytes, across).where(clean_text(F.col("raw")) != "").withColumn("rec", parsed(F.col("raw")))
-    bad = F.when(F.col("rec").isNull(), "no JSON").when(~is_object(F.col("rec")), "no object")
+    opens = F.regexp_replace("raw", r"^[\ufeff\s]+", "").startswith("{")  # JSON that begins so is an object
+    bad = F.when(F.col("rec").isNull(), "no JSON").when(~opens, "no object")
     return rows.select("file", "line_no", "raw", "rec", bad.alias("error"))
 
 
