@@ -332,7 +332,7 @@ ORACLES = {
     "union_first_wins": "WITH u AS (SELECT 0 AS f, s_nationkey AS nation, s_suppkey AS pos, 'supplier' AS kind FROM supplier UNION ALL SELECT 1, c_nationkey, c_custkey, 'customer' FROM customer) SELECT nation, pos, kind FROM (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY f, pos) AS r FROM u) WHERE r = 1",
     "key_signatures": f"WITH s AS (SELECT event_type, event_id, array_to_string(list_sort(json_keys(({_META})::JSON)), ',') AS sig FROM events), c AS (SELECT event_type, sig, count(*) AS n, min(event_id) AS f FROM s GROUP BY 1, 2) SELECT event_type, sig, n, r::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, f) AS r FROM c) WHERE r <= 5",
     "type_histogram": f"SELECT event_type, {_KIND} AS kind, count(*) AS n FROM events GROUP BY 1, 2",
-    "type_outliers": f"WITH e AS (SELECT event_type, event_id, {_KIND} AS kind FROM events WHERE event_id % 500 = 7 AND event_id < 2000 OR event_id % 3 = 0 AND event_id % 50 <> 3 AND event_id % 500 <> 7), c AS (SELECT event_type, kind, count(*) AS n, min(event_id) AS f FROM e GROUP BY 1, 2), m AS (SELECT *, first_value(kind) OVER w AS dominant, first_value(n) OVER w AS most FROM c WINDOW w AS (PARTITION BY event_type ORDER BY n DESC, f)) SELECT event_type, kind, n, dominant FROM m WHERE kind <> dominant AND most >= 5 AND n <= 2",
+    "type_outliers": "WITH e AS (SELECT event_type, event_id, CASE json_type((CASE WHEN event_id % 500 = 7 AND event_id < 2000 THEN '{\"k\": \"x\"}' ELSE props END)::JSON, '$.k') WHEN 'VARCHAR' THEN 'str' WHEN 'DOUBLE' THEN 'float' ELSE 'int' END AS kind FROM events), c AS (SELECT event_type, kind, count(*) AS n, min(event_id) AS f FROM e GROUP BY 1, 2), m AS (SELECT *, first_value(kind) OVER w AS dominant, first_value(n) OVER w AS most FROM c WINDOW w AS (PARTITION BY event_type ORDER BY n DESC, f)) SELECT event_type, kind, n, dominant FROM m WHERE kind <> dominant AND most >= 5 AND n <= 2",
     "value_outliers": "WITH e AS (SELECT event_type, event_id, CASE WHEN event_id % 997 = 1 THEN 'rare' || event_id % 3 WHEN event_id % 4 = 0 THEN 'b' ELSE 'a' END AS v FROM events), c AS (SELECT event_type, v, count(*) AS n, min(event_id) AS f FROM e GROUP BY 1, 2), w AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, f) AS r, sum(n) OVER (PARTITION BY event_type) AS t, count(*) OVER (PARTITION BY event_type) AS kinds, max(n) OVER (PARTITION BY event_type) AS most FROM c) SELECT event_type, v, n FROM w WHERE t >= 20 AND kinds > 1 AND kinds / t <= 0.3 AND most / t >= 0.3 AND r > 1 AND n <= greatest(1, floor(t * 0.02)) AND n < most",
     "required_field_quality": f"WITH {_REC}, {_FLAWED} SELECT * FROM issues",
     "issue_rollup": f"WITH {_REC}, {_FLAWED} SELECT source, kind, count(*) AS n, grouping(source, kind)::BIGINT AS level FROM issues GROUP BY ROLLUP (source, kind)",
