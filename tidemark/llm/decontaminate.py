@@ -16,7 +16,7 @@ the whole benchmark in every block: beside its items a block gets the counts of
 have (12 bytes each, the one part that grows with the benchmark); all others weigh what a shingle of one item does.
 
 Cases: null and empty texts match nothing; items without words are left out; items with equal words are reported each;
-repeated documents are reported each; a null id is reported as null; empty tables give an empty result.
+repeated documents are reported each; a null id of a document or an item is reported as null; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -95,10 +95,10 @@ class Weights:
 class Items:
     """The items of one block, the weights of all blocks, and the multi-index of fingerprints."""
 
-    def __init__(self, ids: list[int], texts: list[str], threshold: float, weights: Weights | None = None):
+    def __init__(self, ids: list[int | None], texts: list[str], threshold: float, weights: Weights | None = None):
         self.threshold = threshold
         self.weights = weights or Weights([texts])
-        self.ids = np.array(ids, np.int64)
+        self.ids = list(ids)
         self.size, self.lists, pairs = _listed(texts)
         self.known, count = np.unique(pairs[:, 0], return_counts=True)
         self.owners = pairs[np.argsort(pairs[:, 0], kind="stable"), 1].astype(np.int64)
@@ -194,7 +194,7 @@ def _search(items):
                 rows = []
                 for d, own in hits.items():
                     found = index.found(t.hashes[t.first[d] : t.first[d + 1]], own)
-                    rows += [(d, int(index.ids[i]), at, min(int(index.size[i]), int(t.n_words[d])), s) for i, (s, at) in sorted(found.items())]
+                    rows += [(d, index.ids[i], at, min(int(index.size[i]), int(t.n_words[d])), s) for i, (s, at) in sorted(found.items())]
                 if rows:
                     d, item, at, n, s = zip(*rows, strict=True)
                     yield pa.record_batch(
@@ -217,7 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8)
     found, ids, texts, words = [], [], [], 0
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text")
     for item, text in rows.toLocalIterator():
-        ids.append(item if item is not None else -1)
+        ids.append(item)
         texts.append(text)
         words += len(text.split())
         if words >= BLOCK:
