@@ -35,7 +35,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import vectext as vt
@@ -44,6 +44,8 @@ from .graphs import cut, n_buckets
 #: Words of an anchor: shorter ones recur by chance more often, longer ones are denser.
 ANCHOR = 6
 UNIT = 4 << 20
+#: Bytes of text for each distinct anchor that a unit sends, roughly: the number of buckets follows from it.
+ANCHOR_BYTES = 32
 #: An anchor with more segments than this deals its windows out one by one.
 CROWD = 4096
 NO_ID = np.iinfo(np.int64).max
@@ -399,8 +401,10 @@ def _decided(window: int, buckets: int, finish):
 
 def _removed(docs: DataFrame, window: int, finish, schema: str, crowd: int = CROWD) -> DataFrame:
     spark = docs.sparkSession
-    buckets = n_buckets(spark)
-    units = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(vt.lean(_units), ROW))
+    size = Observation()
+    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").observe(size, F.sum(F.octet_length("text")).alias("n"))
+    units = cut(seen.mapInArrow(vt.lean(_units), ROW))
+    buckets = n_buckets(spark, (size.get["n"] or 0) // ANCHOR_BYTES)
     by_bucket = units.mapInArrow(_anchors(window, buckets), ROW).repartition("bucket").sortWithinPartitions("bucket")
     marks = cut(by_bucket.mapInArrow(_repeated(crowd), ROW))
     of_unit = units.union(marks).repartition("unit").sortWithinPartitions("unit")
