@@ -63,6 +63,13 @@ def test_substrings_by_brute_force(spark, seed, window, crowd):
     }
 
 
+def test_substrings_of_null_ids_and_of_nothing(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed) for r in substrings.substring_digest(docs(spark, [(None, text), (7, text), (None, text)])).collect())
+    assert got == [("7", 20, 0), ("None", 20, 20), ("None", 20, 20)]
+    assert substrings.substring_digest(docs(spark, [])).count() == 0
+
+
 def test_remove_repeats_keeps_columns_and_rows(spark):
     rows = varied(5) + [(7, varied(5)[7][1])]
     _, kept = removed(varied(5), 5)
@@ -166,7 +173,8 @@ def tokens(t):
     return [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in WORD.findall(t or "")] + ["\0end"]
 
 
-def test_ppm_by_brute_force(spark):
+@pytest.mark.parametrize("crowd", [1, 30, ppm.CROWD])  # no pair of bytes is crowded, some are, all are
+def test_ppm_by_brute_force(spark, crowd):
     rows = [(1, "the cat sat on the mat"), (2, "the dog sat"), (3, None), (4, ""), (5, "Zürich the Cat  sat"), (6, "a a a a a a"), (7, "xyz the"), (8, "the catalog"), (8, "the catalog")]
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
     marked = lambda t: [255] * ppm.ORDER + list(re.sub(b"[A-Z]", lambda m: m[0].lower(), (t or "").encode())) + [254]
@@ -192,7 +200,7 @@ def test_ppm_by_brute_force(spark):
         return out - math.log10(256 - len(gone))
 
     n, v = sum(words.values()), len(words)
-    got = ppm.score_documents(docs(spark, rows), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).collect()
+    got = ppm.score_documents(docs(spark, rows), F.crc32(F.col("doc_id").cast("string")) % 7 == 2, crowd).collect()
     assert sorted(r.doc_id for r in got) == sorted(i for i, _ in rows)
     for r in got:
         t, s = dict(rows)[r.doc_id], marked(dict(rows)[r.doc_id])
@@ -200,6 +208,8 @@ def test_ppm_by_brute_force(spark):
         assert r.base_score == pytest.approx(sum(math.log10((words[w] + 1) / (n + v + 1)) for w in tokens(t)))
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(tokens(t)), sum(words[w] > 0 for w in tokens(t)), n)
     assert ppm.score_documents(docs(spark, []), F.lit(False)).count() == 0
+    nulls = [r for r in ppm.score_documents(docs(spark, [(None, "the cat"), (None, "the cat"), (1, "the cat")]), F.crc32(F.col("doc_id").cast("string")) % 7 == 2).collect()]
+    assert sorted(map(str, (r.doc_id for r in nulls))) == ["1", "None", "None"] and not any(r.held_out for r in nulls if r.doc_id is None)
 
 
 def test_ppm_is_a_distribution():
@@ -294,6 +304,8 @@ def test_decontamination_cases(spark):
     got = {(r.doc_id, r.item_id): round(r.similarity, 6) for r in decontaminate.contaminated(docs(spark, rows), b).collect()}
     assert {k for k, s in got.items() if s == 1} == {(1, 1), (1, 5), (6, 2), (8, 1), (8, 5), (None, 1), (None, 5)} and got[(2, 1)] == got[(2, 5)] == 0.9375 and not {3, 4, 5, 7} & {k[0] for k in got}
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), b).collect()) == [3, 4, 5, 7]
+    odd = spark.createDataFrame([(None, item), (-1, item)], "item_id long, text string")
+    assert sorted(map(str, (r.item_id for r in decontaminate.contaminated(docs(spark, rows[:1]), odd).collect()))) == ["-1", "None"]
     clean = [(None, "x " * 50), (1, "quite another text"), (None, None), (1, "")]
     assert sorted(map(str, ((r.doc_id, r.text) for r in decontaminate.drop_contaminated(docs(spark, [r for r in rows if r[0] in (None, 1)] + clean), b).collect()))) == sorted(map(str, clean))
     assert decontaminate.contaminated(docs(spark, []), b).count() == 0 and decontaminate.contaminated(docs(spark, rows), b.limit(0)).count() == 0

@@ -8,8 +8,10 @@ as its bytes, A-Z lower-cased, from a start mark to an end mark, so the scores a
 The trie is not broadcast: it grows with the corpus.  Each unit of documents sends its distinct six-byte sequences with
 their training counts to the bucket of the two bytes before the last; there all contexts of two to five bytes that end in these
 meet, so a bucket has whole sub-tries and answers with the probability of each sequence asked for.  Contexts of one byte
-and none are one table of 256 x 256 counts, a size that cannot grow, and are broadcast.  Word counts for the base score
-travel the same way.
+and none are one table of 256 x 256 counts, a size that cannot grow, and are broadcast.  Two bytes that make up more than one
+in CROWD of all pairs are dealt out by the byte before them too; what follows these two, CROWD x 256 counts at most, is counted
+in a pass of its own and broadcast with the table.  Buckets grow in number with the training bytes.  Word counts for the base
+score travel the same way.  ``score`` adds up logarithms that are sent as 32-bit floats.
 
 Cases: null text is empty and has the end token and end mark alone; null ids belong to the training fold; equal ids are
 scored each for itself; without training rows all bytes are equally likely and the base score is 0; an empty
@@ -28,6 +30,8 @@ from .graphs import cut, n_buckets
 from .units import NO_ID, ROW, grouped, pack_units, packed, rows, unit_table, unpacked
 
 ORDER = 5
+#: Pairs of bytes that are more than one in so many are dealt out by three bytes.
+CROWD = 1024
 #: Larger units ask for fewer sequences in all.
 UNIT = 8 << 20
 START, END, ALPHABET = 0xFF, 0xFE, 256  # bytes that UTF-8 never has stand for a text's start and end
@@ -97,14 +101,18 @@ class Level:
         return total - gone, kinds - upper.kinds
 
 
-def log_probabilities(asked: np.ndarray, keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+def log_probabilities(asked: np.ndarray, keys: np.ndarray, counts: np.ndarray, pairs: np.ndarray, crowded: tuple | None = None) -> np.ndarray:
     """log10 probability of the last byte of each sequence in ``asked`` after the others.
 
-    keys, counts: training sequences of the contexts asked for; pairs: 256 x 256 training counts of (byte before, byte)."""
+    keys, counts: training sequences of the contexts asked for; pairs: 256 x 256 training counts of (byte before, byte); crowded: sorted
+    three-byte sequences that begin with a crowded pair, and their training counts, which are those of the whole corpus."""
     levels: dict[int, Level] = {}
     for order in range(ORDER, 1, -1):
         mask = (vt.U(1) << vt.U(8 * (order + 1))) - vt.U(1)
-        levels[order] = Level(*_sums(keys & mask, counts))
+        found = _sums(keys & mask, counts)
+        if order == 2 and crowded is not None:
+            found = _with_crowded(*found, asked, *crowded)
+        levels[order] = Level(*found)
     flat = np.flatnonzero(pairs.ravel())
     levels[1] = Level(flat.astype(np.uint64), pairs.ravel()[flat])
     single = pairs.sum(0)
@@ -135,18 +143,35 @@ def log_probabilities(asked: np.ndarray, keys: np.ndarray, counts: np.ndarray, p
     return out
 
 
-def _suffix_bucket(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((vt.mix((keys >> vt.U(8)) & vt.U(0xFFFF)) >> vt.U(32)).astype(np.int64) * n) >> 32
+def _with_crowded(keys: np.ndarray, counts: np.ndarray, asked: np.ndarray, crowd_keys: np.ndarray, crowd_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Three-byte sequences of a bucket, those after a crowded pair that is asked for with the counts of the whole corpus."""
+    pairs = np.unique((asked >> vt.U(8)) & vt.U(0xFFFF))
+    known = crowd_keys >> vt.U(8)
+    own, whole = ~np.isin(keys >> vt.U(8), known), np.isin(known, pairs)
+    keys, counts = np.concatenate([keys[own], crowd_keys[whole]]), np.concatenate([counts[own], crowd_counts[whole]])
+    order = np.argsort(keys)
+    return keys[order], counts[order]
 
 
-def _word_bucket(keys: np.ndarray, n: int) -> np.ndarray:
-    return (keys >> vt.U(32)).astype(np.int64) * n >> 32
+class _Deal:
+    """The bucket of each word and byte sequence; crowded: which of the 256 x 256 pairs are dealt out by three bytes."""
+
+    def __init__(self, buckets: int, crowded: np.ndarray):
+        self.buckets, self.crowded = buckets, crowded
+
+    def grams(self, keys: np.ndarray) -> np.ndarray:
+        pair = (keys >> vt.U(8)) & vt.U(0xFFFF)
+        context = np.where(self.crowded[pair.astype(np.int64)], (keys >> vt.U(8)) & vt.U(0xFFFFFF), pair)
+        return ((vt.mix(context) >> vt.U(32)).astype(np.int64) * self.buckets) >> 32
+
+    def words(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> vt.U(32)).astype(np.int64) * self.buckets >> 32
 
 
 class _Asked:
     """What a unit asks for: its distinct words and byte sequences with their training counts, ordered by bucket."""
 
-    def __init__(self, table: pa.Table, buckets: int):
+    def __init__(self, table: pa.Table, deal: _Deal):
         words, grams = [], []
         for batch in table.to_batches():
             for part in vt.pieces(batch):
@@ -156,8 +181,8 @@ class _Asked:
                 words.append(self._counted(t.hashes, weight))
                 keys, begin = byte_grams(t.data, t.offsets)
                 grams.append(self._counted(keys, np.repeat(train, np.diff(begin))))
-        self.words, self.word_counts, self.word_cuts = self._dealt(words, _word_bucket, buckets)
-        self.grams, self.gram_counts, self.gram_cuts = self._dealt(grams, _suffix_bucket, buckets)
+        self.words, self.word_counts, self.word_cuts = self._dealt(words, deal.words, deal.buckets)
+        self.grams, self.gram_counts, self.gram_cuts = self._dealt(grams, deal.grams, deal.buckets)
 
     @staticmethod
     def _counted(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,16 +196,18 @@ class _Asked:
     @staticmethod
     def _dealt(found: list, bucket, buckets: int):
         keys, counts = _sums(np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
-        b = bucket(keys, buckets)
+        b = bucket(keys)
         order = np.argsort(b, kind="stable")
         return keys[order], counts[order], np.searchsorted(b[order], np.arange(buckets + 1))
 
 
-def _ask(buckets: int):
+def _ask(deal: _Deal):
+    buckets = deal.buckets
+
     def run(batches):
         for batch in batches:
             for unit, blob in zip(batch.column("unit").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-                a = _Asked(unit_table(blob), buckets)
+                a = _Asked(unit_table(blob), deal)
                 for first, keys, counts, cuts in ((0, a.words, a.word_counts, a.word_cuts), (buckets, a.grams, a.gram_counts, a.gram_cuts)):
                     yield rows(
                         [
@@ -193,7 +220,7 @@ def _ask(buckets: int):
     return vt.lean(run)
 
 
-def _answer(buckets: int, pairs):
+def _answer(buckets: int, shortest):
     def run(batches):
         for bucket, held in grouped(batches, "bucket"):
             keys, counts = [], []
@@ -209,7 +236,7 @@ def _answer(buckets: int, pairs):
                 yield rows([(int(total.sum()), bucket, 7, int((total > 0).sum()), b"")])
             else:
                 train = total > 0
-                answer = log_probabilities(distinct, distinct[train], total[train], pairs.value).astype(np.float32)
+                answer = log_probabilities(distinct, distinct[train], total[train], *shortest.value).astype(np.float32)
             answer = answer[np.searchsorted(distinct, every)]
             yield rows([(row[0], bucket, 2, row[3], packed(answer[a:b])) for row, a, b in zip(held, cuts[:-1], cuts[1:], strict=True)])
 
@@ -243,11 +270,13 @@ def _per_text(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return np.where(np.diff(begin) > 0, sums, 0.0)
 
 
-def _score(buckets: int, tokens: int, distinct: int, train_texts: int):
+def _score(deal: _Deal, tokens: int, distinct: int, train_texts: int):
+    buckets = deal.buckets
+
     def run(batches):
         for _, held in grouped(batches, "unit"):
             table = unit_table(next(r[4] for r in held if r[2] == 0))
-            a = _Asked(table, buckets)
+            a = _Asked(table, deal)
             counts, logs = np.zeros(len(a.words), np.int64), np.zeros(len(a.grams))
             for _, b, part, _, blob in held:
                 if part == 2 and b < buckets:
@@ -279,28 +308,48 @@ def _score(buckets: int, tokens: int, distinct: int, train_texts: int):
     return vt.lean(run)
 
 
-def _pairs(batches):
-    """Counts of (byte before, byte) in training texts, as one row for each pair that a task has; last the number of texts."""
-    total, texts = np.zeros(1 << 16, np.int64), 0
+def _train_grams(batches):
+    """Packed sequences of the training texts, and how many texts these are, of each part of the batches of (text, held_out)."""
     for batch in batches:
         for part in vt.pieces(batch):
             train = part.filter(pa.array(~np.array(part.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)))
             if train.num_rows:
                 t = vt.column(train.column(0))
-                keys, _ = byte_grams(vt._LOWER[t[0]], t[1])
-                total += np.bincount((keys & vt.U(0xFFFF)).astype(np.int64), minlength=1 << 16)
-                texts += train.num_rows
+                yield byte_grams(vt._LOWER[t[0]], t[1])[0], train.num_rows
+
+
+def _pairs(batches):
+    """Counts of (byte before, byte) in training texts, as one row for each pair that a task has; last the number of texts."""
+    total, texts = np.zeros(1 << 16, np.int64), 0
+    for keys, n in _train_grams(batches):
+        total += np.bincount((keys & vt.U(0xFFFF)).astype(np.int64), minlength=1 << 16)
+        texts += n
     at = np.flatnonzero(total)
     yield pa.record_batch({"pair": pa.array([*at.tolist(), -1], pa.int32()), "n": pa.array([*total[at].tolist(), texts], pa.int64())})
 
 
-def score_documents(docs: DataFrame, held_out) -> DataFrame:
+def _after_crowded(crowded: np.ndarray):
+    """Counts of (crowded pair, byte after it) in training texts, as one row for each that a task has."""
+    place = np.where(crowded, np.cumsum(crowded) - 1, -1)
+    pairs = np.flatnonzero(crowded)
+
+    def run(batches):
+        total = np.zeros(256 * len(pairs), np.int64)
+        for keys, _ in _train_grams(batches):
+            at = place[((keys >> vt.U(8)) & vt.U(0xFFFF)).astype(np.int64)]
+            total += np.bincount((at * 256 + (keys & vt.U(0xFF)).astype(np.int64))[at >= 0], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.record_batch({"gram": pa.array(pairs[at >> 8] * 256 + (at & 0xFF), pa.int32()), "n": pa.array(total[at], pa.int64())})
+
+    return run
+
+
+def score_documents(docs: DataFrame, held_out, crowd: int = CROWD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes), one row per row of ``docs``.
 
     held_out: boolean column; rows where it is true are scored but not learned from."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    buckets = n_buckets(spark)
     found = docs.select("text", "held_out").mapInArrow(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     table, texts = np.zeros(1 << 16, np.int64), 0
     for pair, n in found.collect():  # 65,537 rows at most
@@ -308,14 +357,20 @@ def score_documents(docs: DataFrame, held_out) -> DataFrame:
             texts = n
         else:
             table[pair] = n
-    pairs = spark.sparkContext.broadcast(table.reshape(256, 256))
+    crowded = table * crowd > table.sum()
+    triples = docs.select("text", "held_out").mapInArrow(_after_crowded(crowded), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    triples = sorted(map(tuple, triples.collect())) if crowded.any() else []  # crowd x 256 rows at most
+    after = tuple(np.array([x[i] for x in triples], kind) for i, kind in enumerate((np.uint64, np.int64)))
+    shortest = spark.sparkContext.broadcast((table.reshape(256, 256), after))
+    # A unit asks for about one distinct sequence in eight bytes.
+    deal = _Deal(n_buckets(spark, int(table.sum()) // 8), crowded)
     units = cut(docs.mapInArrow(pack_units(UNIT), ROW))
-    asked = units.mapInArrow(_ask(buckets), ROW).repartition("bucket").sortWithinPartitions("bucket")
-    answers = cut(asked.mapInArrow(_answer(buckets, pairs), ROW))
+    asked = units.mapInArrow(_ask(deal), ROW).repartition("bucket").sortWithinPartitions("bucket")
+    answers = cut(asked.mapInArrow(_answer(deal.buckets, shortest), ROW))
     known = answers.where("part = 7").agg(F.coalesce(F.sum("unit"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     back = units.union(answers.where("part = 2")).repartition("unit").sortWithinPartitions("unit")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
-    return back.mapInArrow(_score(buckets, known[0] + texts, known[1] + (texts > 0), texts), schema)
+    return back.mapInArrow(_score(deal, known[0] + texts, known[1] + (texts > 0), texts), schema)
 
 
 def op4_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
