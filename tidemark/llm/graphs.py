@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,24 +22,29 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A setting of the session for what runs inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The table computed once and written to the shared folder.
+    """The table computed once and written to the shared folder; its shuffle files go as soon as it is written.
 
-    Spark removes the files with the last reference if it is told to (spark.cleaner.referenceTracking.cleanCheckpoints)."""
+    Spark removes the table's files with the last reference if it is told to (spark.cleaner.referenceTracking.cleanCheckpoints)."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        return df.checkpoint(eager=True)
 
 
-@contextmanager
 def small_batches(spark: SparkSession, rows: int = 500):
     """Arrow batches of few rows for what runs inside: for tables whose rows are long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def n_buckets(spark: SparkSession, values: int = 0, each: int = 250_000) -> int:
@@ -77,28 +83,43 @@ def grouped_by(batches, keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
         yield at, held
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _flattened(batches):
+    """Edges (u, v) of each batch to (node, smallest node that the batch's edges lead to): fewer edges and shorter paths between the same nodes."""
+    for batch in batches:
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := above.setdefault(x, x)) != x:
+                above[x] = x = above[y]
+            return x
+
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = top(u), top(v)
+            above[max(u, v)] = min(u, v)
+        found = [(x, top(x)) for x in above]
+        yield pa.record_batch([pa.array([r[i] for r in found if r[0] != r[1]], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each u leads to one v alone, and no v leads on."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("low"), F.lit(False).alias("end")), F.struct(F.col("v").alias("node"), F.lit(None).cast("long").alias("low"), F.lit(True).alias("end")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.min("low").alias("low"), F.max("low").alias("high"), F.max("end").alias("end"))
+    return nodes.where("low < high or low is not null and end").agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) edges of longs to (node, root): root is the smallest node reachable.
 
-    Alternates large-star and small-star steps.  Each is a minimum per node, combined before the shuffle, and a join back,
-    so no neighbour list is ever held in one row or task; the edge table is written once a round."""
-    edges = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = cut(edges)
-    before = _state(edges)
-    while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    Edges lead from the larger node to the smaller.  In each round first the smaller end gives way to the smallest that it leads to
+    (large star), then all ends of a node are tied to its smallest (small star).  Each is a minimum per node, combined before the shuffle, and a join
+    back, so no neighbour list is ever held in one row or task; the edge table is written once a round, and rounds end when it is a forest of stars."""
+    edges = edges.where("u <> v").select("u", "v").mapInArrow(_flattened, "u long, v long")
+    edges = cut(edges.distinct())
+    while not _are_stars(edges):
+        low = edges.groupBy("u").agg(F.min("v").alias("m"))
+        large = edges.join(low.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
+        tied = F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))
+        edges = cut(large.join(low, "u").select(tied).where("u <> v").distinct())
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
