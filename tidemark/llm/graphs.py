@@ -33,15 +33,28 @@ def setting(spark: SparkSession, name: str, value: str):
         spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
 
 
+def tidy(spark: SparkSession):
+    """Shuffle files go with the end of each action that runs inside."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The table computed once and written to the shared folder; its shuffle files go as soon as it is written.
 
-    Spark removes the table's files with the last reference if it is told to (spark.cleaner.referenceTracking.cleanCheckpoints)."""
+    Its own files stay until ``drop_cut``, or until the last reference goes if Spark is told so (spark.cleaner.referenceTracking.cleanCheckpoints)."""
     shared_folder(df.sparkSession)
-    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    with tidy(df.sparkSession):
         return df.checkpoint(eager=True)
 
 
+def drop_cut(*tables: DataFrame) -> None:
+    """Deletes the files of tables from ``cut`` that nothing reads any more; what was cut after them does not need them."""
+    for df in tables:
+        at = df._jdf.queryExecution().logical().rdd().getCheckpointFile().get()
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 500):
     """Arrow batches of few rows for what runs inside: for tables whose rows are long."""
     return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -104,7 +117,8 @@ def _are_stars(edges: DataFrame) -> bool:
     """Whether each u leads to one v alone, and no v leads on."""
     ends = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("low"), F.lit(False).alias("end")), F.struct(F.col("v").alias("node"), F.lit(None).cast("long").alias("low"), F.lit(True).alias("end")))
     nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.min("low").alias("low"), F.max("low").alias("high"), F.max("end").alias("end"))
-    return nodes.where("low < high or low is not null and end").agg(F.count(F.lit(1))).first()[0] == 0
+    with tidy(edges.sparkSession):
+        return nodes.where("low < high or low is not null and end").agg(F.count(F.lit(1))).first()[0] == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -120,6 +134,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = edges.join(low.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         tied = F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))
-        edges = cut(large.join(low, "u").select(tied).where("u <> v").distinct())
+        before, edges = edges, cut(large.join(low, "u").select(tied).where("u <> v").distinct())
+        drop_cut(before)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

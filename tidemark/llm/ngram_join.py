@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import vectext as vt
-from .graphs import components, cut, grouped_by, n_buckets, small_batches
+from .graphs import components, cut, drop_cut, grouped_by, n_buckets, small_batches, tidy
 
 BAND = 1.35
 FLUSH = 400_000
@@ -338,7 +338,9 @@ def _sets_of_marked(n: int, bitmap):
 def _bitmap(wanted: DataFrame):
     """The top BITS bits of the keys as a broadcast bitmap; 2 ** (BITS - 6) words reach the driver at most."""
     place = F.shiftrightunsigned("key", 64 - BITS)
-    words = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITS}) & 63 as int))")).alias("bits")).toArrow()
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - BITS}) & 63 as int))")
+    with tidy(wanted.sparkSession):
+        words = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bits = np.zeros(1 << (BITS - 6), np.uint64)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return wanted.sparkSession.sparkContext.broadcast(bits)
@@ -388,7 +390,10 @@ def _linked(families: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num:
     full = members.join(sets.groupBy("node", "key").agg(F.first("features").alias("features")), ["node", "key"])
     full = full.select("part", "sides", "side", "fresh", "node", "root", "features").repartition("part")
     with small_batches(docs.sparkSession):
-        return cut(full.sortWithinPartitions("part", "sides", "node").mapInArrow(_verified(num, den), "u long, v long, x long, y long"))
+        found = cut(full.sortWithinPartitions("part", "sides", "node").mapInArrow(_verified(num, den), "u long, v long, x long, y long"))
+    drop_cut(open_, members)
+    bitmap.destroy()
+    return found
 
 
 def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -405,11 +410,15 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     def compare(families: DataFrame, stars: bool) -> None:
         """Adds the links within families (family, node, fresh) and what they join."""
         nonlocal roots
-        found = _linked(cut(families.join(roots, "node")), nodes, docs, n, num, den, stars)
+        families = cut(families.join(roots, "node"))
+        found = _linked(families, nodes, docs, n, num, den, stars)
+        drop_cut(families)
         if not found.isEmpty():
-            links.append(found.select("u", "v"))
             above = components(found.select(F.col("x").alias("u"), F.col("y").alias("v"))).toDF("root", "to")
-            roots = cut(roots.join(above, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+            before, roots = roots, cut(roots.join(above, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+            if links:  # before the first links, each node's root is read off the table of nodes
+                drop_cut(before)
+            links.append(found.select("u", "v"))
 
     def open_pairs(pairs: DataFrame) -> DataFrame:
         both = pairs.join(roots.toDF("u", "x"), "u").join(roots.toDF("v", "y"), "v")
@@ -422,20 +431,24 @@ def similar_documents(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100
     def members_of(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("u").alias("family"), F.col("v").alias("node")).union(pairs.select("u", "u").distinct())
 
-    buckets = n_buckets(spark, of.agg(F.sum("n_signatures")).first()[0] or 0)
+    with tidy(spark):
+        buckets = n_buckets(spark, of.agg(F.sum("n_signatures")).first()[0] or 0)
     packed = docs.mapInArrow(_signature_pass(n, num, den, buckets), "bucket int, sigs binary, nodes binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     star = cut(packed.mapInArrow(vt.lean(_candidates_of_bucket), "u long, v long").distinct())
     left = star
     for turn in range(TURNS):
         compare(one_family_each(left, turn), True)
-        left = cut(open_pairs(left))
+        before, left = left, cut(open_pairs(left))
+        if turn:
+            drop_cut(before)
     last = star.join(left.select("u").distinct(), "u", "left_semi")
     cover = star.groupBy(F.col("v").alias("family")).agg(F.min("u").alias("cover"))
     covered = star.select(F.col("u").alias("cover"), F.col("v").alias("node"), F.lit(0).alias("fresh"))
     rows = members_of(last).join(cover, "family", "left").join(covered, ["cover", "node"], "left")
     compare(rows.select("family", "node", F.coalesce("fresh", F.lit(1)).alias("fresh")), False)
-    links = reduce(DataFrame.union, links) if links else star.limit(0)
+    drop_cut(star, left)
+    links = reduce(DataFrame.union, links) if links else spark.createDataFrame([], "u long, v long")
     placed = nodes.select("node", "rep").join(roots, "node")
     low = cut(placed.groupBy("root").agg(F.min("rep").alias("low")))
     lows = placed.join(low, "root").select("node", "root", "low")
