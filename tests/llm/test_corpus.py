@@ -547,3 +547,30 @@ def test_a_recall_that_stays_low_is_an_error(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="recall"):
         embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), log=log)
     assert [a for a, _ in log] == [0, 1]
+
+
+def test_components_by_union_find(spark):
+    from tidemark.llm.graphs import components, cut, drop_cut
+
+    ids = list(range(-150, 150))
+    rng = random.Random(3)
+    rng.shuffle(ids)
+    edges = list(zip(ids, ids[1:100])) + [(ids[200], x) for x in ids[201:260]] + [(7, 7)] + list(zip(ids[270:], ids[271:])) * 2
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        if u != v:
+            a, b = top(u), top(v)
+            root[max(a, b)] = min(a, b)
+    given = spark.createDataFrame(edges, "u long, v long").repartition(5)
+    assert sorted(map(tuple, components(given).collect())) == sorted((x, top(x)) for x in root)
+    assert components(given.limit(0)).count() == 0
+    first = cut(given)
+    second = cut(first.groupBy("u").count())
+    drop_cut(first)
+    assert second.count() == len({u for u, _ in edges})
