@@ -39,12 +39,11 @@ def tidy(spark: SparkSession):
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The table computed once and written to the shared folder; its shuffle files go as soon as it is written.
+    """The table computed once and written to the shared folder.
 
-    Its own files stay until ``drop_cut``, or until the last reference goes if Spark is told so (spark.cleaner.referenceTracking.cleanCheckpoints)."""
+    Its files stay until ``drop_cut``, or until the last reference goes if Spark is told so (spark.cleaner.referenceTracking.cleanCheckpoints)."""
     shared_folder(df.sparkSession)
-    with tidy(df.sparkSession):
-        return df.checkpoint(eager=True)
+    return df.checkpoint(eager=True)
 
 
 def drop_cut(*tables: DataFrame) -> None:
