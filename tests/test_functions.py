@@ -118,3 +118,9 @@ def test_entities_equal_the_standard_table(spark):
     want[len(known) + 4] = "\ufffd"
     assert [(a, b, c) for a, b, c in zip([*known, *others, "all"], got, want, strict=True) if b != c] == []
     assert values(spark, [None, "&lt"], text.unescape_html) == [None, "&lt"]
+
+
+def test_sizes_and_shares(spark):
+    assert values(spark, [2**40, 2**30, 1023, None], text.human_bytes, "long") == ["1024.0 GB", "1.0 GB", "1023 B", None]
+    assert values(spark, [2**30, 2**20, 1023, None], lambda c: text.human_bytes(c, "MB"), "long") == ["1024.0 MB", "1.0 MB", "1023 B", None]
+    assert values(spark, [3, 0, None], lambda c: text.percent(c, F.lit(200)), "long") == ["1.5%", "0.0%", None]

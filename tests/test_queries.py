@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 import __spark_entry__
@@ -48,3 +49,11 @@ def test_phone_is_of_the_whole_text(spark, tmp_path):
     rows = [(1, "call " + "x" * 300 + " +852 2345 6789"), (2, "12 " + "y" * 300 + " 34"), (3, "none")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id: r.phone for r in links.doc_lang_flags(spark, str(tmp_path)).collect()} == {1: "23456789", 2: "1234", 3: ""}
+
+
+def test_link_labels_of_large_keys(spark, tmp_path):
+    keys = [0, 1, 1023, 1024, 1025, 2**20 - 1, 2**20, 2**20 + 51, 1_199_999, 5 * 2**30, None]
+    spark.createDataFrame([(k, "Brand#7") for k in keys], "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert len(same(spark, con, catalogue.link_labels, catalogue.ORACLES["link_labels"], str(tmp_path))) == len(keys)

@@ -67,7 +67,7 @@ def truncate(text: Column, n: int) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.format_string("%.1f%%", part * 100.0 / whole)).otherwise(F.lit("0.0%"))
+    return F.when(part.isNull(), None).when(whole > 0, F.format_string("%.1f%%", part * 100.0 / whole)).otherwise(F.lit("0.0%"))
 
 
 def fold_heading(text: Column) -> Column:
@@ -86,13 +86,16 @@ def escape_html(text: Column) -> Column:
     return text
 
 
-def human_bytes(n: Column) -> Column:
+def human_bytes(n: Column, largest: str = "GB") -> Column:
+    """A size in steps of 1024, in the largest unit (KB, MB or GB) from there on; null stays null."""
     n = n.cast("double")
     steps = F.when(n < 1024, F.format_string("%.0f B", n))
-    for power, unit in ((1, "KB"), (2, "MB"), (3, "GB")):
+    for power, unit in enumerate(("KB", "MB", "GB"), 1):
         v = n / (1024.0**power)
-        steps = steps.when((v < 1024) | F.lit(unit == "GB"), F.format_string(f"%.1f {unit}", v))
-    return steps
+        steps = steps.when(v.isNotNull() if unit == largest else v < 1024, F.format_string(f"%.1f {unit}", v))
+        if unit == largest:
+            return steps
+    raise ValueError(f"no such unit: {largest}")
 
 
 def phone(text: Column, country: str = "852") -> Column:
